@@ -68,6 +68,32 @@ def lineage(branches: DataFrame) -> DataFrame:
     )
 
 
+def _extend_lineage(chain: DataFrame, added: DataFrame) -> DataFrame:
+    """Lineage with the rows of branches whose parents are in it already."""
+    links = added.select("branch", "parent", "graft_ord")
+    above = chain.select(
+        F.col("branch").alias("parent"), "ancestor", "level", F.col("cap").alias("above_cap"), "n_levels"
+    )
+    inherited = links.join(above, "parent").select(
+        "branch",
+        "ancestor",
+        "level",
+        F.when(F.col("ancestor") == F.col("parent"), F.col("graft_ord"))
+        .otherwise(F.col("above_cap"))
+        .alias("cap"),
+        (F.col("n_levels") + 1).alias("n_levels"),
+    )
+    tops = chain.filter(F.col("branch") == F.col("ancestor"))
+    selves = links.join(tops.select(F.col("branch").alias("parent"), "n_levels"), "parent", "left").select(
+        "branch",
+        F.col("branch").alias("ancestor"),
+        F.coalesce("n_levels", F.lit(0)).alias("level"),
+        F.when(F.lit(False), F.col("graft_ord")).alias("cap"),
+        (F.coalesce("n_levels", F.lit(0)) + 1).alias("n_levels"),
+    )
+    return chain.unionByName(inherited).unionByName(selves)
+
+
 def branch_history(own: DataFrame, chain: DataFrame) -> DataFrame:
     """Full history of branches: ancestors up to their caps, then own commits.
 
@@ -120,10 +146,9 @@ def _trunk_only(own: DataFrame) -> DataFrame:
 
 
 def _locate_grafts(
-    histories: DataFrame, points: DataFrame, attached: DataFrame, parents: DataFrame
+    histories: DataFrame, points: DataFrame, chain: DataFrame, parents: DataFrame
 ) -> DataFrame:
     """The commit each branch point denotes in a history of one of ``parents(branch)``."""
-    chain = checkpointed(lineage(attached))
     located = tag_locate_on(points, tag_candidates(points, histories, chain), histories, chain)
     reachable = chain.join(parents, "branch", "left_semi").select(
         F.col("ancestor").alias("parent"), F.col("cap")
@@ -143,6 +168,30 @@ def _locate_grafts(
     )
 
 
+def _start_from_copies(pending: DataFrame, copied: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Branches that start at the head of their copied commits, and these heads as branches."""
+    heads = branch_heads(copied)
+    points = heads.select(
+        "branch",
+        F.lit(None).cast("string").alias("parent"),
+        F.when(F.lit(False), F.col("ord")).alias("graft_ord"),
+        F.lit(NONE).alias("method"),
+    )
+    marks = heads.select(F.col("branch").alias("parent"), F.col("ord").alias("graft_ord"))
+    has_point = F.col("graft_ord").isNotNull()
+    starts = (
+        pending.withColumn("parent", F.concat("branch", F.lit(BRANCH_POINT_SUFFIX)))
+        .join(marks, "parent", "left")
+        .select(
+            "branch",
+            F.when(has_point, F.col("parent")).alias("parent"),
+            "graft_ord",
+            F.when(has_point, BRANCH_POINT).otherwise(NONE).alias("method"),
+        )
+    )
+    return starts, points
+
+
 def graft_points(
     own: DataFrame,
     branch_entries: DataFrame,
@@ -162,56 +211,35 @@ def graft_points(
     ``known`` has branches attached before.  Returns ``branches(branch, parent,
     graft_ord, method)`` and the copied commits.
     """
-    attached = _trunk_only(own)
-    if known is not None:
-        attached = known.select(*attached.columns)
+    attached = _trunk_only(own) if known is None else known.select("branch", "parent", "graft_ord", "method")
+    chain = checkpointed(lineage(attached))
     depths = checkpointed(branch_depths(branch_entries).withColumnRenamed("tag", "branch"))
     todo = depths.join(attached, "branch", "left_anti")
-    copies = None
+    trunk = own.sparkSession.range(1).select(F.lit(TRUNK).alias("branch"))
+    copies = own.limit(0)
     # One value per level of branching: no more than the longest version has.
     for (level,) in todo.select("depth").distinct().orderBy("depth").collect():
-        here = todo.filter(F.col("depth") == level).select(F.col("branch").alias("tag"))
-        entries = branch_entries.join(here, "tag", "left_semi")
-        pending = here.select(F.col("tag").alias("branch"))
-        placed = []
+        pending = todo.filter(F.col("depth") == level).select("branch")
+        entries = branch_entries.join(pending.withColumnRenamed("branch", "tag"), "tag", "left_semi")
+        found = attached.limit(0)
         if auto_graft:
-            parents = (
-                own.sparkSession.range(1).select(F.lit(TRUNK).alias("branch"))
-                if level == 2
-                else depths.filter(F.col("depth") == level - 1).select("branch")
-            )
-            histories = own if copies is None else own.unionByName(copies)
+            parents = depths.filter(F.col("depth") == level - 1).select("branch")
             points = clean_tags(branch_parent(entries), noise)
-            found = checkpointed(_locate_grafts(histories, points, attached, parents))
-            placed.append(found)
-            pending = pending.join(found, "branch", "left_anti")
-        lost = entries.join(pending.withColumnRenamed("branch", "tag"), "tag", "left_semi")
-        copied = checkpointed(branch_points(own, lost))
-        copies = copied if copies is None else copies.unionByName(copied)
-        heads = branch_heads(copied)
-        stems = pending.withColumn("parent", F.concat("branch", F.lit(BRANCH_POINT_SUFFIX))).join(
-            heads.select(F.col("branch").alias("parent"), F.col("ord").alias("graft_ord")), "parent", "left"
-        )
-        has_point = F.col("graft_ord").isNotNull()
-        placed.append(
-            stems.select(
-                "branch",
-                F.when(has_point, F.col("parent")).alias("parent"),
-                "graft_ord",
-                F.when(has_point, BRANCH_POINT).otherwise(NONE).alias("method"),
-            )
-        )
-        placed.append(
-            heads.select(
-                "branch",
-                F.lit(None).cast("string").alias("parent"),
-                F.when(F.lit(False), F.col("ord")).alias("graft_ord"),
-                F.lit(NONE).alias("method"),
+            found = checkpointed(
+                _locate_grafts(own.unionByName(copies), points, chain, trunk if level == 2 else parents)
             )
-        )
-        for rows in placed:
+            pending = checkpointed(pending.join(found, "branch", "left_anti"))
+        added = [found]
+        if not pending.isEmpty():
+            lost = entries.join(pending.withColumnRenamed("branch", "tag"), "tag", "left_semi")
+            copied = checkpointed(branch_points(own, lost))
+            copies = copies.unionByName(copied)
+            starts, heads = _start_from_copies(pending, copied)
+            chain = _extend_lineage(chain, heads)
+            attached = attached.unionByName(heads)
+            added.append(starts)
+        for rows in added:
             attached = attached.unionByName(rows)
-        attached = checkpointed(attached)
-    if copies is None:
-        copies = own.limit(0)
+            chain = _extend_lineage(chain, rows)
+        attached, chain = checkpointed(attached), checkpointed(chain)
     return attached, copies

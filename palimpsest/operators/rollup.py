@@ -49,7 +49,7 @@ def dir_digests(files: DataFrame, max_depth: int | None = None) -> DataFrame:
         here = entries.filter(F.col("level") == level).drop("level")
         if trees is not None:
             here = here.unionByName(trees.select(F.col("dir").alias("path"), F.lit("tree").alias("mode"), "id"))
-        entry = F.concat_ws("\u0000", leaf_name(F.col("path")), "mode", "id")
+        entry = F.concat_ws("/", leaf_name(F.col("path")), "mode", "id")
         trees = (
             here.groupBy(parent_dir(F.col("path")).alias("dir"))
             .agg(set_digest(entry).alias("id"), F.count("*").alias("n_entries"))

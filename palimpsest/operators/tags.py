@@ -14,6 +14,7 @@ from palimpsest.functions.digest import set_digest
 from palimpsest.functions.notes import tag_line
 from palimpsest.operators.history import file_intervals, with_ord
 from palimpsest.operators.skew import salted_join
+from palimpsest.session import checkpointed
 
 FOUND, PARTIAL, OUT_OF_SYNC, NOT_FOUND = "FOUND", "PARTIAL", "OUT_OF_SYNC", "NOT_FOUND"
 
@@ -100,7 +101,7 @@ def tag_classes(tags: DataFrame) -> DataFrame:
 
     Classes are compared by a 120-bit set digest, not by gathered entries.
     """
-    entry = F.concat_ws("\u0000", F.col("path"), V.render_version(F.col("revision")))
+    entry = tag_line(F.col("path"), F.col("revision"))
     prints = tags.groupBy("tag").agg(set_digest(entry).alias("digest"), F.count("*").alias("n_files"))
     classes = prints.groupBy("digest", "n_files").agg(
         F.min("tag").alias("class"), F.count("*").alias("n_tags")
@@ -149,9 +150,13 @@ def tag_locate(tags: DataFrame, revisions: DataFrame, cell: Column | None = None
     history = revisions.withColumn("branch", F.lit(""))
     spans = file_intervals(history, cell).select("path", "revision", "ord", "next_ord")
     first = with_ord(history).groupBy("path").agg(F.min("ord").alias("first_ord"))
-    seen = tags.join(spans, ["path", "revision"], "left")
-    anchors = seen.groupBy("tag").agg(F.max("ord").alias("anchor"))
-    known = salted_join(seen.join(first, "path", "left"), anchors, ["tag"], F.col("path"))
+    anchors = (
+        tags.join(with_ord(history).select("path", "revision", "ord"), ["path", "revision"])
+        .groupBy("tag")
+        .agg(F.max("ord").alias("anchor"))
+    )
+    seen = tags.join(spans, ["path", "revision"], "left").join(first, "path", "left")
+    known = salted_join(seen, anchors, ["tag"], F.col("path"), how="left")
     holds = F.col("ord").isNotNull() & (F.col("next_ord").isNull() | (F.col("next_ord") > F.col("anchor")))
     absent = F.col("first_ord").isNull() | (F.col("first_ord") > F.col("anchor"))
     counts = known.select(
@@ -182,12 +187,12 @@ def tag_candidates(tags: DataFrame, own: DataFrame, lineage: DataFrame) -> DataF
     that made one of its versions and whose lineage made all of them.  Where no
     branch does, the one with the most of them is kept to report a status.
     """
-    owned = owned_counts(tags, own)
+    # A row per tag and branch, read several times below.
+    owned = checkpointed(owned_counts(tags, own))
     sizes = tags.groupBy("tag").agg(F.count("*").alias("n_files"))
-    chains = lineage.select("branch", F.col("ancestor"), "n_levels")
     covered = (
         owned.withColumnRenamed("branch", "ancestor")
-        .join(chains, "ancestor")
+        .join(lineage.select("branch", "ancestor", "n_levels"), "ancestor")
         .join(owned.select("tag", "branch"), ["tag", "branch"], "left_semi")
         .groupBy("tag", "branch")
         .agg(F.sum("n_own").alias("n_covered"), F.max("n_levels").alias("n_levels"))
@@ -196,8 +201,8 @@ def tag_candidates(tags: DataFrame, own: DataFrame, lineage: DataFrame) -> DataF
         F.max(F.struct("n_covered", "n_levels", "branch")).alias("best")
     )
     return (
-        covered.join(sizes, "tag")
-        .join(best, "tag")
+        covered.join(best, "tag")
+        .join(sizes, "tag")
         .filter((F.col("n_covered") >= F.col("n_files")) | (F.col("branch") == F.col("best.branch")))
         .select("tag", "branch")
     )
@@ -217,38 +222,39 @@ def tag_locate_on(
     pair in ``candidates(tag, branch)``; the anchor is
     ``struct(level, ord, owner)``.
     """
-    spans = file_intervals(own, cell).select(
-        F.col("branch").alias("ancestor"), "path", "revision", "ord", "next_ord"
+    commits = with_ord(own).withColumnRenamed("branch", "ancestor")
+    # A row per tag, candidate and level: small next to tags and commits.
+    members = checkpointed(
+        candidates.join(lineage, "branch").select("tag", "branch", "ancestor", "level", "cap")
     )
-    first = (
-        with_ord(own)
-        .groupBy(F.col("branch").alias("ancestor"), "path")
-        .agg(F.min("ord").alias("first_ord"))
-    )
-    members = candidates.join(lineage, "branch").select("tag", "branch", "ancestor", "level", "cap")
-    inside = F.col("cap").isNull() | (F.col("ord") <= F.col("cap"))
-
     hits = salted_join(
-        tags.join(spans.select("ancestor", "path", "revision", "ord"), ["path", "revision"]),
+        tags.join(commits.select("ancestor", "path", "revision", "ord"), ["path", "revision"]),
         members,
         ["tag", "ancestor"],
         F.col("path"),
-    ).filter(inside)
+    ).filter(F.col("cap").isNull() | (F.col("ord") <= F.col("cap")))
     anchors = hits.groupBy("tag", "branch").agg(
         F.max(F.struct("level", "ord", F.col("ancestor").alias("owner"))).alias("anchor")
     )
 
     # Every file of the tag against every level of the lineage up to the anchor.
-    levels = members.join(anchors, ["tag", "branch"], "left").filter(
-        F.col("anchor").isNull() | (F.col("level") <= F.col("anchor.level"))
-    )
     limit = F.when(F.col("level") == F.col("anchor.level"), F.col("anchor.ord")).otherwise(F.col("cap"))
+    levels = checkpointed(
+        members.join(anchors, ["tag", "branch"], "left")
+        .filter(F.col("anchor").isNull() | (F.col("level") <= F.col("anchor.level")))
+        .withColumn("limit", limit)
+        .drop("cap")
+    )
 
     def by_limit(column: str) -> Column:
         return F.col(column).isNotNull() & (F.col("limit").isNull() | (F.col(column) <= F.col("limit")))
 
+    spans = file_intervals(own, cell).select(
+        F.col("branch").alias("ancestor"), "path", "revision", "ord", "next_ord"
+    )
+    first = commits.groupBy("ancestor", "path").agg(F.min("ord").alias("first_ord"))
     checked = (
-        salted_join(tags, levels.withColumn("limit", limit), ["tag"], F.col("path"))
+        salted_join(tags, levels, ["tag"], F.col("path"))
         .join(first, ["ancestor", "path"], "left")
         .join(spans, ["ancestor", "path", "revision"], "left")
         .withColumn("exists", F.col("anchor").isNotNull() & by_limit("first_ord"))
@@ -264,7 +270,8 @@ def tag_locate_on(
         F.count_if(~F.col("state.holds")).alias("n_wrong"),
     )
     status = _status(F.col("anchor").isNotNull(), F.col("n_missing"), F.col("n_wrong"))
-    return counts.join(anchors, ["tag", "branch"], "left").withColumn("status", status)
+    places = levels.groupBy("tag", "branch").agg(F.max("anchor").alias("anchor"))
+    return counts.join(places, ["tag", "branch"]).withColumn("status", status)
 
 
 STATUS_RANK = {FOUND: 0, OUT_OF_SYNC: 1, PARTIAL: 2, NOT_FOUND: 3}

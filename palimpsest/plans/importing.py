@@ -13,6 +13,7 @@ from palimpsest.operators.history import branch_heads, with_ord
 from palimpsest.operators.incremental import KEY, after_heads, late_rows
 from palimpsest.operators.tags import branch_tags, clean_tags, plain_tags, tag_locate_all
 from palimpsest.schema import TRUNK
+from palimpsest.session import stored
 from palimpsest.sources import rlog
 from palimpsest.sources.tables import write_revisions, write_table
 
@@ -78,8 +79,13 @@ def import_tables(
     Of a branch that is known already only the commits past its head are taken;
     ``only_new`` leaves known branches alone altogether.
     """
+    # Both are read by every later step: parse and assign them once.
+    tags = stored(tags, "tags")
     entries = branch_tags(tags)
-    rows = revisions if "branch" in revisions.columns else lookup.assign_branches(revisions, entries)
+    rows = stored(
+        revisions if "branch" in revisions.columns else lookup.assign_branches(revisions, entries),
+        "revisions",
+    )
     fetched = lookup.useful(rows)
     noise = lookup.noise(rows).filter(F.col("branch") == TRUNK)
     known = late = None

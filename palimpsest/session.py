@@ -50,3 +50,14 @@ def checkpointed(df):
     """Cut the lineage of ``df`` with a reliable checkpoint."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df, name: str):
+    """Write ``df`` once below the shared folder and read it from there.
+
+    For frames that are costly to compute and read by several jobs: the readers
+    get column pruning and pushdown, and a lost executor costs no recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

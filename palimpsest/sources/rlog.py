@@ -115,7 +115,7 @@ def rlog_blocks(records: DataFrame, root: str | None = None, module: str | None
     )
     found = (
         cut.withColumn("near", F.last("file", ignorenulls=True).over(above))
-        .filter(F.col("block").isNotNull())
+        .filter(F.col("block").rlike("\\S"))
         .join(carried, ["source", "chunk"], "left")
         .withColumn("file", F.coalesce("near", "far"))
     )

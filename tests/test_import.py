@@ -13,8 +13,15 @@ from palimpsest.plans.importing import ImportOptions, import_log, import_summary
 from palimpsest.sources.rlog import read_log
 
 
+_loaded = {}
+
+
 def load(spark, module, **options):
-    return import_tables(golden.revisions(spark, module), golden.tags(spark, module), ImportOptions(**options))
+    key = (module, *sorted(options.items()))
+    if key not in _loaded:
+        tables = golden.revisions(spark, module), golden.tags(spark, module)
+        _loaded[key] = import_tables(*tables, ImportOptions(**options))
+    return _loaded[key]
 
 
 def commit_counts(history):
