@@ -16,7 +16,7 @@ from palimpsest.operators import branches, diff, fold, history, incremental, loo
 from palimpsest.plans import branch_diff as diff_plan
 from palimpsest.plans.importing import ImportOptions, import_summary as summarise, import_tables
 from palimpsest.schema import ord_struct
-from palimpsest.session import checkpointed, configure, scratch_path, stored
+from palimpsest.session import configure, scratch_path, stored
 from palimpsest.sources import rlog
 from palimpsest.streaming.importer import read_imported, start_import
 
@@ -501,7 +501,7 @@ def merge_base(spark, sf_dir):
 @query
 def branch_diff(spark, sf_dir):
     own, placed = Tables(spark, sf_dir).attached
-    chain = checkpointed(branches.lineage(placed))
+    chain = stored(branches.lineage(placed))
     changes = diff_plan.branch_diff(own, chain, "B3", "B2")
     return changes.select(
         "parent", "branch", "path", "change", version("old_id").alias("old_version"), version("new_id").alias("new_version")

@@ -15,7 +15,7 @@ from palimpsest.operators.tags import (
     tag_locate_on,
 )
 from palimpsest.schema import BRANCH_POINT_SUFFIX, TRUNK
-from palimpsest.session import checkpointed
+from palimpsest.session import stored
 
 GRAFTED, BRANCH_POINT, NONE = "GRAFTED", "BRANCH_POINT", "NONE"
 
@@ -34,7 +34,7 @@ def lineage(branches: DataFrame) -> DataFrame:
     last commit of the ancestor that belongs to the history, null for no limit.
     The loop runs once per branch level, not per branch.
     """
-    edges = checkpointed(branches.select("branch", "parent", "graft_ord"))
+    edges = stored(branches.select("branch", "parent", "graft_ord"))
     up = edges.filter(F.col("parent").isNotNull())
     hops = edges.select(
         "branch",
@@ -47,7 +47,7 @@ def lineage(branches: DataFrame) -> DataFrame:
         step = reached.select("branch", F.col("ancestor").alias("below"), "hop").join(
             up.select(F.col("branch").alias("below"), F.col("parent"), "graft_ord"), "below"
         )
-        reached = checkpointed(
+        reached = stored(
             step.select(
                 "branch",
                 F.col("parent").alias("ancestor"),
@@ -58,8 +58,8 @@ def lineage(branches: DataFrame) -> DataFrame:
         if reached.isEmpty():
             break
         hops = hops.unionByName(reached)
-    levels = hops.groupBy("branch").agg((F.max("hop") + 1).alias("n_levels"))
-    return hops.join(levels, "branch").select(
+    n_levels = F.max("hop").over(Window.partitionBy("branch")) + 1
+    return hops.withColumn("n_levels", n_levels).select(
         "branch",
         "ancestor",
         (F.col("n_levels") - 1 - F.col("hop")).cast("int").alias("level"),
@@ -212,8 +212,8 @@ def graft_points(
     graft_ord, method)`` and the copied commits.
     """
     attached = _trunk_only(own) if known is None else known.select("branch", "parent", "graft_ord", "method")
-    chain = checkpointed(lineage(attached))
-    depths = checkpointed(branch_depths(branch_entries).withColumnRenamed("tag", "branch"))
+    chain = stored(lineage(attached))
+    depths = stored(branch_depths(branch_entries).withColumnRenamed("tag", "branch"))
     todo = depths.join(attached, "branch", "left_anti")
     trunk = own.sparkSession.range(1).select(F.lit(TRUNK).alias("branch"))
     copies = own.limit(0)
@@ -225,14 +225,14 @@ def graft_points(
         if auto_graft:
             parents = depths.filter(F.col("depth") == level - 1).select("branch")
             points = clean_tags(branch_parent(entries), noise)
-            found = checkpointed(
+            found = stored(
                 _locate_grafts(own.unionByName(copies), points, chain, trunk if level == 2 else parents)
             )
-            pending = checkpointed(pending.join(found, "branch", "left_anti"))
+            pending = stored(pending.join(found, "branch", "left_anti"))
         added = [found]
         if not pending.isEmpty():
             lost = entries.join(pending.withColumnRenamed("branch", "tag"), "tag", "left_semi")
-            copied = checkpointed(branch_points(own, lost))
+            copied = stored(branch_points(own, lost))
             copies = copies.unionByName(copied)
             starts, heads = _start_from_copies(pending, copied)
             chain = _extend_lineage(chain, heads)
@@ -241,5 +241,5 @@ def graft_points(
         for rows in added:
             attached = attached.unionByName(rows)
             chain = _extend_lineage(chain, rows)
-        attached, chain = checkpointed(attached), checkpointed(chain)
+        attached, chain = stored(attached), stored(chain)
     return attached, copies

@@ -37,6 +37,6 @@ def fold_while(
     return result.select(
         *keys,
         F.when(~proceed(start), start)
-        .otherwise(F.coalesce("_stopped._acc", "_last._acc"))
+        .otherwise(F.coalesce("_stopped._acc", "_last._acc", start))
         .alias("folded"),
     )

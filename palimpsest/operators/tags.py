@@ -7,14 +7,14 @@ results or a salted join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palimpsest.functions import versions as V
 from palimpsest.functions.digest import set_digest
 from palimpsest.functions.notes import tag_line
 from palimpsest.operators.history import file_intervals, with_ord
 from palimpsest.operators.skew import salted_join
-from palimpsest.session import checkpointed
+from palimpsest.session import stored
 
 FOUND, PARTIAL, OUT_OF_SYNC, NOT_FOUND = "FOUND", "PARTIAL", "OUT_OF_SYNC", "NOT_FOUND"
 
@@ -187,23 +187,26 @@ def tag_candidates(tags: DataFrame, own: DataFrame, lineage: DataFrame) -> DataF
     that made one of its versions and whose lineage made all of them.  Where no
     branch does, the one with the most of them is kept to report a status.
     """
-    # A row per tag and branch, read several times below.
-    owned = checkpointed(owned_counts(tags, own))
+    owned = owned_counts(tags, own).withColumnRenamed("branch", "ancestor")
     sizes = tags.groupBy("tag").agg(F.count("*").alias("n_files"))
     covered = (
-        owned.withColumnRenamed("branch", "ancestor")
-        .join(lineage.select("branch", "ancestor", "n_levels"), "ancestor")
-        .join(owned.select("tag", "branch"), ["tag", "branch"], "left_semi")
+        owned.join(lineage.select("branch", "ancestor", "n_levels"), "ancestor")
         .groupBy("tag", "branch")
-        .agg(F.sum("n_own").alias("n_covered"), F.max("n_levels").alias("n_levels"))
+        .agg(
+            F.sum("n_own").alias("n_covered"),
+            F.max("n_levels").alias("n_levels"),
+            F.bool_or(F.col("ancestor") == F.col("branch")).alias("is_owner"),
+        )
+        .filter("is_owner")
     )
-    best = covered.groupBy("tag").agg(
-        F.max(F.struct("n_covered", "n_levels", "branch")).alias("best")
+    # Per tag as many rows as branches made one of its versions.
+    best = F.row_number().over(
+        Window.partitionBy("tag").orderBy(F.desc("n_covered"), F.desc("n_levels"), "branch")
     )
     return (
-        covered.join(best, "tag")
+        covered.withColumn("rank", best)
         .join(sizes, "tag")
-        .filter((F.col("n_covered") >= F.col("n_files")) | (F.col("branch") == F.col("best.branch")))
+        .filter((F.col("n_covered") >= F.col("n_files")) | (F.col("rank") == 1))
         .select("tag", "branch")
     )
 
@@ -224,7 +227,7 @@ def tag_locate_on(
     """
     commits = with_ord(own).withColumnRenamed("branch", "ancestor")
     # A row per tag, candidate and level: small next to tags and commits.
-    members = checkpointed(
+    members = stored(
         candidates.join(lineage, "branch").select("tag", "branch", "ancestor", "level", "cap")
     )
     hits = salted_join(
@@ -239,7 +242,7 @@ def tag_locate_on(
 
     # Every file of the tag against every level of the lineage up to the anchor.
     limit = F.when(F.col("level") == F.col("anchor.level"), F.col("anchor.ord")).otherwise(F.col("cap"))
-    levels = checkpointed(
+    levels = stored(
         members.join(anchors, ["tag", "branch"], "left")
         .filter(F.col("anchor").isNull() | (F.col("level") <= F.col("anchor.level")))
         .withColumn("limit", limit)

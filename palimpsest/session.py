@@ -36,7 +36,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="palimpsest-")
-    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
 
@@ -46,17 +45,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage of ``df`` with a reliable checkpoint."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stored(df, name: str):
+def stored(df, name: str = "step"):
     """Write ``df`` once below the shared folder and read it from there.
 
-    For frames that are costly to compute and read by several jobs: the readers
-    get column pruning and pushdown, and a lost executor costs no recomputation.
+    Cuts the lineage like a reliable checkpoint, and does more: the readers get
+    column pruning, pushdown and true sizes to choose their joins by, and a
+    lost executor costs no recomputation.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
