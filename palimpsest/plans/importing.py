@@ -92,7 +92,7 @@ def import_tables(
     own = fetched
     if imported is not None:
         known = imported.branches
-        heads = branch_heads(imported.revisions)
+        heads = stored(branch_heads(imported.revisions), "heads")
         if options.only_new:
             fetched = fetched.join(heads.select("branch"), "branch", "left_anti")
         late = late_rows(fetched, heads, imported.revisions)

@@ -141,25 +141,28 @@ def parse_blocks(blocks: DataFrame, date_formats: Sequence[str] = LOG_DATE_FORMA
     has_branches = F.coalesce(F.get("lines", F.lit(2)).rlike(r"^branches:\s"), F.lit(False))
     skipped = F.when(has_branches, 3).otherwise(2)
     comment = F.slice("lines", skipped + 1, F.greatest(F.size("lines") - skipped, F.lit(0)))
-    rows = blocks.withColumn("lines", F.split("block", "\n")).select(
-        *RECORD,
-        "path",
-        "default_branch",
+    commit = F.struct(
         parse_version(revision).alias("revision"),
         F.coalesce(field("state") == "dead", F.lit(False)).alias("is_dead"),
         parse_date(field("date"), date_formats).alias("date"),
         field("author").alias("author"),
         _squeeze(F.array_join(comment, "\n")).alias("comment"),
         field("commitid").alias("commit_id"),
-        "block",
+    )
+    # Exploding an array of one keeps filters on the result from being pushed
+    # below it, where they would parse every block a second time.
+    rows = blocks.withColumn("lines", F.split("block", "\n")).select(
+        *RECORD, "path", "default_branch", "block", F.explode(F.array(commit)).alias("commit")
     )
     complete = (
         F.col("path").isNotNull()
-        & F.col("revision").isNotNull()
-        & F.col("date").isNotNull()
-        & F.col("author").isNotNull()
+        & F.col("commit.revision").isNotNull()
+        & F.col("commit.date").isNotNull()
+        & F.col("commit.author").isNotNull()
+    )
+    return rows.select(
+        *RECORD, "path", "default_branch", "commit.*", F.when(~complete, F.col("block")).alias("_corrupt")
     )
-    return rows.withColumn("_corrupt", F.when(~complete, F.col("block"))).drop("block")
 
 
 def parse_rlog(

@@ -25,12 +25,13 @@ def read_revisions(
 def write_revisions(revisions: DataFrame, folder: str, mode: str = "append") -> None:
     """Append to the change log, one directory per branch.
 
-    Rows are spread by branch and path, so that a large branch is written by
-    many tasks and each file holds few branches.
+    A range shuffle gives tasks of even size whatever the sizes of branches and
+    paths, each with few branches and neighbouring paths.
     """
+    layout = ["branch", "path", "date", "revision"]
     (
-        revisions.repartition("branch", "path")
-        .sortWithinPartitions("branch", "path", "date")
+        revisions.repartitionByRange(*layout)
+        .sortWithinPartitions(*layout)
         .write.mode(mode)
         .partitionBy("branch")
         .parquet(f"{folder}/revisions")

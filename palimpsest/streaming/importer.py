@@ -9,42 +9,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from palimpsest.operators.history import branch_heads
 from palimpsest.operators.incremental import KEY, after_heads, late_rows
 from palimpsest.operators.lookup import useful
 
 
-def _before(spark: SparkSession, path: str, schema, batch_id: int) -> DataFrame:
-    """What earlier batches wrote; empty before the first one."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return (
-        spark.read.schema(schema.add("batch", "long"))
-        .parquet(path)
-        .filter(F.col("batch") < batch_id)
-        .drop("batch")
-    )
-
-
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
 def import_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     """Take one batch of revisions into the tables below ``folder``."""
-    spark = batch.sparkSession
+    spark, schema = batch.sparkSession, batch.schema
     commits = useful(batch).dropDuplicates(list(KEY))
-    head_schema = branch_heads(commits).schema
-    heads = _before(spark, f"{folder}/heads", head_schema, batch_id)
-    latest = heads.groupBy("branch").agg(F.max("ord").alias("ord"))
-    history = _before(spark, f"{folder}/revisions", type(batch.schema)(list(batch.schema)), batch_id)
-    taken = after_heads(commits, latest)
-    _write(taken, f"{folder}/revisions", batch_id)
-    _write(late_rows(commits, latest, history), f"{folder}/late", batch_id)
-    # One row per branch that moved, read back from what was written.
-    written = spark.read.schema(batch.schema).parquet(f"{folder}/revisions/batch={batch_id}")
-    _write(branch_heads(written), f"{folder}/heads", batch_id)
+    empty = branch_heads(commits).limit(0)
+    heads, history = empty, batch.limit(0)
+    if batch_id > 0:
+        # Each batch leaves the heads of all branches, so the last one is enough.
+        heads = spark.read.schema(empty.schema).parquet(f"{folder}/heads/batch={batch_id - 1}")
+        history = read_imported(spark, folder, schema, before=batch_id)
+    _write(after_heads(commits, heads), f"{folder}/revisions", batch_id)
+    _write(late_rows(commits, heads, history), f"{folder}/late", batch_id)
+    written = spark.read.schema(schema).parquet(f"{folder}/revisions/batch={batch_id}")
+    moved = heads.unionByName(branch_heads(written)).groupBy("branch").agg(F.max("ord").alias("ord"))
+    _write(moved, f"{folder}/heads", batch_id)
 
 
 def start_import(stream: DataFrame, folder: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -61,6 +51,9 @@ def start_import(stream: DataFrame, folder: str, checkpoint: str, **trigger) ->
     )
 
 
-def read_imported(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """All revisions taken so far."""
-    return spark.read.schema(schema).parquet(f"{folder}/revisions")
+def read_imported(spark: SparkSession, folder: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """All revisions taken so far, or those of earlier batches."""
+    rows = spark.read.schema(StructType([*schema, StructField("batch", LongType())])).parquet(f"{folder}/revisions")
+    if before is not None:
+        rows = rows.filter(F.col("batch") < before)
+    return rows.drop("batch")
