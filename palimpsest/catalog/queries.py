@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palimpsest.catalog import bindings as B
 from palimpsest.functions import dates, digest, notes, paths, tagmaps, versions as V
-from palimpsest.operators import branches, diff, fold, history, incremental, lookup, ordered, rollup, tags
+from palimpsest.operators import branches, diff, fold, history, incremental, lookup, rollup, tags
 from palimpsest.plans import branch_diff as diff_plan
 from palimpsest.plans.importing import ImportOptions, import_summary as summarise, import_tables
 from palimpsest.schema import ord_struct
@@ -101,8 +101,7 @@ class Tables:
 
 @query
 def commit_order(spark, sf_dir):
-    rows = history.with_ord(lookup.useful(B.trunk(spark, sf_dir)))
-    numbered = ordered.position(rows, ["branch"], ["ord"], "position", ordered.time_cell("date", "hour"))
+    numbered = history.commit_positions(lookup.useful(B.trunk(spark, sf_dir)))
     return numbered.select(F.col("position").cast("long"), *revision_columns())
 
 

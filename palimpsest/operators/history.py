@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palimpsest.operators import ordered
-from palimpsest.schema import ord_struct
+from palimpsest.schema import FILE_ORDER, ORDER, ord_struct, path_depth
 
 COMMIT = ("path", "revision", "date")
 
@@ -14,6 +14,16 @@ def with_ord(revisions: DataFrame) -> DataFrame:
     return revisions.withColumn("ord", ord_struct())
 
 
+def with_depth(revisions: DataFrame) -> DataFrame:
+    return revisions.withColumn("path_depth", path_depth("path"))
+
+
+def commit_positions(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
+    """Number every commit of a branch in commit order."""
+    rows = with_depth(revisions)
+    return ordered.position(rows, ["branch"], ORDER, "position", _cell(cell, "hour")).drop("path_depth")
+
+
 def _cell(cell: Column | None, unit: str) -> Column:
     return ordered.time_cell("date", unit) if cell is None else cell
 
@@ -27,9 +37,11 @@ def parent_links(
     ``branches(branch, graft_ord)``; on trunk it has no parent.
     """
     grafts = None if branches is None else branches.select("branch", "graft_ord")
-    return ordered.previous_row(
-        with_ord(revisions), ["branch"], ["ord"], F.col("ord"), "parent_ord", _cell(cell, "hour"), grafts
-    )
+    return with_ord(
+        ordered.previous_row(
+            with_depth(revisions), ["branch"], ORDER, ORDER, "parent_ord", _cell(cell, "hour"), grafts
+        )
+    ).drop("path_depth")
 
 
 def branch_heads(revisions: DataFrame) -> DataFrame:
@@ -49,9 +61,13 @@ def branch_log(revisions: DataFrame, branch: str) -> DataFrame:
 
 def file_intervals(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
     """Every revision with the order key of the one that replaces it (null: none)."""
-    return ordered.next_row(
-        with_ord(revisions), ["branch", "path"], ["ord"], F.col("ord"), "next_ord", _cell(cell, "day")
+    spans = ordered.next_row(
+        revisions, ["branch", "path"], FILE_ORDER, FILE_ORDER, "next", _cell(cell, "day")
+    )
+    next_ord = F.struct(
+        F.col("next.date"), path_depth("path").alias("path_depth"), F.col("path"), F.col("next.revision")
     )
+    return with_ord(spans).withColumn("next_ord", F.when(F.col("next").isNotNull(), next_ord)).drop("next")
 
 
 def snapshot_asof(revisions: DataFrame, at: Column, columns: tuple[str, ...] = ()) -> DataFrame:
@@ -72,12 +88,12 @@ def snapshot_asof(revisions: DataFrame, at: Column, columns: tuple[str, ...] = (
 
 def live_file_counts(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
     """Number of live files of the branch after each commit."""
-    commits = with_ord(revisions)
     seen = ordered.previous_row(
-        commits, ["branch", "path"], ["ord"], F.col("is_dead"), "was_dead", _cell(cell, "day")
+        with_depth(revisions), ["branch", "path"], FILE_ORDER, ["is_dead"], "before", _cell(cell, "day")
     )
-    was_live = ~F.coalesce("was_dead", F.lit(True))
+    was_live = ~F.coalesce("before.is_dead", F.lit(True))
     change = (~F.col("is_dead")).cast("int") - was_live.cast("int")
-    return ordered.running(
-        seen, ["branch"], ["ord"], change.cast("long"), "live_files", _cell(cell, "hour")
-    ).drop("was_dead")
+    counted = ordered.running(
+        seen, ["branch"], ORDER, change.cast("long"), "live_files", _cell(cell, "hour")
+    )
+    return counted.drop("before", "path_depth")

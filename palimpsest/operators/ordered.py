@@ -35,7 +35,7 @@ def _neighbour(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    value: Column,
+    columns: Sequence[str],
     into: str,
     cell: Column,
     ahead: bool,
@@ -43,14 +43,18 @@ def _neighbour(
 ) -> DataFrame:
     step = F.lead if ahead else F.lag
     pick = F.min_by if ahead else F.max_by
-    rows = df.withColumn(CELL, cell).withColumn("_value", value)
-    inside = rows.withColumn(
-        "_near", step("_value").over(Window.partitionBy(*keys, CELL).orderBy(*order))
+    rows = df.withColumn(CELL, cell)
+    inside = Window.partitionBy(*keys, CELL).orderBy(*order)
+    # Column by column, so that the shuffle does not carry a copy of them.
+    near = F.when(
+        step(columns[0]).over(inside).isNotNull(),
+        F.struct(*(step(name).over(inside).alias(name) for name in columns)),
     )
+    across = Window.partitionBy(*keys).orderBy(CELL)
     edges = (
         rows.groupBy(*keys, CELL)
-        .agg(pick(F.col("_value"), F.struct(*order)).alias("_edge"))
-        .withColumn("_far", step("_edge").over(Window.partitionBy(*keys).orderBy(CELL)))
+        .agg(pick(F.struct(*columns), F.struct(*order)).alias("_edge"))
+        .withColumn("_far", step("_edge").over(across))
         .drop("_edge")
     )
     if outside is not None:
@@ -61,25 +65,30 @@ def _neighbour(
             .drop("_outside")
         )
     return (
-        inside.join(edges, [*keys, CELL], "left")
+        rows.withColumn("_near", near)
+        .join(edges, [*keys, CELL], "left")
         .withColumn(into, F.coalesce("_near", "_far"))
-        .drop(CELL, "_value", "_near", "_far")
+        .drop(CELL, "_near", "_far")
     )
 
 
-def next_row(df, keys, order, value: Column, into: str, cell: Column) -> DataFrame:
-    """``value`` of the following row of the group; ``value`` must not be null."""
-    return _neighbour(df, keys, order, value, into, cell, ahead=True)
+def next_row(df, keys, order, columns: Sequence[str], into: str, cell: Column) -> DataFrame:
+    """``columns`` of the following row of the group as a struct, null after the last.
+
+    The first of the columns must not be null.
+    """
+    return _neighbour(df, keys, order, columns, into, cell, ahead=True)
 
 
 def previous_row(
-    df, keys, order, value: Column, into: str, cell: Column, outside: DataFrame | None = None
+    df, keys, order, columns: Sequence[str], into: str, cell: Column, outside: DataFrame | None = None
 ) -> DataFrame:
-    """``value`` of the preceding row of the group; ``value`` must not be null.
+    """``columns`` of the preceding row of the group as a struct.
 
-    ``outside``, the keys and a value, tells what precedes the first row.
+    The first of the columns must not be null.  ``outside``, the keys and such a
+    struct, tells what precedes the first row.
     """
-    return _neighbour(df, keys, order, value, into, cell, ahead=False, outside=outside)
+    return _neighbour(df, keys, order, columns, into, cell, ahead=False, outside=outside)
 
 
 _COMBINE = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
@@ -96,25 +105,25 @@ def running(
 ) -> DataFrame:
     """Running sum, min or max from the first row of the group to this one."""
     fold, combine = _COMBINE[how]
-    rows = df.withColumn(CELL, cell).withColumn("_value", value)
+    rows = df.withColumn(CELL, cell)
     within = (
         Window.partitionBy(*keys, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
     before = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         rows.groupBy(*keys, CELL)
-        .agg(fold("_value").alias("_total"))
+        .agg(fold(value).alias("_total"))
         .withColumn("_carried", fold("_total").over(before))
         .drop("_total")
     )
-    inside = rows.withColumn("_inside", fold("_value").over(within))
+    inside = rows.withColumn("_inside", fold(value).over(within))
     total = F.when(F.col("_carried").isNull(), F.col("_inside")).otherwise(
         combine(F.col("_carried"), F.col("_inside"))
     )
     return (
         inside.join(carried, [*keys, CELL], "left")
         .withColumn(into, total)
-        .drop(CELL, "_value", "_inside", "_carried")
+        .drop(CELL, "_inside", "_carried")
     )
 
 

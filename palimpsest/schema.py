@@ -41,6 +41,8 @@ CONTENTS = T.StructType(
 # The commit order.  A struct compares field by field, so one column is enough
 # for max(), lead() and range filters, and no global row number is needed.
 ORDER = ("date", "path_depth", "path", "revision")
+# Enough among the versions of one path.
+FILE_ORDER = ("date", "revision")
 
 
 def path_depth(path: Column | str = "path") -> Column:

@@ -32,8 +32,8 @@ def rows(spark):
 def test_same_as_plain_windows(rows, unit):
     cell = ordered.time_cell("date", unit)
     keys, order = ["key"], ["date", "id"]
-    df = ordered.next_row(rows, keys, order, F.col("id"), "nxt", cell)
-    df = ordered.previous_row(df, keys, order, F.col("id"), "prv", cell)
+    df = ordered.next_row(rows, keys, order, ["id", "v"], "nxt", cell)
+    df = ordered.previous_row(df, keys, order, ["id", "v"], "prv", cell)
     df = ordered.position(df, keys, order, "pos", cell)
     for how in ("sum", "min", "max"):
         df = ordered.running(df, keys, order, F.col("v"), how, cell, how)
@@ -48,16 +48,18 @@ def test_same_as_plain_windows(rows, unit):
         F.min("v").over(upto).alias("min"),
         F.max("v").over(upto).alias("max"),
     )
+    assert df.filter("nxt.v is null and nxt is not null").isEmpty()
+    df = df.withColumn("nxt", F.col("nxt.id")).withColumn("prv", F.col("prv.id"))
     mine = sorted(tuple(r) for r in df.select(plain.columns).collect())
     assert mine == sorted(tuple(r) for r in plain.collect())
 
 
 def test_first_row_follows_outside_value(spark, rows):
-    outside = spark.createDataFrame([("hot", -1)], "key string, at long")
-    df = ordered.previous_row(rows, ["key"], ["date", "id"], F.col("id"), "prv", ordered.time_cell(), outside)
+    outside = spark.createDataFrame([("hot", (-1,))], "key string, at struct<id:bigint>")
+    df = ordered.previous_row(rows, ["key"], ["date", "id"], ["id"], "prv", ordered.time_cell(), outside)
     missing = df.filter("prv is null").select("key").collect()
     assert "hot" not in {r.key for r in missing} and len(missing) == df.select("key").distinct().count() - 1
-    assert df.filter("prv = -1").count() == 1
+    assert df.filter("prv.id = -1").count() == 1
 
 
 def test_range_cells_are_even(rows):
