@@ -90,10 +90,10 @@ class Tables:
         return lookup.useful(self.trunk).unionByName(self.own)
 
     @cached_property
-    def attached(self) -> tuple[DataFrame, DataFrame]:
-        """Useful commits of all branches, and the branches with their graft points."""
-        placed, copies = branches.graft_points(self.useful, self.entries, lookup.noise(self.revisions))
-        return self.useful.unionByName(copies), placed
+    def attached(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Branches with their graft points, useful commits of all branches, their timeline."""
+        placed, copies, spans = branches.graft_points(self.useful, self.entries, lookup.noise(self.revisions))
+        return placed, self.useful.unionByName(copies), spans
 
 
 # Scalars and lookups
@@ -375,11 +375,11 @@ def tag_locate(spark, sf_dir):
 @query
 def tag_locate_all(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    own, placed = t.attached
+    placed, _, spans = t.attached
     # S: where the branches start.
     starts = tags.branch_parent(t.entries).withColumn("tag", F.concat(F.lit("S"), "tag"))
     cleaned = tags.clean_tags(t.tags.unionByName(starts), lookup.noise(t.revisions))
-    located = tags.tag_locate_all(cleaned, own, branches.lineage(placed))
+    located = tags.tag_locate_all(cleaned, spans, stored(branches.lineage(placed)))
     found = F.col("status") == tags.FOUND
     return located.select(
         "tag",
@@ -476,7 +476,7 @@ def fold_while(spark, sf_dir):
 
 @query
 def graft_points(spark, sf_dir):
-    _, placed = Tables(spark, sf_dir).attached
+    placed, _, _ = Tables(spark, sf_dir).attached
     return placed.select("branch", "parent", "method", *place("graft_ord", "graft"))
 
 
@@ -489,7 +489,7 @@ def branch_points(spark, sf_dir):
 
 @query
 def merge_base(spark, sf_dir):
-    _, placed = Tables(spark, sf_dir).attached
+    placed, _, _ = Tables(spark, sf_dir).attached
     chain = branches.lineage(placed)
     name = F.concat(F.lit("B"), F.col("id"))
     ids = spark.range(1, B.BRANCHES + 1)
@@ -499,7 +499,7 @@ def merge_base(spark, sf_dir):
 
 @query
 def branch_diff(spark, sf_dir):
-    own, placed = Tables(spark, sf_dir).attached
+    placed, own, _ = Tables(spark, sf_dir).attached
     chain = stored(branches.lineage(placed))
     changes = diff_plan.branch_diff(own, chain, "B3", "B2")
     return changes.select(

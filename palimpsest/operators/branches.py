@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from palimpsest.functions import versions as V
-from palimpsest.operators.history import branch_heads, with_ord
+from palimpsest.operators.history import branch_heads, timeline, with_ord
 from palimpsest.operators.tags import (
     FOUND,
     branch_parent,
     branch_tags,
     clean_tags,
-    tag_candidates,
     tag_locate_on,
 )
 from palimpsest.schema import BRANCH_POINT_SUFFIX, TRUNK
@@ -146,10 +145,10 @@ def _trunk_only(own: DataFrame) -> DataFrame:
 
 
 def _locate_grafts(
-    histories: DataFrame, points: DataFrame, chain: DataFrame, parents: DataFrame
+    spans: DataFrame, points: DataFrame, chain: DataFrame, parents: DataFrame
 ) -> DataFrame:
     """The commit each branch point denotes in a history of one of ``parents(branch)``."""
-    located = tag_locate_on(points, tag_candidates(points, histories, chain), histories, chain)
+    located = tag_locate_on(points, spans, chain)
     reachable = chain.join(parents, "branch", "left_semi").select(
         F.col("ancestor").alias("parent"), F.col("cap")
     )
@@ -198,7 +197,7 @@ def graft_points(
     noise: DataFrame,
     auto_graft: bool = True,
     known: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Attach every branch to the commit it forks from.
 
     ``own`` holds the useful commits of trunk and of all branches,
@@ -209,8 +208,10 @@ def graft_points(
     from copies of its branch-point commits, if there are any.
 
     ``known`` has branches attached before.  Returns ``branches(branch, parent,
-    graft_ord, method)`` and the copied commits.
+    graft_ord, method)``, the copied commits and the timeline of all commits.
     """
+    # Every level looks branches up in it: computed once.
+    spans = stored(timeline(own), "timeline")
     attached = _trunk_only(own) if known is None else known.select("branch", "parent", "graft_ord", "method")
     chain = stored(lineage(attached))
     depths = stored(branch_depths(branch_entries).withColumnRenamed("tag", "branch"))
@@ -225,15 +226,14 @@ def graft_points(
         if auto_graft:
             parents = depths.filter(F.col("depth") == level - 1).select("branch")
             points = clean_tags(branch_parent(entries), noise)
-            found = stored(
-                _locate_grafts(own.unionByName(copies), points, chain, trunk if level == 2 else parents)
-            )
+            found = stored(_locate_grafts(spans, points, chain, trunk if level == 2 else parents))
             pending = stored(pending.join(found, "branch", "left_anti"))
         added = [found]
         if not pending.isEmpty():
             lost = entries.join(pending.withColumnRenamed("branch", "tag"), "tag", "left_semi")
             copied = stored(branch_points(own, lost))
             copies = copies.unionByName(copied)
+            spans = spans.unionByName(stored(timeline(copied), "timeline"))
             starts, heads = _start_from_copies(pending, copied)
             chain = _extend_lineage(chain, heads)
             attached = attached.unionByName(heads)
@@ -241,5 +241,5 @@ def graft_points(
         for rows in added:
             attached = attached.unionByName(rows)
             chain = _extend_lineage(chain, rows)
-        attached, chain = stored(attached), stored(chain)
-    return attached, copies
+        chain = stored(chain)
+    return stored(attached), copies, spans

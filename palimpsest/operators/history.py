@@ -60,9 +60,12 @@ def branch_log(revisions: DataFrame, branch: str) -> DataFrame:
 
 
 def file_intervals(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
-    """Every revision with the order key of the one that replaces it (null: none)."""
+    """Every revision with the order key of the one that replaces it (null: none).
+
+    ``opens`` marks the first revision of a file on its branch.
+    """
     spans = ordered.next_row(
-        revisions, ["branch", "path"], FILE_ORDER, FILE_ORDER, "next", _cell(cell, "day")
+        revisions, ["branch", "path"], FILE_ORDER, FILE_ORDER, "next", _cell(cell, "day"), "opens"
     )
     next_ord = F.struct(
         F.col("next.date"), path_depth("path").alias("path_depth"), F.col("path"), F.col("next.revision")
@@ -70,6 +73,12 @@ def file_intervals(revisions: DataFrame, cell: Column | None = None) -> DataFram
     return with_ord(spans).withColumn("next_ord", F.when(F.col("next").isNotNull(), next_ord)).drop("next")
 
 
+def timeline(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
+    """Intervals of all files in the columns that tag location needs."""
+    spans = file_intervals(revisions.select("branch", "path", "revision", "date"), cell)
+    return spans.select("branch", "path", "revision", "ord", "next_ord", "opens")
+
+
 def snapshot_asof(revisions: DataFrame, at: Column, columns: tuple[str, ...] = ()) -> DataFrame:
     """Live files of every branch after the last commit at or before the date ``at``.
 

@@ -40,6 +40,7 @@ def _neighbour(
     cell: Column,
     ahead: bool,
     outside: DataFrame | None = None,
+    opens: str | None = None,
 ) -> DataFrame:
     step = F.lead if ahead else F.lag
     pick = F.min_by if ahead else F.max_by
@@ -55,6 +56,7 @@ def _neighbour(
         rows.groupBy(*keys, CELL)
         .agg(pick(F.struct(*columns), F.struct(*order)).alias("_edge"))
         .withColumn("_far", step("_edge").over(across))
+        .withColumn("_first_cell", F.row_number().over(across) == 1)
         .drop("_edge")
     )
     if outside is not None:
@@ -64,20 +66,24 @@ def _neighbour(
             .withColumn("_far", F.coalesce("_far", "_outside"))
             .drop("_outside")
         )
-    return (
-        rows.withColumn("_near", near)
-        .join(edges, [*keys, CELL], "left")
-        .withColumn(into, F.coalesce("_near", "_far"))
-        .drop(CELL, "_near", "_far")
-    )
+    near_rows = rows.withColumn("_near", near)
+    if opens:
+        near_rows = near_rows.withColumn("_first_row", F.row_number().over(inside) == 1)
+    joined = near_rows.join(edges, [*keys, CELL], "left").withColumn(into, F.coalesce("_near", "_far"))
+    if opens:
+        joined = joined.withColumn(opens, F.col("_first_row") & F.col("_first_cell"))
+    return joined.drop(CELL, "_near", "_far", "_first_row", "_first_cell")
 
 
-def next_row(df, keys, order, columns: Sequence[str], into: str, cell: Column) -> DataFrame:
+def next_row(
+    df, keys, order, columns: Sequence[str], into: str, cell: Column, opens: str | None = None
+) -> DataFrame:
     """``columns`` of the following row of the group as a struct, null after the last.
 
-    The first of the columns must not be null.
+    The first of the columns must not be null.  ``opens`` names a flag to add
+    that marks the first row of the group.
     """
-    return _neighbour(df, keys, order, columns, into, cell, ahead=True)
+    return _neighbour(df, keys, order, columns, into, cell, ahead=True, opens=opens)
 
 
 def previous_row(

@@ -174,20 +174,20 @@ def tag_locate(tags: DataFrame, revisions: DataFrame, cell: Column | None = None
     return counts.withColumn("status", status)
 
 
-def owned_counts(tags: DataFrame, own: DataFrame) -> DataFrame:
-    """Per tag and branch, how many of its versions were made on the branch."""
-    hits = tags.join(own.select("path", "revision", "branch"), ["path", "revision"])
-    return hits.groupBy("tag", "branch").agg(F.count("*").alias("n_own"))
+def _hits(tags: DataFrame, timeline: DataFrame) -> DataFrame:
+    """Every branch that made a tagged version, with the place of the commit."""
+    made = timeline.select(F.col("branch").alias("ancestor"), "path", "revision", "ord")
+    return tags.join(made, ["path", "revision"]).select("tag", "path", "ancestor", "ord")
 
 
-def tag_candidates(tags: DataFrame, own: DataFrame, lineage: DataFrame) -> DataFrame:
+def tag_candidates(tags: DataFrame, hits: DataFrame, lineage: DataFrame) -> DataFrame:
     """The branches on which a tag may be found.
 
     If a tag is found anywhere, it is found, at the same commit, on a branch
     that made one of its versions and whose lineage made all of them.  Where no
     branch does, the one with the most of them is kept to report a status.
     """
-    owned = owned_counts(tags, own).withColumnRenamed("branch", "ancestor")
+    owned = hits.groupBy("tag", "ancestor").agg(F.count("*").alias("n_own"))
     sizes = tags.groupBy("tag").agg(F.count("*").alias("n_files"))
     covered = (
         owned.join(lineage.select("branch", "ancestor", "n_levels"), "ancestor")
@@ -212,32 +212,29 @@ def tag_candidates(tags: DataFrame, own: DataFrame, lineage: DataFrame) -> DataF
 
 
 def tag_locate_on(
-    tags: DataFrame,
-    candidates: DataFrame,
-    own: DataFrame,
-    lineage: DataFrame,
-    cell: Column | None = None,
+    tags: DataFrame, timeline: DataFrame, lineage: DataFrame, candidates: DataFrame | None = None
 ) -> DataFrame:
     """Where tags were set in the histories of several branches.
 
-    ``own`` has each branch's own commits, ``lineage(branch, ancestor, level,
-    cap)`` what its history is made of (see ``branches.lineage``).  One row per
-    pair in ``candidates(tag, branch)``; the anchor is
-    ``struct(level, ord, owner)``.
+    ``timeline`` has the intervals of each branch's own commits (see
+    ``history.timeline``), ``lineage(branch, ancestor, level, cap)`` what its
+    history is made of (see ``branches.lineage``).  One row per pair of
+    ``candidates(tag, branch)``, by default the branches on which a tag may be
+    found; the anchor is ``struct(level, ord, owner)``.
     """
-    commits = with_ord(own).withColumnRenamed("branch", "ancestor")
+    # About as long as the tags themselves, and read twice.
+    hits = stored(_hits(tags, timeline), "hits")
+    if candidates is None:
+        candidates = tag_candidates(tags, hits, lineage)
     # A row per tag, candidate and level: small next to tags and commits.
     members = stored(
-        candidates.join(lineage, "branch").select("tag", "branch", "ancestor", "level", "cap")
+        candidates.join(lineage, "branch").select("tag", "branch", "ancestor", "level", "cap"), "members"
     )
-    hits = salted_join(
-        tags.join(commits.select("ancestor", "path", "revision", "ord"), ["path", "revision"]),
-        members,
-        ["tag", "ancestor"],
-        F.col("path"),
-    ).filter(F.col("cap").isNull() | (F.col("ord") <= F.col("cap")))
-    anchors = hits.groupBy("tag", "branch").agg(
-        F.max(F.struct("level", "ord", F.col("ancestor").alias("owner"))).alias("anchor")
+    anchors = (
+        salted_join(hits, members, ["tag", "ancestor"], F.col("path"))
+        .filter(F.col("cap").isNull() | (F.col("ord") <= F.col("cap")))
+        .groupBy("tag", "branch")
+        .agg(F.max(F.struct("level", "ord", F.col("ancestor").alias("owner"))).alias("anchor"))
     )
 
     # Every file of the tag against every level of the lineage up to the anchor.
@@ -246,20 +243,19 @@ def tag_locate_on(
         members.join(anchors, ["tag", "branch"], "left")
         .filter(F.col("anchor").isNull() | (F.col("level") <= F.col("anchor.level")))
         .withColumn("limit", limit)
-        .drop("cap")
+        .drop("cap"),
+        "levels",
     )
 
     def by_limit(column: str) -> Column:
         return F.col(column).isNotNull() & (F.col("limit").isNull() | (F.col(column) <= F.col("limit")))
 
-    spans = file_intervals(own, cell).select(
-        F.col("branch").alias("ancestor"), "path", "revision", "ord", "next_ord"
-    )
-    first = commits.groupBy("ancestor", "path").agg(F.min("ord").alias("first_ord"))
+    spans = timeline.withColumnRenamed("branch", "ancestor")
+    first = spans.filter("opens").select("ancestor", "path", F.col("ord").alias("first_ord"))
     checked = (
         salted_join(tags, levels, ["tag"], F.col("path"))
         .join(first, ["ancestor", "path"], "left")
-        .join(spans, ["ancestor", "path", "revision"], "left")
+        .join(spans.drop("opens"), ["ancestor", "path", "revision"], "left")
         .withColumn("exists", F.col("anchor").isNotNull() & by_limit("first_ord"))
         .withColumn("holds", by_limit("ord") & ~by_limit("next_ord"))
     )
@@ -273,7 +269,9 @@ def tag_locate_on(
         F.count_if(~F.col("state.holds")).alias("n_wrong"),
     )
     status = _status(F.col("anchor").isNotNull(), F.col("n_missing"), F.col("n_wrong"))
-    places = levels.groupBy("tag", "branch").agg(F.max("anchor").alias("anchor"))
+    places = levels.filter(F.col("ancestor") == F.coalesce("anchor.owner", "branch")).select(
+        "tag", "branch", "anchor"
+    )
     return counts.join(places, ["tag", "branch"]).withColumn("status", status)
 
 
@@ -287,18 +285,16 @@ def status_rank(status: Column) -> Column:
     return rank
 
 
-def tag_locate_all(
-    tags: DataFrame, own: DataFrame, lineage: DataFrame, cell: Column | None = None
-) -> DataFrame:
+def tag_locate_all(tags: DataFrame, timeline: DataFrame, lineage: DataFrame) -> DataFrame:
     """Best position of every tag over all branches.
 
     FOUND positions win, then the smaller branch name.  The branch is the one
     that owns the commit.  A tag without any commit has no branch.
     """
-    located = tag_locate_on(tags, tag_candidates(tags, own, lineage), own, lineage, cell)
+    located = tag_locate_on(tags, timeline, lineage)
     best = located.groupBy("tag").agg(
         F.min_by(
-            F.struct("branch", "status", "anchor", "n_files", "n_missing", "n_wrong"),
+            F.struct("branch", "status", "anchor", "n_missing", "n_wrong"),
             F.struct(status_rank(F.col("status")), F.col("branch")),
         ).alias("best")
     )

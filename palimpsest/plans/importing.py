@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from palimpsest.functions.dates import LOG_DATE_FORMATS
 from palimpsest.operators import lookup
 from palimpsest.operators.branches import graft_points, lineage
-from palimpsest.operators.history import branch_heads, with_ord
+from palimpsest.operators.history import branch_heads, timeline, with_ord
 from palimpsest.operators.incremental import KEY, after_heads, late_rows
 from palimpsest.operators.tags import branch_tags, clean_tags, plain_tags, tag_locate_all
 from palimpsest.schema import TRUNK
@@ -58,7 +58,8 @@ class History:
     tags: DataFrame
     branches: DataFrame
     tag_locations: DataFrame | None = None
-    late: DataFrame | None = field(default=None)
+    late: DataFrame | None = None
+    timeline: DataFrame | None = None
 
 
 def import_log(records: DataFrame, options: ImportOptions = ImportOptions(), imported: History | None = None) -> History:
@@ -98,16 +99,17 @@ def import_tables(
         late = late_rows(fetched, heads, imported.revisions)
         own = imported.revisions.unionByName(after_heads(fetched, heads))
         noise = noise.unionByName(imported.noise).dropDuplicates(list(KEY))
-    branches, copies = graft_points(own, entries, noise, options.auto_graft, known)
+    branches, copies, spans = graft_points(own, entries, noise, options.auto_graft, known)
     own = own.unionByName(copies)
-    history = History(own, noise, tags, branches, late=late)
+    history = History(own, noise, tags, branches, late=late, timeline=spans)
     return replace(history, tag_locations=locate_tags(history)) if options.resolve_tags else history
 
 
 def locate_tags(history: History) -> DataFrame:
     """Positions of all tags that are not branches."""
     tags = clean_tags(plain_tags(history.tags), history.noise)
-    return tag_locate_all(tags, history.revisions, lineage(history.branches))
+    spans = history.timeline if history.timeline is not None else stored(timeline(history.revisions), "timeline")
+    return tag_locate_all(tags, spans, lineage(history.branches))
 
 
 def import_summary(history: History) -> DataFrame:

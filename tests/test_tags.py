@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import golden
 from palimpsest.operators import tags as T
 from palimpsest.operators.branches import graft_points, lineage
+from palimpsest.operators.history import timeline
 from palimpsest.operators.lookup import noise, useful
 
 START = dt.datetime(2020, 1, 1)
@@ -131,10 +132,11 @@ def test_branch_histories(spark, seed):
         "branch string, parent string, graft_ord struct<date:timestamp,path_depth:int,path:string,revision:array<int>>",
     )
     chain = lineage(branches).cache()
+    spans = timeline(revisions, F.date_trunc("hour", "date")).cache()
     pairs = entries.select("tag").distinct().join(branches.select("branch"))
     got = {
         (r.tag, r.branch): (r.status, r.anchor and (r.anchor.owner, r.anchor.ord.path, tuple(r.anchor.ord.revision)))
-        for r in T.tag_locate_on(entries, pairs, revisions, chain).collect()
+        for r in T.tag_locate_on(entries, spans, chain, pairs).collect()
     }
     want = {}
     for tag, files in tags.items():
@@ -144,7 +146,7 @@ def test_branch_histories(spark, seed):
     assert got == want
 
     # Looking only at promising branches must find whatever any branch has.
-    best = {r.tag: r for r in T.tag_locate_all(entries, revisions, chain).collect()}
+    best = {r.tag: r for r in T.tag_locate_all(entries, spans, chain).collect()}
     for tag in tags:
         places = {want[tag, b][1] for b in full if want[tag, b][0] == "FOUND"}
         row = best[tag]
@@ -163,9 +165,9 @@ def test_unlimited_known_branches(spark):
     entries = T.branch_tags(golden.tags(spark, module))
     rows = assign_branches(golden.revisions(spark, module), entries)
     first = entries.filter(F.col("tag") != "experiment")
-    once, _ = graft_points(useful(rows), entries, noise(rows))
-    before, _ = graft_points(useful(rows), first, noise(rows))
-    after, _ = graft_points(useful(rows), entries, noise(rows), known=before)
+    once, _, _ = graft_points(useful(rows), entries, noise(rows))
+    before, _, _ = graft_points(useful(rows), first, noise(rows))
+    after, _, _ = graft_points(useful(rows), entries, noise(rows), known=before)
     assert sorted(map(str, once.collect())) == sorted(map(str, after.collect()))
 
 
