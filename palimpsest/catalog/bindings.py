@@ -99,8 +99,7 @@ def branch_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = (
         table(spark, sf_dir, "orders")
         .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-        .withColumn("k", (F.col("o_custkey") % 10).cast("int"))
-        .filter(F.col("k").between(1, BRANCHES))
+        .withColumn("k", (F.col("o_custkey") % BRANCHES + 1).cast("int"))
     )
     numbered = ordered.position(
         orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "rn", ordered.time_cell("o_orderdate", "month")
@@ -159,31 +158,38 @@ def branch_entries(trunk_tags: DataFrame, own: DataFrame) -> DataFrame:
     )
 
 
-def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two documents in a row are two versions of a file; some files have only one."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    number = F.floor(F.col("doc_id") / 2).cast("long")
-    rn = (F.col("doc_id") % 2 + 1).cast("int")
-    text = F.when(number % 5 == 0, "").otherwise(F.col("text"))
-    gone = ((number % 7 == 3) & (rn == 2)) | ((number % 7 == 4) & (rn == 1))
-    return docs.filter(~gone).select(
-        F.concat(F.lit("p"), number % 7, F.lit("/"), number, F.lit(".txt")).alias("path"),
-        _version(1, rn).alias("revision"),
-        text.cast("binary").alias("content"),
+def _document_versions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Every document as a file with up to two versions.
+
+    By ``doc_id % 5``: 0 and 1 are edited, 2 stays as it is, 3 is gone and 4
+    appears with the second version.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", *columns)
+    kind = F.col("doc_id") % 5
+    versions = (
+        F.when(kind == 3, F.array(F.lit(1))).when(kind == 4, F.array(F.lit(2))).otherwise(F.array(F.lit(1), F.lit(2)))
     )
+    path = F.concat(F.lit("p"), F.col("doc_id") % 7, F.lit("/"), "doc_id", F.lit(".txt"))
+    return docs.select(
+        "doc_id", *columns, path.alias("path"), F.explode(versions).alias("rn")
+    ).withColumn("revision", _version(1, F.col("rn")))
+
+
+def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of all document versions; the edit changes one word."""
+    rows = _document_versions(spark, sf_dir, "text")
+    edited = (F.col("rn") == 2) & (F.col("doc_id") % 5 < 2)
+    text = F.when(edited, F.replace("text", F.lit(" a "), F.lit(" some "))).otherwise(F.col("text"))
+    return rows.select("path", "revision", text.cast("binary").alias("content"))
 
 
 def content_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log of the content table; every eleventh document is dead."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    number = F.floor(F.col("doc_id") / 2).cast("long")
-    return docs.select(
+    """A log of the document versions; some are dead."""
+    return _document_versions(spark, sf_dir).select(
         F.lit(TRUNK).alias("branch"),
-        F.concat(F.lit("p"), number % 7, F.lit("/"), number, F.lit(".txt")).alias("path"),
-        _version(1, F.col("doc_id") % 2 + 1).alias("revision"),
-        (F.col("doc_id") % 11 == 0).alias("is_dead"),
-        "lang",
-        "source",
+        "path",
+        "revision",
+        ((F.col("rn") == 2) & (F.col("doc_id") % 11 == 0)).alias("is_dead"),
     )
 
 

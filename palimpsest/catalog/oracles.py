@@ -36,10 +36,10 @@ clean as (select t.* from tags t where not exists (select 1 from noise n where n
 
 OWN = """
 own as (
-  select cast(o_custkey % 10 as int) as k, 'B' || (o_custkey % 10) as branch, 'o' || o_custkey || '.txt' as path,
+  select cast(o_custkey % 8 + 1 as int) as k, 'B' || (o_custkey % 8 + 1) as branch, 'o' || o_custkey || '.txt' as path,
          cast(row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as int) as rn,
          o_orderstatus = 'P' as is_dead, o_orderdate as date, cast(o_orderkey as varchar) as commit_id
-  from orders where o_custkey % 10 between 1 and 8),
+  from orders),
 own_rev as (select *, '1.1.' || (2 * k) || '.' || rn as version from own),
 own_head as (select k, path, max(rn) as rn from own group by k, path)"""
 
@@ -85,14 +85,12 @@ located as (
   from counted c left join anchor a on a.tag = c.tag left join pos o on o.p = a.p)"""
 
 FILES = """
-files as (
-  select 'p' || (doc_id // 2 % 7) || '/' || (doc_id // 2) || '.txt' as path,
-         doc_id % 2 + 1 as rn, doc_id // 2 as number,
-         case when doc_id // 2 % 5 = 0 then '' else text end as text
-  from documents),
+version as (select unnest([1, 2]) as rn),
 contents as (
   select *, sha1(encode('blob ' || octet_length(encode(text))) || '\\x00'::blob || encode(text)) as blob_id
-  from files where not (number % 7 = 3 and rn = 2) and not (number % 7 = 4 and rn = 1))"""
+  from (select 'p' || (doc_id % 7) || '/' || doc_id || '.txt' as path, rn, doc_id,
+               case when rn = 2 and doc_id % 5 < 2 then replace(text, ' a ', ' some ') else text end as text
+        from documents, version where (doc_id % 5 <> 3 or rn = 1) and (doc_id % 5 <> 4 or rn = 2)) z)"""
 
 BLOCK = """
 block as (
@@ -169,6 +167,8 @@ ORACLES: dict[str, str] = {
                           when 1 then strftime(date, '%Y/%m/%d %H:%M:%S') else 'on ' || cast(date as varchar) end as raw,
                 case kind when 0 then date - interval '2' hour when 1 then date end as parsed from k)
         select commit_id, raw, cast(parsed as varchar) as parsed, strftime(parsed, '%Y/%m/%d') as day from r""",
+    "date_bounds": f"""with {REV} select {VERSION} from rev
+        where date > timestamp '2024-01-05' and date < timestamp '2024-01-15'""",
     "file_list": f"with {REV} select distinct path from rev",
     "commit_lookup": f"""with {REV} select {VERSION}, author, is_dead, comment, commit_id
         from rev where path = 'f3.txt' and rn = 2""",
@@ -176,11 +176,9 @@ ORACLES: dict[str, str] = {
         names as (select 'master' as name union select branch from own)
         select 'branch' as kind, name, 'refs/remotes/cvs/' || name as ref from names
         union all select distinct 'tag', tag, 'refs/tags/' || tag from tags""",
-    "content_lookup": f"""with {FILES},
-        dead as (select 'p' || (doc_id // 2 % 7) || '/' || (doc_id // 2) || '.txt' as path, doc_id % 2 + 1 as rn
-                 from documents where doc_id % 11 = 0)
-        select c.path, '1.' || c.rn as version, cast(octet_length(encode(text)) as bigint) as n_bytes, md5(text) as md5
-        from contents c where not exists (select 1 from dead d where d.path = c.path and d.rn = c.rn)""",
+    "content_lookup": f"""with {FILES}
+        select path, '1.' || rn as version, cast(octet_length(encode(text)) as bigint) as n_bytes, md5(text) as md5
+        from contents where not (rn = 2 and doc_id % 11 = 0)""",
     "content_digest": f"with {FILES} select path, '1.' || rn as version, blob_id from contents",
     "note_roundtrip": f"""with {REV}, n as (
           select *, case when cast(commit_id as bigint) % 4 > 0 then commit_id end as id from rev)
@@ -292,6 +290,16 @@ ORACLES: dict[str, str] = {
               union all select path, version, date, commit_id from own_rev)
         select 'B' || q.k || '.branch_point' as branch, c.path, c.version, cast(c.date as varchar) as date, c.commit_id
         from parents q join c on c.path = q.path and c.version = q.version""",
+    "graft_none": f"""with {ENTRIES},
+        c as (select path, '1.' || rn as version, path_depth, rn, date from live
+              union all select path, version, 0, rn, date from own_rev),
+        h as (select q.k, c.*, row_number() over (partition by q.k order by date desc, path_depth desc, c.path desc, rn desc) as i
+              from parents q join c on c.path = q.path and c.version = q.version)
+        select 'master' as branch, null as parent, 'NONE' as method, null as graft_path, null as graft_version, null as graft_date
+        union all
+        select 'B' || k || '.branch_point', null, 'NONE', null, null, null from h where i = 1
+        union all
+        select 'B' || k, 'B' || k || '.branch_point', 'BRANCH_POINT', path, version, cast(date as varchar) from h where i = 1""",
     "merge_base": f"""with {ENTRIES}, {LINEAGE},
         shared as (
           select l.branch as "left", r.branch as "right", l.ancestor, l.level,

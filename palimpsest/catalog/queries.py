@@ -161,6 +161,12 @@ def date_parse(spark, sf_dir):
     )
 
 
+@query
+def date_bounds(spark, sf_dir):
+    start, end = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-05", LATER))
+    return B.trunk(spark, sf_dir).filter(dates.within(F.col("date"), start, end)).select(*revision_columns())
+
+
 @query
 def file_list(spark, sf_dir):
     return lookup.file_list(B.trunk(spark, sf_dir))
@@ -480,6 +486,15 @@ def graft_points(spark, sf_dir):
     return placed.select("branch", "parent", "method", *place("graft_ord", "graft"))
 
 
+@query
+def graft_none(spark, sf_dir):
+    """Branches that are not looked up but start from copies of their branch points."""
+    t = Tables(spark, sf_dir)
+    noise = lookup.noise(t.revisions)
+    placed, _, _ = branches.graft_points(t.useful, t.entries, noise, auto_graft=False)
+    return placed.select("branch", "parent", "method", *place("graft_ord", "graft"))
+
+
 @query
 def branch_points(spark, sf_dir):
     t = Tables(spark, sf_dir)
