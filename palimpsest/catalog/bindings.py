@@ -38,7 +38,7 @@ def trunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     numbered = ordered.position(
-        events, ["user_id"], ["ts", "event_id"], "rn", ordered.time_cell("ts", "day")
+        events, ["user_id"], ["ts", "event_id"], "rn", ordered.time_cell("ts", "minute")
     )
     return numbered.select(
         F.lit(TRUNK).alias("branch"),
@@ -102,7 +102,7 @@ def branch_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("k", (F.col("o_custkey") % BRANCHES + 1).cast("int"))
     )
     numbered = ordered.position(
-        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "rn", ordered.time_cell("o_orderdate", "month")
+        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "rn", ordered.time_cell("o_orderdate", "day")
     )
     return numbered.select(
         F.concat(F.lit("B"), "k").alias("branch"),

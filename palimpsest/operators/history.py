@@ -21,11 +21,17 @@ def with_depth(revisions: DataFrame) -> DataFrame:
 def commit_positions(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
     """Number every commit of a branch in commit order."""
     rows = with_depth(revisions)
-    return ordered.position(rows, ["branch"], ORDER, "position", _cell(cell, "hour")).drop("path_depth")
+    return ordered.position(rows, ["branch"], ORDER, "position", _cell(cell)).drop("path_depth")
 
 
-def _cell(cell: Column | None, unit: str) -> Column:
-    return ordered.time_cell("date", unit) if cell is None else cell
+def _cell(cell: Column | None) -> Column:
+    """Minutes by default: a group with a third of a huge log still falls into small
+    cells, while the minutes of decades fit one task of the summary.
+
+    Only commits that pile up at one instant, as a bulk load leaves them, need
+    cells from ``ordered.range_cells``.
+    """
+    return ordered.time_cell("date", "minute") if cell is None else cell
 
 
 def parent_links(
@@ -39,7 +45,7 @@ def parent_links(
     grafts = None if branches is None else branches.select("branch", "graft_ord")
     return with_ord(
         ordered.previous_row(
-            with_depth(revisions), ["branch"], ORDER, ORDER, "parent_ord", _cell(cell, "hour"), grafts
+            with_depth(revisions), ["branch"], ORDER, ORDER, "parent_ord", _cell(cell), grafts
         )
     ).drop("path_depth")
 
@@ -65,7 +71,7 @@ def file_intervals(revisions: DataFrame, cell: Column | None = None) -> DataFram
     ``opens`` marks the first revision of a file on its branch.
     """
     spans = ordered.next_row(
-        revisions, ["branch", "path"], FILE_ORDER, FILE_ORDER, "next", _cell(cell, "day"), "opens"
+        revisions, ["branch", "path"], FILE_ORDER, FILE_ORDER, "next", _cell(cell), "opens"
     )
     next_ord = F.struct(
         F.col("next.date"), path_depth("path").alias("path_depth"), F.col("path"), F.col("next.revision")
@@ -98,11 +104,11 @@ def snapshot_asof(revisions: DataFrame, at: Column, columns: tuple[str, ...] = (
 def live_file_counts(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
     """Number of live files of the branch after each commit."""
     seen = ordered.previous_row(
-        with_depth(revisions), ["branch", "path"], FILE_ORDER, ["is_dead"], "before", _cell(cell, "day")
+        with_depth(revisions), ["branch", "path"], FILE_ORDER, ["is_dead"], "before", _cell(cell)
     )
     was_live = ~F.coalesce("before.is_dead", F.lit(True))
     change = (~F.col("is_dead")).cast("int") - was_live.cast("int")
     counted = ordered.running(
-        seen, ["branch"], ORDER, change.cast("long"), "live_files", _cell(cell, "hour")
+        seen, ["branch"], ORDER, change.cast("long"), "live_files", _cell(cell)
     )
     return counted.drop("before", "path_depth")

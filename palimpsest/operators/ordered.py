@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CELL = "_cell"
 
 
-def time_cell(column: str = "date", unit: str = "day") -> Column:
+def time_cell(column: str = "date", unit: str = "minute") -> Column:
     """Cells that follow the calendar."""
     return F.date_trunc(unit, F.col(column))
 
