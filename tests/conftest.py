@@ -14,12 +14,15 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("palimpsest-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield configure(session)
+    configure(session)
+    # Tiny tables: one job per query is faster than one per stage.
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    yield session
     session.stop()
