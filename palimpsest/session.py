@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: Folders of local sessions, kept until the process ends.
+_local_folders: list[tempfile.TemporaryDirectory] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on."""
@@ -25,8 +28,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where nothing is set,
-    as in local tests, a temporary folder is taken.
+    A cluster names it in ``spark.checkpoint.dir``.  Only where nothing is set and
+    the master is local, as in tests, a folder of this process is taken; it goes
+    when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -35,7 +39,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="palimpsest-")
+        folder = tempfile.TemporaryDirectory(prefix="palimpsest-", ignore_cleanup_errors=True)
+        _local_folders.append(folder)
+        root = folder.name
         sc.setCheckpointDir(root)
     return root
 
