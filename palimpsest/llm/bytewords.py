@@ -23,8 +23,9 @@ FIRST, SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 @dataclass
 class Words:
-    """Word ``k`` is ``data[starts[k]:ends[k]]``; text ``i`` has the words ``bounds[i]`` to ``bounds[i + 1]``."""
+    """``data`` is ``raw`` in lower case.  Word ``k`` is ``data[starts[k]:ends[k]]``; text ``i`` has the words ``bounds[i]`` to ``bounds[i + 1]``."""
 
+    raw: np.ndarray
     data: np.ndarray
     edges: np.ndarray
     starts: np.ndarray
@@ -85,8 +86,8 @@ def words_of(texts: pa.Array, inside: np.ndarray) -> Words:
         texts = texts.fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
-    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.zeros(0, np.uint8)
-    data = FOLD[data]
+    whole = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.zeros(0, np.uint8)
+    data = FOLD[whole]
     edges = offsets - offsets[0]
     n = len(data)
     solid = inside[data]
@@ -98,7 +99,7 @@ def words_of(texts: pa.Array, inside: np.ndarray) -> Words:
     start[cut] = solid[cut]
     end[cut - 1] = solid[cut - 1]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-    return Words(data, edges, starts, ends, np.searchsorted(starts, edges))
+    return Words(whole, data, edges, starts, ends, np.searchsorted(starts, edges))
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from palimpsest.llm import exact_dedup, packing, token_counts, url_filter
+from palimpsest.llm import exact_dedup, labelled, packing, quality, token_counts, toxicity, url_filter
 from palimpsest.llm.common import table
 from palimpsest.session import configure, scratch_path
 
@@ -62,3 +62,17 @@ def op7_best_fit_packing(spark, sf_dir):
         table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("byte_bpe_50k.tiktoken"), end_id=2, size=1024
     )
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    docs, held_out = table(spark, sf_dir, "documents"), labelled.fold_of("doc_id", 5) == 0
+    lexicon = toxicity.train(docs, table(spark, sf_dir, "labels"), use=~held_out)
+    return toxicity.score(docs, lexicon, held_out, threshold=0.5)
+
+
+@query
+def op8_quality_classifier(spark, sf_dir):
+    docs, held_out = table(spark, sf_dir, "documents"), labelled.fold_of("doc_id", 4) == 2
+    machine = quality.train(docs, table(spark, sf_dir, "labels"), use=~held_out)
+    return quality.score(docs, machine, held_out, threshold=0.7)

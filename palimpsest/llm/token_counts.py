@@ -1,13 +1,14 @@
 """Token counts without token ids.
 
 A tokenizer merges inside pre-tokens only, so a document has as many tokens as its pre-tokens have pieces.  Each
-block of documents is turned into postings: one row per distinct pre-token of the block, with the documents that
-hold it and how often.  Postings of one pre-token meet at one reducer, which counts its pieces once, and the
-products are summed per document with map-side combine.  Neither ids nor texts are shuffled.
+block of documents is turned into postings: for every distinct pre-token of the block, the documents that hold it
+and how often.  Postings are dealt by a hash of the pre-token, one packed row per block and bucket, so all of one
+pre-token meet at one reducer, which counts its pieces once; the products are summed per document with map-side
+combine.  Neither ids nor texts are shuffled.
 
-A pre-token that most documents of a block hold has long postings; such rows are dealt over ``salts`` reducers,
-a number that follows the shuffle partitions, and its pieces are counted once in each.  Blocks are bounded, and
-so are the reducers' memories of counted pre-tokens.
+A pre-token that many documents of a block hold has long postings; those are dealt over ``salts`` buckets, a number
+that follows the shuffle partitions, and its pieces are counted once in each.  Blocks are bounded, and so are the
+reducers' memories of counted pre-tokens.
 
 Documents should come from files or a stored table: a block is named by its partition, and a repeated task must
 see the same rows.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,7 +31,10 @@ from palimpsest.llm.pretokens import PreTokenizer, blocks, distinct
 BLOCK_CHARS, BLOCK_DOCS = 4 << 20, 1 << 16
 #: Distinct pre-tokens that a reducer remembers before it starts anew.
 REMEMBERED = 1 << 19
-POSTINGS = "word string, salt int, block bigint, postings binary, doc_id bigint, n_bytes bigint, special bigint"
+POSTINGS = (
+    "bucket int, block bigint, words binary, sizes binary, counts binary, postings binary,"
+    " place bigint, doc_id bigint, n_bytes bigint, special bigint"
+)
 #: A posting: the document's number in its block and the frequency.
 POSTING = np.dtype([("doc", "<u2"), ("freq", "<u2")])
 
@@ -38,18 +43,14 @@ def token_counts(
     docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row of ``docs``."""
-    conf = docs.sparkSession.conf
-    partitions = int(conf.get("spark.sql.shuffle.partitions"))
-    rows = documents_of(docs, id_col, text_col).mapInArrow(_postings(tokenizer_path, max(1, partitions // 64)), POSTINGS)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(1, partitions // 64)
+    rows = documents_of(docs, id_col, text_col).mapInArrow(_postings(tokenizer_path, 4 * partitions, salts), POSTINGS)
     sums = (
-        rows.repartition(partitions, "word", "salt", F.when(F.col("word").isNull(), F.col("doc_id")))
-        .mapInArrow(_count(tokenizer_path), "place bigint, doc_id bigint, n_bytes bigint, n bigint, head boolean")
+        rows.repartition(partitions, "bucket")
+        .mapInArrow(_count(tokenizer_path), "place bigint, doc_id bigint, n_bytes bigint, n bigint")
         .groupBy("place")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("n_bytes").alias("n_bytes"),
-            F.sum("n").alias("n_tokens"),
-        )
+        .agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens"))
     )
     return sums.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
@@ -78,14 +79,13 @@ def split_specials(tokenizer, texts: list[str]) -> tuple[list[str], np.ndarray,
     return parts, np.array(owner), number
 
 
-def _postings(path: str, salts: int):
+def _postings(path: str, buckets: int, salts: int):
     def run(batches):
         tokenizer = _load(path)
         pre = PreTokenizer(tokenizer)
         partition = TaskContext.get().partitionId()
         for number, (ids, texts) in enumerate(_bounded(blocks(batches, BLOCK_CHARS))):
-            block = (partition << 20) + number
-            yield from _block_rows(tokenizer, pre, ids, texts, block, salts)
+            yield from _block_rows(tokenizer, pre, ids, texts, (partition << 20) + number, buckets, salts)
 
     return run
 
@@ -96,104 +96,88 @@ def _bounded(found):
             yield ids[k : k + BLOCK_DOCS], texts[k : k + BLOCK_DOCS]
 
 
-def _block_rows(tokenizer, pre, ids, texts, block, salts):
+def _columns(**given):
+    """A batch of the postings' schema; what is not given is null."""
+    n = len(next(iter(given.values())))
+    kinds = [(c, pa.binary() if k == "binary" else pa.int32() if k == "int" else pa.int64())
+             for c, k in (part.split() for part in POSTINGS.split(","))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(given[c], k) if c in given else pa.nulls(n, k) for c, k in kinds], [c for c, _ in kinds]
+    )
+
+
+def _block_rows(tokenizer, pre, ids, texts, block, buckets, salts):
     parts, part_owner, special = split_specials(tokenizer, texts)
     tokens = pre.split(parts)
-    schema = pa.schema(
-        [
-            ("word", pa.string()), ("salt", pa.int32()), ("block", pa.int64()), ("postings", pa.binary()),
-            ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("special", pa.int64()),
-        ]
-    )
     n = len(ids)
-    empty = [None] * n
-    # One head row per document; its place in the block stands in ``salt``.
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(empty, pa.string()), pa.array(np.arange(n), pa.int32()), pa.array(np.full(n, block)),
-            pa.array(empty, pa.binary()), pa.array(ids, pa.int64()),
-            pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(special),
-        ],
-        schema=schema,
+    yield _columns(  # one head row per document
+        bucket=np.arange(n) % buckets, place=(block << 16) + np.arange(n), doc_id=ids,
+        n_bytes=[len(t.encode()) for t in texts], special=special,
     )
     if not len(tokens.keys):
         return
-    place, number = distinct(tokens)
-    doc = part_owner[tokens.owner]
+    first, number = distinct(tokens)
     # Pairs (pre-token, document) with their frequency, ordered by pre-token.
-    pair = number * np.int64(n) + doc
-    pair, freq = np.unique(pair, return_counts=True)
+    pair, freq = np.unique(number * np.int64(n) + part_owner[tokens.owner], return_counts=True)
     word, doc = pair // n, pair % n
     if (over := freq > 65535).any():  # a frequency beyond the field goes into several postings
         times = np.where(over, -(-freq // 65535), 1)
-        word, doc, whole = (np.repeat(x, times) for x in (word, doc, freq))
-        turn = np.arange(len(word)) - np.repeat(np.cumsum(times) - times, times)
-        freq = np.minimum(whole - turn * 65535, 65535)
+        turn = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        word, doc = np.repeat(word, times), np.repeat(doc, times)
+        freq = np.minimum(np.repeat(freq, times) - turn * 65535, 65535)
     packed = np.empty(len(doc), POSTING)
     packed["doc"], packed["freq"] = doc, freq
-    bounds = np.searchsorted(word, np.arange(len(place) + 1))
-    many = np.diff(bounds) * 4 > n
-    salt = np.where(many, block % salts, 0)
-    size = 200_000
-    for k in range(0, len(place), size):
-        chosen = slice(k, min(k + size, len(place)))
-        edges = bounds[chosen.start : chosen.stop + 1]
-        data = packed[edges[0] : edges[-1]].tobytes()
-        offsets = ((edges - edges[0]) * POSTING.itemsize).astype(np.int32)
-        m = len(offsets) - 1
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([tokens.word(p) for p in place[chosen]], pa.string()),
-                pa.array(salt[chosen], pa.int32()), pa.array(np.full(m, block)),
-                pa.BinaryArray.from_buffers(pa.binary(), m, [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
-                *(pa.nulls(m, pa.int64()) for _ in range(3)),
-            ],
-            schema=schema,
-        )
+    count = np.bincount(word, minlength=len(first))
+    salt = np.where(count * 4 > n, block % salts, 0).astype(np.uint64)
+    bucket = ((tokens.keys[first] + salt) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, count = bucket[order], count[order]
+    begin = (np.cumsum(np.bincount(word, minlength=len(first))) - np.bincount(word, minlength=len(first)))[order]
+    at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(len(packed))
+    packed = packed[at]
+    words = [tokens.word(k).encode() for k in first[order].tolist()]
+    sizes = np.fromiter(map(len, words), "<u4", len(words))
+    edges = np.r_[0, np.cumsum(count)]
+    cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)].tolist()
+    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+    yield _columns(
+        bucket=bucket[cuts[:-1]],
+        block=np.full(len(spans), block),
+        words=[b"".join(words[a:b]) for a, b in spans],
+        sizes=[sizes[a:b].tobytes() for a, b in spans],
+        counts=[count[a:b].astype("<u4").tobytes() for a, b in spans],
+        postings=[packed[edges[a] : edges[b]].tobytes() for a, b in spans],
+    )
 
 
 def _count(path: str):
     def run(batches):
         tokenizer = _load(path)
-        known: dict[str, int] = {}
+        known: dict[bytes, int] = {}
         sums: dict[int, np.ndarray] = {}
-        held = 0
         for batch in batches:
-            column = {c: batch.column(k) for k, c in enumerate(batch.schema.names)}
-            words = column["word"]
-            head = words.is_null().to_numpy(zero_copy_only=False)
-            if head.any():
-                heads = batch.filter(pa.array(head)).to_pydict()
-                yield _rows(
-                    [(b << 16) + s for b, s in zip(heads["block"], heads["salt"], strict=True)],
-                    heads["doc_id"], heads["n_bytes"], heads["special"], True,
-                )
-            kept = batch.filter(pa.array(~head))
-            if not kept.num_rows:
-                continue
-            words = kept.column(kept.schema.names.index("word")).to_pylist()
-            if len(known) > REMEMBERED:
-                known = {}
-            new = list({w for w in words if w not in known})
-            known.update(zip(new, _pieces(tokenizer, new), strict=True))
-            pieces = np.fromiter((known[w] for w in words), np.int64, len(words))
-            block = kept.column(kept.schema.names.index("block")).to_numpy()
-            raw = kept.column(kept.schema.names.index("postings"))
-            offsets = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1] // POSTING.itemsize
-            postings = np.frombuffer(raw.buffers()[2], POSTING)[offsets[0] : offsets[-1]]
-            size = np.diff(offsets)
-            where = np.repeat(block, size)
-            product = postings["freq"] * np.repeat(pieces, size)
-            for b in np.unique(where):
-                mine = where == b if len(np.unique(block)) > 1 else slice(None)
-                if b not in sums:
-                    sums[b] = np.zeros(1024, np.int64)
-                docs = postings["doc"][mine].astype(np.int64)
-                if len(docs) and docs.max() >= len(sums[b]):
-                    sums[b] = np.concatenate([sums[b], np.zeros(docs.max() + 1024 - len(sums[b]), np.int64)])
-                sums[b] += np.bincount(docs, product[mine], len(sums[b])).astype(np.int64)
-            held = sum(map(len, sums.values()))
-            if held > 4_000_000:
+            head = batch.column(batch.schema.get_field_index("place")).is_valid()
+            heads = batch.filter(head)
+            if heads.num_rows:
+                yield _sums(*(heads.column(heads.schema.get_field_index(c)) for c in ("place", "doc_id", "n_bytes", "special")))
+            for row in batch.filter(pa.compute.invert(head)).to_pylist():
+                if len(known) > REMEMBERED:
+                    known = {}
+                sizes, counts = (np.frombuffer(row[c], "<u4").astype(np.int64) for c in ("sizes", "counts"))
+                ends = np.cumsum(sizes).tolist()
+                words = [row["words"][a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                new = [w for w in words if w not in known]
+                known.update(zip(new, _pieces(tokenizer, new), strict=True))
+                pieces = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                postings = np.frombuffer(row["postings"], POSTING)
+                product = postings["freq"] * np.repeat(pieces, counts)
+                total = np.bincount(postings["doc"], product).astype(np.int64)
+                if len(kept := sums.get(row["block"], total[:0])) > len(total):
+                    kept[: len(total)] += total
+                else:
+                    total[: len(kept)] += kept
+                    sums[row["block"]] = total
+            if sum(map(len, sums.values())) > 4_000_000:
                 yield from _flush(sums)
                 sums = {}
         yield from _flush(sums)
@@ -201,22 +185,17 @@ def _count(path: str):
     return run
 
 
-def _pieces(tokenizer, words: list[str]) -> list[int]:
-    return [len(e.ids) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
+def _pieces(tokenizer, words: list[bytes]) -> list[int]:
+    found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False) if words else []
+    return [len(e.ids) for e in found]
 
 
 def _flush(sums):
     for block, total in sums.items():
         docs = np.flatnonzero(total)
-        none = [None] * len(docs)
-        yield _rows((int(block) << 16) + docs, none, none, total[docs], False)
+        none = pa.nulls(len(docs), pa.int64())
+        yield _sums(pa.array((block << 16) + docs), none, none, pa.array(total[docs]))
 
 
-def _rows(place, doc_id, n_bytes, n, head):
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(place, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(n_bytes, pa.int64()),
-            pa.array(n, pa.int64()), pa.array([head] * len(place), pa.bool_()),
-        ],
-        ["place", "doc_id", "n_bytes", "n", "head"],
-    )
+def _sums(*columns):
+    return pa.RecordBatch.from_arrays(list(columns), ["place", "doc_id", "n_bytes", "n"])
