@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from palimpsest.llm.common import documents_of
+from palimpsest.llm.common import documents_of, spare_name
 from palimpsest.session import stored
 
 SCHEMA = "digest binary, keep_id bigint, n bigint, batch string"
@@ -90,3 +90,24 @@ def dedup(
         F.lower(F.hex("digest")).alias("text_sha256"),
         "n",
     )
+
+
+def keep(
+    docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stay, one per text, all columns as they were.
+
+    Rows meet their decision by digest and id together, so the copies of a hot text are spread over all tasks.
+    """
+    digest, place, other = (spare_name(docs, name) for name in ("digest_key", "id_key", "kept_id"))
+    kept = dedup(docs, index, batch, id_col, text_col).filter("kept").select(
+        F.col("text_sha256").alias(digest), F.xxhash64("doc_id").alias(place), F.col("doc_id").alias(other)
+    )
+    keyed = docs.withColumns(
+        {
+            digest: F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256),
+            place: F.xxhash64(F.col(id_col).cast("long")),
+        }
+    )
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(other))
+    return keyed.join(kept, [digest, place]).filter(same).dropDuplicates([digest, place]).select(*docs.columns)

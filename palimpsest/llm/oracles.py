@@ -1,5 +1,14 @@
 """SQL counterparts of the queries of this folder, for DuckDB."""
 
+from palimpsest.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
+UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _values(rows):
+    return ", ".join(f"('{text}', '{label}')" for text, label in rows)
+
 ORACLES = {
     "op1_exact_dedup": """
         with d as (select doc_id, sha256(coalesce(text, '')) as text_sha256 from documents)
@@ -37,4 +46,57 @@ ORACLES = {
                coalesce(f.verdict, case when b.page_id is not null then 'block' else 'allow' end) as verdict
         from h left join f using (page_id) left join b using (page_id)
     """,
+    "op2_decontamination": f"""
+        with d as (
+          select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '{WORD}') as w from documents
+        ), i as (
+          select item_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '{WORD}') as w from benchmark
+        ), x as (
+          select distinct item_id, least(len(w), 10) as n,
+                 unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda k: array_to_string(w[k:k + least(len(w), 10) - 1], ' '))) as win
+          from i where len(w) > 0
+        ), p as (
+          select doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') as win
+          from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k from d, (select distinct n from x) where len(w) >= n)
+        ), m as (
+          select distinct doc_id, k, n, item_id from p join x using (win, n)
+        ), h as (
+          select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(k, k + n)) as j from m) group by 1
+        ), a as (
+          select doc_id, count(distinct item_id) as n_items,
+                 string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as items from m group by 1
+        )
+        select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+               sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join h using (doc_id) left join a using (doc_id)
+    """,
+    "op9_license_scans": f"""
+        with d as (
+          select doc_id, translate(coalesce(text, ''), {UPPER_LOWER}) as t from documents
+        ), w as (
+          select doc_id, regexp_extract_all(t, '{WORD}') as w from d
+        ), p(phrase, label) as (values {_values(PHRASES)}
+        ), b as (
+          select doc_id, label, unnest(range(0, len(w) - len(string_split(phrase, ' ')) + 1)) as k, w, string_split(phrase, ' ') as s
+          from w, p where contains(' ' || array_to_string(w, ' ') || ' ', ' ' || phrase || ' ')
+        ), f as (
+          select doc_id, count(*) as n_base, min(k) as first_word, max(k) as last_word, list_sort(list(distinct label)) as base
+          from b where w[k + 1:k + len(s)] = s group by doc_id
+        ), t(text, label) as (values {_values(TEMPLATES)}
+        ), l as (
+          select doc_id, unnest(regexp_split_to_array(t, '[\\r\\n]+|[.!?;][\\x20\\t]+')) as block from d
+        ), c as (
+          select doc_id, label, len(list_intersect(regexp_extract_all(block, '{WORD}'), list_distinct(string_split(text, ' ')))) as shared,
+                 len(list_distinct(string_split(text, ' '))) as n
+          from l, t
+        ), o as (
+          select doc_id, list(distinct label) as own, max(shared / n) as share
+          from c where shared >= ceil(round({THRESHOLD} * n, 9)) group by doc_id
+        )
+        select w.doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
+               last_word::bigint as last_word, coalesce(array_to_string(base, ','), '') as base_labels,
+               coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(own, [])))), ','), '') as labels,
+               case when n_base > 0 then 1.0::double else coalesce(share, 0)::double end as score
+        from w left join f using (doc_id) left join o using (doc_id)
+    """,
 }

@@ -7,7 +7,18 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from palimpsest.llm import exact_dedup, labelled, packing, quality, token_counts, toxicity, url_filter
+from palimpsest.llm import (
+    decontamination,
+    exact_dedup,
+    labelled,
+    licenses,
+    near_dedup,
+    packing,
+    quality,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from palimpsest.llm.common import table
 from palimpsest.session import configure, scratch_path
 
@@ -76,3 +87,19 @@ def op8_quality_classifier(spark, sf_dir):
     docs, held_out = table(spark, sf_dir, "documents"), labelled.fold_of("doc_id", 4) == 2
     machine = quality.train(docs, table(spark, sf_dir, "labels"), use=~held_out)
     return quality.score(docs, machine, held_out, threshold=0.7)
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("starts", "ends")
+
+
+@query
+def op9_license_scans(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_ngram_jaccard_join(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))

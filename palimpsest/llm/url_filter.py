@@ -105,9 +105,14 @@ def hashed(keys: DataFrame) -> DataFrame:
     return keys.select("key", F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit("second")).alias("h2"))
 
 
-def _level(keys: DataFrame, count: int, salt: int) -> Level:
+def bloom(keys: DataFrame, max_bytes: int) -> Level:
+    """A filter of the keys ``h1, h2`` of at most ``max_bytes``; when full it only lets more through."""
+    return _level(keys, keys.count(), 0, max_bytes)
+
+
+def _level(keys: DataFrame, count: int, salt: int, max_bytes: int = 1 << 40) -> Level:
     """Set the bits of all keys: each task gives the words it has touched, the words are merged by ``bit_or``."""
-    size = max(64, -(-count * BITS_PER_KEY // 64) * 64)
+    size = max(64, min(max_bytes * 8, -(-count * BITS_PER_KEY // 64) * 64))
 
     def bits(batches):
         for batch in batches:
