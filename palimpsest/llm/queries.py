@@ -15,6 +15,7 @@ from palimpsest.llm import (
     near_dedup,
     packing,
     quality,
+    substring_dedup,
     token_counts,
     toxicity,
     url_filter,
@@ -103,3 +104,8 @@ def op9_license_scans(spark, sf_dir):
 @query
 def op10_ngram_jaccard_join(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_suffix_array_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
