@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from palimpsest.llm.bytewords import slices
+
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: The contractions that are pre-tokens of their own.  Fixed values of the tokenizer.
 ONE_LETTER, TWO_LETTERS = "stmd", ("re", "ve", "ll")
@@ -146,15 +148,12 @@ def blocks(batches, size: int, columns: tuple[str, ...] = ("doc_id", "text")) ->
     texts: list[str] = []
     length = 0
     for batch in batches:
-        names = batch.schema.names
-        for i, t in zip(
-            batch.column(names.index(columns[0])).to_pylist(),
-            batch.column(names.index(columns[1])).to_pylist(),
-            strict=True,
-        ):
-            ids.append(i)
-            texts.append(t or "")
-            length += len(texts[-1])
+        for part in slices(batch, columns[1], size):
+            names = part.schema.names
+            ids += part.column(names.index(columns[0])).to_pylist()
+            more = [t or "" for t in part.column(names.index(columns[1])).to_pylist()]
+            texts += more
+            length += sum(map(len, more))
             if length >= size:
                 yield ids, texts
                 ids, texts, length = [], [], 0

@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame, functions as F
 from palimpsest.llm.common import documents_of
 from palimpsest.llm.pretokens import PreTokenizer, blocks, distinct
 
-BLOCK_CHARS, BLOCK_DOCS = 4 << 20, 1 << 16
+BLOCK_CHARS, BLOCK_DOCS = 3 << 20, 1 << 16
 #: Distinct pre-tokens that a reducer remembers before it starts anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 POSTINGS = (
     "bucket int, block bigint, words binary, sizes binary, counts binary, postings binary,"
     " place bigint, doc_id bigint, n_bytes bigint, special bigint"
