@@ -1,11 +1,13 @@
 """N-gram Jaccard join: documents whose sets of word shingles have a similarity of ``threshold`` or more.
 
 Documents with equal sets are one node from the start.  Two sets of that similarity share one of the first
-``n - ceil(t n) + 1`` shingles of each in any common order; the order puts shingles in crowded cells of a
-corpus-wide count table last, so passages that very many documents share make no candidates.  Nodes that share
-such a shingle are compared in two rounds:
+``n - ceil(t n) + 1`` shingles of each in any common order.  The order puts frequent shingles last, by a
+corpus-wide table of counts in which every task enters the shingles it has met often, so passages that many
+documents share make few candidates; any table gives the same result.  Nodes that share such a shingle are
+compared in two rounds:
 
-1. with the smallest node of the shingle only, which joins groups of near copies in linear time;
+1. with the smallest set that has the shingle and with the next smaller one, which joins groups of near copies
+   in linear time;
 2. where a shingle still has nodes of several components, all pairs of different components, in tiles: a tile
    holds the nodes of one shingle in one band of sizes and the band above, as only those can be similar, cut
    into parts of bounded size.  This loses no link between components.
@@ -34,7 +36,9 @@ from palimpsest.llm.url_filter import bloom
 from palimpsest.session import stored
 
 SHINGLE, THRESHOLD = 5, Fraction(3, 4)
-CELLS = 1 << 16
+#: Cells of the table of frequent shingles (one byte each), how often a task must meet a cell to enter it, and
+#: after how many shingles it enters what it has met.
+CELL_BITS, OFTEN, MET = 24, 3, 1 << 22
 TILE_ROWS = 512
 SLICE_BYTES = 2 << 20
 #: Bytes of the filter that finds the documents whose texts are needed; a fuller filter only lets more through.
@@ -74,31 +78,48 @@ def node_of(counts: np.ndarray, value: np.ndarray) -> np.ndarray:
 def summaries(docs: DataFrame, size: int) -> DataFrame:
     """``doc_id, n, node`` per document, and rows ``cell, count`` of a count table of all shingles."""
 
+    def frequent(met: list[np.ndarray]) -> pa.RecordBatch:
+        cells, counts = np.unique(np.concatenate(met) >> np.uint64(64 - CELL_BITS), return_counts=True)
+        seen = counts >= OFTEN
+        none = pa.nulls(int(seen.sum()), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [none, none, none, pa.array(cells[seen].astype(np.int64)), pa.array(counts[seen])], names
+        )
+
     def run(batches):
-        cells = np.zeros(CELLS, np.int64)
+        met, held = [], 0
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 counts, _, value = shingle_sets(part.column(1), size)
-                cells += np.bincount((value >> np.uint64(48)).astype(np.int64), minlength=CELLS)
+                met.append(value)
+                held += len(value)
                 none = pa.nulls(part.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts), pa.array(node_of(counts, value)), none, none], names
                 )
-        seen = np.flatnonzero(cells)
-        none = pa.nulls(len(seen), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(seen), pa.array(cells[seen])], names)
+                if held > MET:
+                    yield frequent(met)
+                    met, held = [], 0
+        if met:
+            yield frequent(met)
 
     names = ["doc_id", "n", "node", "cell", "count"]
     return docs.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
 
 
 def crowding(summary: DataFrame) -> np.ndarray:
-    """By cell how crowded it is, in doublings beyond the mean; 65,536 numbers whatever the data."""
+    """By cell the logarithm of its count; one byte per cell whatever the data."""
     counted = summary.filter(F.col("cell").isNotNull()).groupBy("cell").agg(F.sum("count").alias("count"))
-    cells = np.zeros(CELLS)
-    for row in counted.toLocalIterator():
-        cells[row["cell"]] = row["count"]
-    return np.maximum(0, np.floor(np.log2(np.maximum(cells, 1) / max(cells.mean(), 1))) - 1).astype(np.uint8)
+    level = counted.select("cell", F.log2(F.col("count").cast("double")).cast("int").alias("level"))
+    cells = np.zeros(1 << CELL_BITS, np.uint8)
+    # Rows of one level come as bitmaps, so at most one bit per cell and level reaches the driver.
+    words = level.groupBy("level", (F.col("cell") / 64).cast("long").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(cell % 64 as int)))").alias("bits")
+    )
+    for row in words.toLocalIterator():
+        bits = np.unpackbits(np.array([row["bits"]], np.int64).view(np.uint8), bitorder="little")
+        cells[row["word"] * 64 + np.flatnonzero(bits)] = row["level"]
+    return cells
 
 
 def bits_of(value: np.ndarray) -> bytes:
@@ -118,7 +139,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray, size: int, threshold: Fractio
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 counts, owner, value = shingle_sets(part.column(1), size)
-                order = np.lexsort((value, sent.value[(value >> np.uint64(48)).astype(np.int64)], owner))
+                order = np.lexsort((value, sent.value[(value >> np.uint64(64 - CELL_BITS)).astype(np.int64)], owner))
                 ranked = value[order].view(np.int64)
                 ends = np.cumsum(counts)
                 take = np.where(counts > 0, counts - -(-counts * up // down) + 1, 0)
@@ -136,20 +157,21 @@ def prefixes(docs: DataFrame, classes: np.ndarray, size: int, threshold: Fractio
 
 
 def shared_prefixes(rows: DataFrame) -> DataFrame:
-    """``h, node, n, leader, leader_n``: prefix shingles that several nodes have, with the smallest such node."""
-    by_shingle = Window.partitionBy("h").orderBy("node")
+    """``h, at, node, n``: prefix shingles that several nodes have, with the smallest such set and the next smaller."""
+    by_shingle = Window.partitionBy("h").orderBy("n", "node")
     return (
-        rows.select("node", "n", F.explode("prefix").alias("h"))
+        rows.select("node", "n", F.posexplode("prefix").alias("at", "h"))
         .withColumns(
             {
                 "before": F.lag("node").over(by_shingle),
+                "before_n": F.lag("n").over(by_shingle),
                 "after": F.lead("node").over(by_shingle),
                 "leader": F.first("node").over(by_shingle),
                 "leader_n": F.first("n").over(by_shingle),
             }
         )
         .filter((F.col("before") != F.col("node")) | (F.col("after") != F.col("node")))
-        .drop("before", "after")
+        .drop("after")
     )
 
 
@@ -160,7 +182,7 @@ def sizes_fit(a: str, b: str, threshold: Fraction) -> F.Column:
 
 def cross_pairs(shared: DataFrame, component_of: DataFrame, threshold: Fraction) -> DataFrame:
     """Pairs of nodes that share a prefix shingle and lie in different components, by size-banded tiles."""
-    rows = shared.select("h", "node", "n").distinct().join(component_of, "node", "left")
+    rows = shared.select("h", "at", "node", "n").distinct().join(component_of, "node", "left")
     rows = stored(rows.withColumn("component", F.coalesce("component", "node")), "shingle-nodes")
     mixed_ = rows.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     rows = rows.join(mixed_.filter(F.col("x") != F.col("y")).select("h"), "h")
@@ -175,7 +197,7 @@ def cross_pairs(shared: DataFrame, component_of: DataFrame, threshold: Fraction)
     )
     met = parted.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts"))))
     met = met.select(
-        "h", "tile", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "n", "component", "guest"
+        "h", "tile", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "n", "component", "guest", "at"
     )
     count = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = met.repartition(count, "h", "tile", "i", "j").sortWithinPartitions("h", "tile", "i", "j", "part", "node")
@@ -183,11 +205,11 @@ def cross_pairs(shared: DataFrame, component_of: DataFrame, threshold: Fraction)
 
 
 def _tile_pairs(threshold: Fraction):
-    columns = ("h", "tile", "i", "j", "part", "node", "n", "component", "guest")
+    columns = ("h", "tile", "i", "j", "part", "node", "n", "component", "guest", "at")
     up, down = threshold.numerator, threshold.denominator
 
     def pairs(rows):
-        h, tile, i, j, part, node, n, component, guest = rows
+        h, tile, i, j, part, node, n, component, guest, at = rows
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         first = np.flatnonzero(new)
@@ -201,6 +223,10 @@ def _tile_pairs(threshold: Fraction):
             good &= (i[a] == j[a]) | (part[a] != part[b])
             good &= np.minimum(n[a], n[b]) * down >= np.maximum(n[a], n[b]) * up
             a, b = a[good], b[good]
+            # A pair that needs this overlap shares a shingle this early in both.
+            need = least_overlap(n[a], n[b], threshold)
+            good = (at[a] <= n[a] - need) & (at[b] <= n[b] - need)
+            a, b = a[good], b[good]
             swap = node[a] > node[b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
             found.append(np.stack([node[a], node[b], n[a], n[b]]))
@@ -209,7 +235,7 @@ def _tile_pairs(threshold: Fraction):
         return np.unique(whole, axis=1)
 
     def run(batches):
-        held = None
+        held, waiting = None, []
         for batch in batches:
             rows = [batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in columns]
             if held is not None:
@@ -220,9 +246,14 @@ def _tile_pairs(threshold: Fraction):
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             held = [x[cut:] for x in rows]
             if cut:
-                yield _pair_batch(pairs([x[:cut] for x in rows]))
+                waiting.append(pairs([x[:cut] for x in rows]))
+            if sum(x.shape[1] for x in waiting) > 1 << 19:
+                yield _pair_batch(np.unique(np.concatenate(waiting, 1), axis=1))
+                waiting = []
         if held is not None:
-            yield _pair_batch(pairs(held))
+            waiting.append(pairs(held))
+        if waiting:
+            yield _pair_batch(np.unique(np.concatenate(waiting, 1), axis=1))
 
     return run
 
@@ -334,10 +365,12 @@ def near_duplicates(
     shared = stored(shared_prefixes(rows), "shared-shingles")
     texts = stored(first, "representatives")
     texts = docs.filter(F.col("doc_id").isNotNull()).join(texts, "doc_id").select("node", "text")
+    met = F.explode(F.array(F.struct("leader", "leader_n"), F.struct(F.col("before"), F.col("before_n"))))
     stars = (
-        shared.filter(F.col("leader") != F.col("node"))
-        .filter(sizes_fit("n", "leader_n", threshold))
-        .select(F.col("leader").alias("a"), F.col("node").alias("b"), F.col("leader_n").alias("a_n"), F.col("n").alias("b_n"))
+        shared.select("node", "n", met.alias("other"))
+        .select(F.col("other.leader").alias("a"), F.col("node").alias("b"), F.col("other.leader_n").alias("a_n"), F.col("n").alias("b_n"))
+        .filter(F.col("a") != F.col("b"))
+        .filter(sizes_fit("a_n", "b_n", threshold))
         .distinct()
     )
     links = stored(verified(stars, nodes, texts, size, threshold), "star-links")
