@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from palimpsest.session import configure
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: A word: digits, letters a to z, and everything beyond ASCII.
@@ -34,3 +36,9 @@ def spare_name(frame: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, and record batches small enough for long texts."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark

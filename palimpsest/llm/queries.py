@@ -20,8 +20,8 @@ from palimpsest.llm import (
     toxicity,
     url_filter,
 )
-from palimpsest.llm.common import table
-from palimpsest.session import configure, scratch_path
+from palimpsest.llm.common import prepared, table
+from palimpsest.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,7 +29,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(configure(spark), sf_dir)
+        return function(prepared(spark), sf_dir)
 
     QUERIES[function.__name__] = run
     return run

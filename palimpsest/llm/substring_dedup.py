@@ -35,7 +35,7 @@ from palimpsest.llm.url_filter import bloom
 from palimpsest.session import stored
 
 LENGTH, GRAM, MAX_BYTES = 200, 64, 8192
-SLICE_BYTES, BATCH_BYTES, BUNDLE = 1 << 20, 3 << 19, 1200
+SLICE_BYTES, BATCH_BYTES, BUNDLE = 1 << 20, 1 << 20, 700
 BLOOM_BYTES = 16 << 20
 TURN = 0x5851F42D4C957F2D
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -64,6 +64,19 @@ def window_hashes(data: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
         have *= 2
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """``base**0 .. base**(n - 1)`` modulo 2**64; those of one slice are kept."""
+    if len(_POWERS.get(base, ())) < n:
+        found = np.full(max(n, SLICE_BYTES + (1 << 18)), base, np.uint64)
+        found[0] = 1
+        found = np.multiply.accumulate(found)
+        _POWERS[base] = found
+    return _POWERS[base][:n]
+
+
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     n = len(x) - width + 1
     size = -(-len(x) // width) * width
@@ -99,10 +112,11 @@ def contexts(texts: pa.Array, length: int, gram: int) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(new)
     count = np.diff(np.r_[first, len(starts)])
     place = starts[first]
-    # A context is named by the hashes of its strings in their order.
-    strings = window_hashes(data, length, 1)[starts]
-    total = np.r_[np.zeros(1, np.uint64), np.cumsum(mixed(strings ^ (ranges(np.zeros(len(count), np.int64), count).astype(np.uint64) << np.uint64(40))))]
-    mark = mixed(total[first + count] - total[first] + count.astype(np.uint64))
+    # A context is named by the hashes of its grams in their order.
+    forth, back = powers(MULTIPLIER, len(grams)), powers(pow(MULTIPLIER, -1, 2**64), len(grams))
+    total = np.zeros(len(grams) + 1, np.uint64)
+    np.cumsum(grams * forth, out=total[1:])
+    mark = mixed((total[place + count + length - gram] - total[place]) * back[place] + count.astype(np.uint64))
     return owner[first], place - edges[owner[first]], count, anchor[first], mark, data, edges
 
 
@@ -110,7 +124,7 @@ CONTEXT = "anchor bigint, mark bigint, n int, key bigint, start bigint"
 
 
 def _contexts(length: int, gram: int, known=None):
-    """Contexts of all texts; of those whose anchor ``known`` has, if given, with their bytes."""
+    """Contexts of all texts; or of those whose anchor the first filter has, with their bytes if the second has it."""
 
     def run(batches):
         for batch in batches:
@@ -123,9 +137,14 @@ def _contexts(length: int, gram: int, known=None):
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
                     continue
                 a = anchor.view(np.int64)
-                kept = np.flatnonzero(known.value.has(a, a ^ np.int64(TURN)))
+                repeated, several = known.value
+                kept = np.flatnonzero(repeated.has(a, a ^ np.int64(TURN)))
                 at = edges[owner[kept]] + start[kept]
-                body = [data[x : x + c + length - 1].tobytes() for x, c in zip(at.tolist(), count[kept].tolist(), strict=True)]
+                needed = several.has(a[kept], a[kept] ^ np.int64(TURN))
+                body = [
+                    data[x : x + c + length - 1].tobytes() if wanted else None
+                    for x, c, wanted in zip(at.tolist(), count[kept].tolist(), needed.tolist(), strict=True)
+                ]
                 yield pa.RecordBatch.from_arrays([*(pa.array(c[kept]) for c in columns), pa.array(body, pa.binary())], [*names, "body"])
 
     return run
@@ -234,11 +253,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
         {"kinds": F.count(F.lit(1)).over(same_anchor), "bytes": F.sum(F.col("n") + length).over(same_anchor)}
     )
     judged = stored(judged.filter((F.col("times") > 1) | (F.col("kinds") > 1)), "repeated-contexts")
-    anchors = stored(judged.select("anchor").distinct(), "repeated-anchors")
-    sent = docs.sparkSession.sparkContext.broadcast(bloom(anchors.select(F.col("anchor").alias("h1"), F.col("anchor").bitwiseXOR(F.lit(TURN)).alias("h2")), BLOOM_BYTES))
-    rows = stored(docs.mapInArrow(_contexts(length, gram, sent), f"{CONTEXT}, body binary"), "context-rows")
     several = judged.filter(F.col("kinds") > 1)
-    bodies = rows.groupBy(*names).agg(F.first("body").alias("body"))
+    filters = tuple(
+        bloom(
+            stored(x.select("anchor").distinct(), "anchors").select(
+                F.col("anchor").alias("h1"), F.col("anchor").bitwiseXOR(F.lit(TURN)).alias("h2")
+            ),
+            BLOOM_BYTES,
+        )
+        for x in (judged, several)
+    )
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
+    rows = stored(docs.mapInArrow(_contexts(length, gram, sent), f"{CONTEXT}, body binary"), "context-rows")
+    bodies = rows.filter(F.col("body").isNotNull()).groupBy(*names).agg(F.first("body").alias("body"))
     small = bodies.join(several.filter(F.col("bytes") <= max_bytes).select(*names), names, "left_semi")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = small.select(*names, "body").repartition(parts, "anchor").sortWithinPartitions("anchor", "mark")
