@@ -365,10 +365,12 @@ def near_duplicates(
     shared = stored(shared_prefixes(rows), "shared-shingles")
     texts = stored(first, "representatives")
     texts = docs.filter(F.col("doc_id").isNotNull()).join(texts, "doc_id").select("node", "text")
-    met = F.explode(F.array(F.struct("leader", "leader_n"), F.struct(F.col("before"), F.col("before_n"))))
+    met = F.explode(
+        F.array(*(F.struct(F.col(c).alias("node"), F.col(f"{c}_n").alias("n")) for c in ("leader", "before")))
+    )
     stars = (
         shared.select("node", "n", met.alias("other"))
-        .select(F.col("other.leader").alias("a"), F.col("node").alias("b"), F.col("other.leader_n").alias("a_n"), F.col("n").alias("b_n"))
+        .select(F.col("other.node").alias("a"), F.col("node").alias("b"), F.col("other.n").alias("a_n"), F.col("n").alias("b_n"))
         .filter(F.col("a") != F.col("b"))
         .filter(sizes_fit("a_n", "b_n", threshold))
         .distinct()
