@@ -27,6 +27,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from palimpsest.llm.bytewords import SOLID, slices, words_of
 from palimpsest.llm.common import documents_of, spare_name
 from palimpsest.llm.labelled import training_sample
+from palimpsest.llm.suffix_groups import ranges
 
 #: Labelled rows a model is fitted on at most.
 SAMPLE_ROWS = 12_000
@@ -157,14 +158,18 @@ def fit(sample: DataFrame) -> Machine:
         model.factors[:] = 0
         return model
     label = rows["label"].to_numpy().astype(float)
-    stats = np.array(rows["stats"].to_pylist())
+    stats = rows["stats"].combine_chunks().flatten().to_numpy().reshape(-1, STATISTICS)
     model.cuts = np.quantile(stats, np.linspace(0, 1, RANGES + 1)[1:-1], axis=0).T
     ranged = np.column_stack([
         WORD_FEATURES + k * RANGES + np.searchsorted(model.cuts[k], stats[:, k], side="right") for k in range(STATISTICS)
     ])
-    numbers = [np.r_[a, b] for a, b in zip(map(np.asarray, rows["number"].to_pylist()), ranged, strict=True)]
-    values = [np.r_[a, np.full(STATISTICS, 0.5)] for a in map(np.asarray, rows["value"].to_pylist())]
-    numbers = [x.astype(np.int64) for x in numbers]
+    # The sample's features stay flat arrays: as Python lists they would take half a gigabyte.
+    held = rows["number"].combine_chunks()
+    sizes = held.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    begins = np.cumsum(sizes) - sizes
+    all_numbers = held.flatten().to_numpy()
+    all_values = rows["value"].combine_chunks().flatten().to_numpy()
+    del held, rows
     share = np.clip(label.mean(), 0.01, 0.99)
     model.bias = float(np.log(share / (1 - share)))
     seen_w, seen_f = np.full(size, 1e-3), np.full((size, RANK), 1e-3)
@@ -172,10 +177,13 @@ def fit(sample: DataFrame) -> Machine:
         order = rng.permutation(len(label))
         for k in range(0, len(order), BATCH):
             chosen = order[k : k + BATCH]
-            number, value = np.concatenate([numbers[i] for i in chosen]), np.concatenate([values[i] for i in chosen])
-            lengths = np.array([len(numbers[i]) for i in chosen])
-            owner = np.repeat(np.arange(len(chosen)), lengths)
-            first = np.cumsum(lengths) - lengths
+            at = ranges(begins[chosen], sizes[chosen])
+            owner = np.r_[np.repeat(np.arange(len(chosen)), sizes[chosen]), np.repeat(np.arange(len(chosen)), STATISTICS)]
+            sort = np.argsort(owner, kind="stable")
+            owner = owner[sort]
+            number = np.r_[all_numbers[at].astype(np.int64), ranged[chosen].ravel()][sort]
+            value = np.r_[all_values[at].astype(float), np.full(len(chosen) * STATISTICS, 0.5)][sort]
+            first = np.searchsorted(owner, np.arange(len(chosen)))
             part = model.factors[number] * value[:, None]
             total = np.add.reduceat(part, first)
             score = model.bias + np.add.reduceat(model.weights[number] * value, first)
