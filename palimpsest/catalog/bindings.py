@@ -14,7 +14,7 @@ from palimpsest.sources.rlog import FILE_SEPARATOR, REVISION_SEPARATOR
 
 ROOT, MODULE = "/srv/root", "mod"
 EPOCH = "2024-01-01"
-TAG_COUNT = 9
+TAG_DAYS = 3
 BRANCHES = 8
 
 
@@ -56,11 +56,22 @@ def _odd_file() -> Column:
     return F.regexp_extract("path", r"f([0-9]+)\.txt$", 1).cast("long") % 2 == 1
 
 
-def _states(rows: DataFrame, first: Column) -> DataFrame:
+def _period() -> Column:
+    days = F.date_diff(F.col("date").cast("date"), F.lit(EPOCH).cast("date"))
+    return F.floor(days / TAG_DAYS).cast("int")
+
+
+def tag_count(rows: DataFrame) -> int:
+    """The number of the last boundary, the first one after all rows."""
+    last = rows.agg(F.max(_period())).first()[0]
+    return 0 if last is None else last + 1
+
+
+def _states(rows: DataFrame, first: Column, count: int) -> DataFrame:
     """The newest version of every file before each of the boundaries k >= first."""
     newest = rows.groupBy("path", first.alias("first")).agg(F.max("revision").alias("revision"))
     return (
-        newest.select("path", "revision", F.explode(F.sequence("first", F.lit(TAG_COUNT))).alias("k"))
+        newest.select("path", "revision", F.explode(F.sequence("first", F.lit(count))).alias("k"))
         .groupBy("path", "k")
         .agg(F.max("revision").alias("revision"))
     )
@@ -71,18 +82,17 @@ def _named(prefix: str, rows: DataFrame) -> DataFrame:
 
 
 def tags(rows: DataFrame) -> DataFrame:
-    """Tags of the trunk ``rows``.
+    """Tags of the trunk ``rows``, up to the first boundary after the last of them.
 
     T: the state before day 3k.  X: odd files three days behind.  P: T and a
     file that does not exist.  N: only that file.
     """
-    days = F.date_diff(F.col("date").cast("date"), F.lit(EPOCH).cast("date"))
-    period = F.floor(days / 3).cast("int")
-    known = rows.withColumn("first", period + 1).filter(F.col("first") <= TAG_COUNT)
-    state = _states(known, F.col("first"))
+    count = tag_count(rows)
+    known = rows.withColumn("first", _period() + 1)
+    state = _states(known, F.col("first"), count)
     behind = known.withColumn("first", F.col("first") + _odd_file().cast("int"))
-    mixed = _states(behind.filter(F.col("first") <= TAG_COUNT), F.col("first"))
-    ghost = rows.sparkSession.range(1, TAG_COUNT + 1).select(
+    mixed = _states(behind.filter(F.col("first") <= count), F.col("first"), count)
+    ghost = rows.sparkSession.range(1, count + 1).select(
         F.col("id").cast("int").alias("k"), F.lit("ghost.txt").alias("path"), _version(1, 1).alias("revision")
     )
     return (

@@ -22,7 +22,8 @@ pos as (select *, row_number() over (order by date, path_depth, path, rn) as p f
 
 TAGS = REV + """,
 bound as (select k, timestamp '2024-01-01 00:00:00' + to_days(cast(3 * k as int)) as hi
-          from (select unnest(range(1, 10)) as k) z),
+          from (select unnest(range(1, (
+            select max(date_diff('day', timestamp '2024-01-01', ts)) // 3 + 2 from events))) as k) z),
 state as (select k, path, max(rn) as rn from rev join bound on date < hi group by k, path),
 tags as (
   select 'T' || k as tag, path, rn from state
@@ -197,8 +198,9 @@ ORACLES: dict[str, str] = {
         select tag, path, '1.' || rn as version from tags where tag like 'T%'
         union all select 'unknown' || k, null, null from bound""",
     "tag_maps": f"""with {TAGS}
-        select tag, count(*) as n_files, string_agg(path || '=1.' || rn, ',' order by path || '=1.' || rn) as files
-        from tags group by tag""",
+        select tag, cast(('0x' || substr(md5(path), 1, 8))::ubigint % 64 as int) as bucket, count(*) as n_files,
+               string_agg(path || '=1.' || rn, ',' order by path || '=1.' || rn) as files
+        from tags group by 1, 2""",
     "tag_map_fns": f"""with {ENTRIES},
         e as (select tag, path, version, len(string_split(version, '.')) as n,
                      string_split(version, '.')[-2] = '0' as magic from named)
@@ -216,8 +218,8 @@ ORACLES: dict[str, str] = {
         g as (select tag, count(*) as n_files, string_agg(path || ':' || rn, ',' order by path) as files from tags group by tag)
         select tag, min(tag) over (partition by files) as class, count(*) over (partition by files) as n_tags, n_files from g""",
     "tag_message": f"""with {TAGS}
-        select tag, tag || chr(10) || string_agg(path || ' : 1.' || rn, chr(10) order by path || ' : 1.' || rn) as message
-        from tags group by tag""",
+        select distinct tag, null as path, tag as line from tags
+        union all select tag, path, path || ' : 1.' || rn from tags""",
     "branch_parent": f"with {ENTRIES} select 'B' || k as tag, path, version from parents",
     "branch_depths": f"""with {ENTRIES}
         select tag, cast(max(len(string_split(version, '.')) // 2) as int) as depth from entries group by tag""",
@@ -236,12 +238,11 @@ ORACLES: dict[str, str] = {
         all_noise as (select path, '1.' || rn as version from noise union all select path, '1.1' from own_head),
         start as (select 'SB' || k as tag, k, count(*) as n_files from parents q
                   where not exists (select 1 from all_noise n where n.path = q.path and n.version = q.version) group by k)
-        select tag, case when status = 'FOUND' then 'master' end as owner, status = 'FOUND' as found, n_files,
-               case when status = 'FOUND' then anchor_path end as anchor_path,
-               case when status = 'FOUND' then anchor_version end as anchor_version,
-               case when status = 'FOUND' then anchor_date end as anchor_date from located
+        select tag, case when status <> 'NOT_FOUND' then 'master' end as branch,
+               case when status <> 'NOT_FOUND' then 'master' end as owner, status, n_files, n_missing, n_wrong,
+               anchor_path, anchor_version, anchor_date from located
         union all
-        select s.tag, p.parent, true, s.n_files, p.path, p.version, cast(p.date as varchar)
+        select s.tag, p.parent, p.parent, 'FOUND', s.n_files, 0, 0, p.path, p.version, cast(p.date as varchar)
         from start s join placed p on p.branch = 'B' || s.k""",
     "tag_upsert": f"""with {TAGS},
         hit as (select c.tag, p.path || ' 1.' || p.rn as place, p.p, p.date from clean c join pos p on p.path = c.path and p.rn = c.rn),
@@ -336,16 +337,21 @@ ORACLES: dict[str, str] = {
         up as (select unnest(list_transform(range(0, len(string_split(path, '/'))),
                  lambda i: array_to_string(string_split(path, '/')[1:i], '/'))) as dir, length(commit_id) as n from head_live)
         select dir, count(*) as n_files, cast(sum(n) as bigint) as n_bytes from up group by dir""",
-    "dir_digests": f"""with {REV}, {HEAD_FILES},
-        f as (select string_split(path, '/') as a, version as id, len(string_split(path, '/')) as n from head_live),
-        d2 as (select a[1] || '/' || a[2] as dir, {digest_sql("a[3] || '/file/' || id")} as id, count(*) as n_entries
-               from f where n = 3 group by a[1], a[2]),
-        e1 as (select a[1] as dir, a[2] || '/file/' || id as e from f where n = 2
-               union all select string_split(dir, '/')[1], string_split(dir, '/')[2] || '/tree/' || id from d2),
-        d1 as (select dir, {digest_sql("e")} as id, count(*) as n_entries from e1 group by dir),
-        e0 as (select a[1] || '/file/' || id as e from f where n = 1 union all select dir || '/tree/' || id from d1)
-        select dir, id, n_entries from d2 union all select dir, id, n_entries from d1
-        union all select '', {digest_sql("e")}, count(*) from e0""",
+    "dir_digests": f"""with recursive {REV}, {HEAD_FILES},
+        deep as (select replace(path, '/s', '/x/y/z/s') as path, version from head_live),
+        f as (select len(string_split(path, '/')) - 1 as level,
+                     case when path like '%/%' then regexp_replace(path, '/[^/]*$', '') else '' end as dir,
+                     string_split(path, '/')[-1] || '/file/' || version as e from deep),
+        t as (
+          select max(level) + 1 as level, null::varchar as dir, null::varchar as id, 0::bigint as n_entries from f
+          union all
+          select level - 1, dir, {digest_sql("e")}, count(*) from (
+            select level, case when dir like '%/%' then regexp_replace(dir, '/[^/]*$', '') else '' end as dir,
+                   string_split(dir, '/')[-1] || '/tree/' || id as e from t where dir <> ''
+            union all
+            select f.level + 1, f.dir, f.e from f join (select distinct level from t) l on f.level + 1 = l.level) z
+          group by level, dir)
+        select dir, id, n_entries from t where dir is not null""",
     "dir_entries": f"""with {REV}, {HEAD_FILES}
         select distinct string_split(path, '/')[2] as name,
                case when len(string_split(path, '/')) > 2 then 'tree' else 'file' end as mode
@@ -365,6 +371,13 @@ ORACLES: dict[str, str] = {
                first_date, last_date
         from placed p join g on g.branch = p.branch""",
     "incremental_import": f"with {PARTS} select {VERSION}, commit_id from fresh",
+    "reimport_bound": f"""with {PARTS}, {OWN},
+        early as (select date, path_depth, path, rn from live where date < timestamp '2024-01-15'
+                  order by date desc, path_depth desc, path desc, rn desc limit 1)
+        select 'master' as branch, l.path, '1.' || l.rn as version, cast(l.date as varchar) as date from live l, early h
+        where (l.date, l.path_depth, l.path, l.rn) > (h.date, h.path_depth, h.path, h.rn)
+        union all select branch, path, version, cast(date as varchar) from own_rev""",
+    "import_twice": f"with {REV} select {VERSION}, commit_id from live",
     "late_rows": f"""with {PARTS} select {VERSION}, commit_id from live l
         where not exists (select 1 from old o where o.path = l.path and o.rn = l.rn)
           and not exists (select 1 from fresh o where o.path = l.path and o.rn = l.rn)""",

@@ -14,7 +14,13 @@ from palimpsest.catalog import bindings as B
 from palimpsest.functions import dates, digest, notes, paths, tagmaps, versions as V
 from palimpsest.operators import branches, diff, fold, history, incremental, lookup, rollup, tags
 from palimpsest.plans import branch_diff as diff_plan
-from palimpsest.plans.importing import ImportOptions, import_summary as summarise, import_tables
+from palimpsest.plans.importing import (
+    ImportOptions,
+    import_summary as summarise,
+    import_tables,
+    load_history,
+    save_history,
+)
 from palimpsest.schema import ord_struct
 from palimpsest.session import configure, scratch_path, stored
 from palimpsest.sources import rlog
@@ -279,10 +285,11 @@ def tag_names(spark, sf_dir):
 
 @query
 def resolve_tags(spark, sf_dir):
-    names = spark.range(1, B.TAG_COUNT + 1).select(
+    t = Tables(spark, sf_dir)
+    names = spark.range(1, B.tag_count(t.trunk) + 1).select(
         F.explode(F.array(F.concat(F.lit("T"), "id"), F.concat(F.lit("unknown"), "id"))).alias("tag")
     )
-    found = tags.resolve_tags(Tables(spark, sf_dir).tags, names)
+    found = tags.resolve_tags(t.tags, names)
     return found.select("tag", "path", version().alias("version"))
 
 
@@ -294,6 +301,7 @@ def tag_maps(spark, sf_dir):
     )
     return maps.select(
         "tag",
+        "bucket",
         F.size("files").cast("long").alias("n_files"),
         F.array_join(F.array_sort(line), ",").alias("files"),
     )
@@ -301,21 +309,23 @@ def tag_maps(spark, sf_dir):
 
 @query
 def tag_map_fns(spark, sf_dir):
-    maps = tags.tag_maps(_plain_and_branches(spark, sf_dir))
+    entries = stored(_plain_and_branches(spark, sf_dir), "entries")
     files = F.col("files")
     ghost, first = F.lit("ghost.txt"), F.array(F.lit(1), F.lit(1)).cast("array<int>")
-    with_ghost = tagmaps.with_file(files, ghost, F.array(F.lit(1), F.lit(9)).cast("array<int>"))
-    return maps.select(
-        "tag",
-        F.size(with_ghost).cast("long").alias("n_with"),
-        version(F.element_at(with_ghost, ghost)).alias("ghost_version"),
-        tagmaps.includes_file(files, ghost).alias("has_ghost"),
-        tagmaps.includes_commit(files, ghost, first).alias("has_ghost_commit"),
-        F.size(tagmaps.ignore_files(files, F.array(ghost, F.lit("f3.txt")))).cast("long").alias("n_without"),
-        tagmaps.tag_depth(files).alias("depth"),
-        tagmaps.tag_is_branch(files).alias("is_branch"),
-        F.size(tagmaps.tag_branch_parent(files)).cast("long").alias("n_parent"),
+    per_tag = tags.tag_maps(entries).groupBy("tag").agg(
+        F.bool_or(tagmaps.includes_file(files, ghost)).alias("has_ghost"),
+        F.bool_or(tagmaps.includes_commit(files, ghost, first)).alias("has_ghost_commit"),
+        F.sum(F.size(tagmaps.ignore_files(files, F.array(ghost, F.lit("f3.txt"))))).alias("n_without"),
+        F.max(tagmaps.tag_depth(files)).alias("depth"),
+        F.bool_or(tagmaps.tag_is_branch(files)).alias("is_branch"),
+        F.sum(F.size(tagmaps.tag_branch_parent(files))).alias("n_parent"),
+    )
+    changed = tags.with_file(entries, "ghost.txt", F.array(F.lit(1), F.lit(9)).cast("array<int>"))
+    with_ghost = changed.groupBy("tag").agg(
+        F.count("*").alias("n_with"),
+        version(F.max_by("revision", F.col("path") == ghost)).alias("ghost_version"),
     )
+    return per_tag.join(with_ghost, "tag")
 
 
 @query
@@ -330,7 +340,7 @@ def tag_classes(spark, sf_dir):
 
 @query
 def tag_message(spark, sf_dir):
-    return tags.tag_messages(Tables(spark, sf_dir).tags).select("tag", "message")
+    return tags.tag_messages(Tables(spark, sf_dir).tags)
 
 
 @query
@@ -386,15 +396,8 @@ def tag_locate_all(spark, sf_dir):
     starts = tags.branch_parent(t.entries).withColumn("tag", F.concat(F.lit("S"), "tag"))
     cleaned = tags.clean_tags(t.tags.unionByName(starts), lookup.noise(t.revisions))
     located = tags.tag_locate_all(cleaned, spans, stored(branches.lineage(placed)))
-    found = F.col("status") == tags.FOUND
     return located.select(
-        "tag",
-        F.when(found, F.col("owner")).alias("owner"),
-        found.alias("found"),
-        "n_files",
-        *(F.when(found, column).alias(name) for column, name in zip(
-            place("anchor", "anchor"), ("anchor_path", "anchor_version", "anchor_date"), strict=True
-        )),
+        "tag", "branch", "owner", "status", "n_files", "n_missing", "n_wrong", *place("anchor", "anchor")
     )
 
 
@@ -560,8 +563,10 @@ def dir_rollup(spark, sf_dir):
 
 @query
 def dir_digests(spark, sf_dir):
-    files = _head_files(spark, sf_dir).select("path", version().alias("id"))
-    return rollup.dir_digests(files, max_depth=2)
+    """Directories up to five levels deep."""
+    deep = F.replace(F.col("path"), F.lit("/s"), F.lit("/x/y/z/s"))
+    files = _head_files(spark, sf_dir).select(deep.alias("path"), version().alias("id"))
+    return rollup.dir_digests(files)
 
 
 @query
@@ -612,10 +617,34 @@ def _two_parts(spark, sf_dir):
 def incremental_import(spark, sf_dir):
     old, log = _two_parts(spark, sf_dir)
     heads = history.branch_heads(old)
-    fetched = log.filter(F.col("date") >= incremental.fetch_bound(heads))
+    fetched = incremental.fetched(log, heads)
     return incremental.after_heads(fetched, heads).select(*revision_columns(), "commit_id")
 
 
+@query
+def reimport_bound(spark, sf_dir):
+    """Half of the trunk is stored; the log brings the rest and branches that are new and older."""
+    t = Tables(spark, sf_dir)
+    before = F.col("date") < F.lit(LATER).cast("timestamp_ntz")
+    heads = history.branch_heads(lookup.useful(t.trunk).filter(before))
+    rows = incremental.after_heads(incremental.fetched(t.useful, heads), heads)
+    return rows.select("branch", *revision_columns())
+
+
+@query
+def import_twice(spark, sf_dir):
+    """The trunk up to the middle, then all of it twice; each import is saved and loaded again."""
+    rows, folder = B.trunk(spark, sf_dir), scratch_path(spark, "history")
+    rows = stored(rows, "trunk")
+    names = spark.createDataFrame([], "tag string, path string, revision array<int>")
+    options, imported = ImportOptions(resolve_tags=False), None
+    before = F.col("date") < F.lit(LATER).cast("timestamp_ntz")
+    for log in (rows.filter(before), rows, rows):
+        save_history(import_tables(log, names, options, imported), folder)
+        imported = load_history(spark, folder)
+    return imported.revisions.select(*revision_columns(), "commit_id")
+
+
 @query
 def late_rows(spark, sf_dir):
     old, log = _two_parts(spark, sf_dir)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from palimpsest.functions import versions as V
@@ -35,6 +37,7 @@ def lineage(branches: DataFrame) -> DataFrame:
     """
     edges = stored(branches.select("branch", "parent", "graft_ord"))
     up = edges.filter(F.col("parent").isNotNull())
+    longest = edges.count()
     hops = edges.select(
         "branch",
         F.col("branch").alias("ancestor"),
@@ -42,7 +45,7 @@ def lineage(branches: DataFrame) -> DataFrame:
         F.when(F.lit(False), F.col("graft_ord")).alias("cap"),
     )
     reached = hops
-    while True:
+    for n_hops in itertools.count(1):
         step = reached.select("branch", F.col("ancestor").alias("below"), "hop").join(
             up.select(F.col("branch").alias("below"), F.col("parent"), "graft_ord"), "below"
         )
@@ -56,6 +59,8 @@ def lineage(branches: DataFrame) -> DataFrame:
         )
         if reached.isEmpty():
             break
+        if n_hops >= longest:  # more hops than branches
+            raise ValueError("branches are each other's parents")
         hops = hops.unionByName(reached)
     n_levels = F.max("hop").over(Window.partitionBy("branch")) + 1
     return hops.withColumn("n_levels", n_levels).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from palimpsest.functions.dates import day_bound
 from palimpsest.operators.history import with_ord
@@ -10,13 +10,14 @@ from palimpsest.operators.history import with_ord
 KEY = ("branch", "path", "revision")
 
 
-def fetch_bound(heads: DataFrame) -> Column:
-    """Start of the day of the oldest head: what has to be read again at most.
-
-    ``heads`` has one row per branch, so the value is fetched to the driver and
-    becomes a literal that prunes the scan.
-    """
-    return F.lit(heads.agg(F.min(day_bound(F.col("ord.date")))).first()[0])
+def fetched(log: DataFrame, heads: DataFrame) -> DataFrame:
+    """What has to be read again: of each branch the rows from the day of its head on, all of a new branch."""
+    bounds = heads.select("branch", day_bound(F.col("ord.date")).alias("fetch_from"))
+    return (
+        log.join(bounds, "branch", "left")
+        .filter(F.col("fetch_from").isNull() | (F.col("date") >= F.col("fetch_from")))
+        .drop("fetch_from")
+    )
 
 
 def after_heads(batch: DataFrame, heads: DataFrame) -> DataFrame:

@@ -49,23 +49,38 @@ def content_lookup(revisions: DataFrame, contents: DataFrame) -> DataFrame:
     return revisions.filter(~F.col("is_dead")).join(contents, ["path", "revision"])
 
 
-def assign_branches(revisions: DataFrame, branch_tags: DataFrame) -> DataFrame:
-    """Give every revision the branch it was made on.
-
-    Branch ``a.b.0.n`` holds the versions ``a.b.n.x``.  Two components are
-    trunk, unless a column ``default_branch`` names another stem as the trunk
-    of the file.  A stem with several names gives a row for each.
-    """
+def _with_stem(revisions: DataFrame) -> DataFrame:
     rows = revisions.withColumn("stem", V.revision_stem(F.col("revision")))
     on_trunk = F.size("stem") == 1
     if "default_branch" in revisions.columns:
         on_trunk = F.coalesce(F.col("stem") == F.col("default_branch"), on_trunk)
-    stems = branch_tags.filter(V.is_branch(F.col("revision"))).select(
+    return rows.withColumn("on_trunk", on_trunk)
+
+
+def _stems(branch_tags: DataFrame) -> DataFrame:
+    return branch_tags.filter(V.is_branch(F.col("revision"))).select(
         "path", V.branch_stem(F.col("revision")).alias("stem"), F.col("tag").alias("branch")
     )
-    trunk = rows.filter(on_trunk).withColumn("branch", F.lit(TRUNK))
-    named = rows.filter(F.size("stem") > 1).join(stems, ["path", "stem"])
-    return trunk.unionByName(named).drop("stem", "default_branch")
+
+
+def assign_branches(revisions: DataFrame, branch_tags: DataFrame) -> DataFrame:
+    """Give every revision the branch it was made on.
+
+    Branch ``a.b.0.n`` holds the versions ``a.b.n.x``.  Two components are
+    trunk, unless a column ``default_branch`` names another stem as the trunk
+    of the file.  A stem with several names gives a row for each; the rows of a
+    stem without a name are those of ``unassigned``.
+    """
+    rows = _with_stem(revisions)
+    trunk = rows.filter("on_trunk").withColumn("branch", F.lit(TRUNK))
+    named = rows.filter(F.size("stem") > 1).join(_stems(branch_tags), ["path", "stem"])
+    return trunk.unionByName(named).drop("stem", "on_trunk", "default_branch")
+
+
+def unassigned(revisions: DataFrame, branch_tags: DataFrame) -> DataFrame:
+    """Revisions made on a branch that no tag names."""
+    rows = _with_stem(revisions).filter(~F.col("on_trunk"))
+    return rows.join(_stems(branch_tags), ["path", "stem"], "left_anti").drop("stem", "on_trunk", "default_branch")
 
 
 def select_branch(revisions: DataFrame, branch_tags: DataFrame, branch: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from palimpsest.functions.digest import set_digest
 from palimpsest.functions.paths import ancestor_dirs, leaf_name, parent_dir
 from palimpsest.schema import path_depth
+from palimpsest.session import stored
 
 
 def dir_totals(files: DataFrame, size: Column | None = None) -> DataFrame:
@@ -32,27 +33,30 @@ def dir_entries(files: DataFrame, directory: str = "") -> DataFrame:
     )
 
 
-def dir_digests(files: DataFrame, max_depth: int | None = None) -> DataFrame:
+def dir_digests(files: DataFrame) -> DataFrame:
     """An id for every directory that depends on the files below it only.
 
     ``files`` has ``path`` and ``id``.  Levels are folded from the deepest one
     up; a directory's id is a digest of the set of its entries, summed with
     partial aggregation, so a directory may hold any number of files.  Equal
     trees have equal ids.  They are not the ids of any other tool.
+
+    Every level is written once.  The entries lie in the order of their level,
+    so a level reads its own row groups and the source is read once.
     """
-    entries = files.select("path", F.lit("file").alias("mode"), "id", path_depth("path").alias("level"))
-    if max_depth is None:
-        max_depth = entries.agg(F.max("level")).first()[0] or 0
-    digests = None
-    trees = None
-    for level in range(max_depth, -1, -1):
+    rows = files.select("path", F.lit("file").alias("mode"), "id", path_depth("path").alias("level"))
+    entries = stored(rows.repartitionByRange("level", "path").sortWithinPartitions("level"), "entries")
+    deepest = entries.agg(F.max("level")).first()[0] or 0
+    digests = trees = None
+    for level in range(deepest, -1, -1):
         here = entries.filter(F.col("level") == level).drop("level")
         if trees is not None:
             here = here.unionByName(trees.select(F.col("dir").alias("path"), F.lit("tree").alias("mode"), "id"))
         entry = F.concat_ws("/", leaf_name(F.col("path")), "mode", "id")
-        trees = (
+        trees = stored(
             here.groupBy(parent_dir(F.col("path")).alias("dir"))
-            .agg(set_digest(entry).alias("id"), F.count("*").alias("n_entries"))
+            .agg(set_digest(entry).alias("id"), F.count("*").alias("n_entries")),
+            "directories",
         )
         digests = trees if digests is None else digests.unionByName(trees)
     return digests

@@ -18,7 +18,8 @@ from palimpsest.session import stored
 
 FOUND, PARTIAL, OUT_OF_SYNC, NOT_FOUND = "FOUND", "PARTIAL", "OUT_OF_SYNC", "NOT_FOUND"
 
-FILES_PER_PART = 50_000
+#: Rows that a tag's map is dealt out to; a fixed grain, whatever the size of a tag.
+BUCKETS = 64
 
 
 def branch_tags(tags: DataFrame) -> DataFrame:
@@ -55,44 +56,45 @@ def tag_summary(tags: DataFrame) -> DataFrame:
     )
 
 
-def _with_part(tags: DataFrame, files_per_part: int) -> DataFrame:
-    parts = tags.groupBy("tag").agg(
-        F.ceil(F.count("*") / F.lit(files_per_part)).cast("int").alias("n_parts")
-    )
-    part = F.pmod(F.xxhash64("path"), F.col("n_parts")).cast("int")
-    return salted_join(tags, parts, ["tag"], F.col("path")).withColumn("part", part)
+def bucket_of(path: Column, buckets: int) -> Column:
+    """The bucket of a file, from the first 32 bits of the MD5 of its path."""
+    number = F.conv(F.substring(F.md5(path), 1, 8), 16, 10).cast("long")
+    return F.pmod(number, F.lit(buckets)).cast("int")
 
 
-def tag_maps(tags: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
-    """Tags as maps ``path -> version``.
+def tag_maps(tags: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Tags as maps ``path -> version``, one row per tag and bucket of paths.
 
-    A map is one value of one row, so a large tag is dealt out over several
-    ``part`` rows; the map of the tag is their union.
+    A map is one value of one row; the map of a tag is the union of its rows.
+    The grain is the same for tags of any size; a bucket without files has no
+    row.
     """
     entries = F.array_sort(F.collect_list(F.struct("path", "revision")))
     return (
-        _with_part(tags, files_per_part)
-        .groupBy("tag", "part")
+        tags.withColumn("bucket", bucket_of(F.col("path"), buckets))
+        .groupBy("tag", "bucket")
         .agg(F.map_from_entries(entries).alias("files"))
     )
 
 
-def tag_messages(tags: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
-    """Readable text of a tag: its name, then a line per file.
+def with_file(tags: DataFrame, path: str, revision: Column) -> DataFrame:
+    """Every tag with ``path`` set to ``revision``."""
+    others = tags.select("tag", "path", "revision").filter(F.col("path") != path)
+    return others.unionByName(
+        tags.select("tag").distinct().select("tag", F.lit(path).alias("path"), revision.alias("revision"))
+    )
+
+
+def tag_messages(tags: DataFrame) -> DataFrame:
+    """Readable text of the tags, one row per line: the name, then a line per file.
 
-    A large tag has several ``part`` rows; its text is theirs in a row.
+    ``tag, path, line``; ordered by ``tag``, ``path`` (nulls first, the name)
+    the rows are the text.  A line is never gathered with others, so a tag may
+    have any number of files.
     """
-    lines = F.array_sort(F.collect_list(tag_line(F.col("path"), F.col("revision"))))
-    text = F.array_join(lines, "\n")
-    parts = _with_part(tags, files_per_part)
-    first = parts.groupBy("tag").agg(F.min("part").alias("first_part"))
-    texts = parts.groupBy("tag", "part").agg(text.alias("text"))
-    return texts.join(first, "tag").select(
-        "tag",
-        "part",
-        F.when(F.col("part") == F.col("first_part"), F.concat("tag", F.lit("\n"), "text"))
-        .otherwise(F.col("text"))
-        .alias("message"),
+    names = tags.select("tag").distinct()
+    return names.select("tag", F.lit(None).cast("string").alias("path"), F.col("tag").alias("line")).unionByName(
+        tags.select("tag", "path", tag_line(F.col("path"), F.col("revision")).alias("line"))
     )
 
 
@@ -185,28 +187,26 @@ def tag_candidates(tags: DataFrame, hits: DataFrame, lineage: DataFrame) -> Data
 
     If a tag is found anywhere, it is found, at the same commit, on a branch
     that made one of its versions and whose lineage made all of them.  Where no
-    branch does, the one with the most of them is kept to report a status.
+    branch does, all that made one of its versions are kept, to report the best
+    status among them.
     """
     owned = hits.groupBy("tag", "ancestor").agg(F.count("*").alias("n_own"))
     sizes = tags.groupBy("tag").agg(F.count("*").alias("n_files"))
     covered = (
-        owned.join(lineage.select("branch", "ancestor", "n_levels"), "ancestor")
+        owned.join(lineage.select("branch", "ancestor"), "ancestor")
         .groupBy("tag", "branch")
         .agg(
             F.sum("n_own").alias("n_covered"),
-            F.max("n_levels").alias("n_levels"),
             F.bool_or(F.col("ancestor") == F.col("branch")).alias("is_owner"),
         )
         .filter("is_owner")
     )
     # Per tag as many rows as branches made one of its versions.
-    best = F.row_number().over(
-        Window.partitionBy("tag").orderBy(F.desc("n_covered"), F.desc("n_levels"), "branch")
-    )
+    best = F.max("n_covered").over(Window.partitionBy("tag"))
     return (
-        covered.withColumn("rank", best)
+        covered.withColumn("best", best)
         .join(sizes, "tag")
-        .filter((F.col("n_covered") >= F.col("n_files")) | (F.col("rank") == 1))
+        .filter((F.col("n_covered") >= F.col("n_files")) | (F.col("best") < F.col("n_files")))
         .select("tag", "branch")
     )
 
@@ -286,7 +286,7 @@ def status_rank(status: Column) -> Column:
 
 
 def tag_locate_all(tags: DataFrame, timeline: DataFrame, lineage: DataFrame) -> DataFrame:
-    """Best position of every tag over all branches.
+    """Best position of every tag over the branches that made one of its versions.
 
     FOUND positions win, then the smaller branch name.  The branch is the one
     that owns the commit.  A tag without any commit has no branch.

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palimpsest.functions.dates import LOG_DATE_FORMATS
 from palimpsest.operators import lookup
@@ -60,6 +61,7 @@ class History:
     tag_locations: DataFrame | None = None
     late: DataFrame | None = None
     timeline: DataFrame | None = None
+    unassigned: DataFrame | None = None
 
 
 def import_log(records: DataFrame, options: ImportOptions = ImportOptions(), imported: History | None = None) -> History:
@@ -78,15 +80,18 @@ def import_tables(
     """Import parsed revisions and tags, on top of what was imported before.
 
     Of a branch that is known already only the commits past its head are taken;
-    ``only_new`` leaves known branches alone altogether.
+    ``only_new`` leaves known branches alone altogether.  A revision that is
+    there several times is taken once; revisions of branches without a name go
+    to ``unassigned``.
     """
     # Both are read by every later step: parse and assign them once.
     tags = stored(tags, "tags")
     entries = branch_tags(tags)
-    rows = stored(
-        revisions if "branch" in revisions.columns else lookup.assign_branches(revisions, entries),
-        "revisions",
-    )
+    lost = None
+    if "branch" not in revisions.columns:
+        lost = lookup.unassigned(revisions, entries).dropDuplicates(["path", "revision"])
+        revisions = lookup.assign_branches(revisions, entries)
+    rows = stored(revisions.dropDuplicates(list(KEY)), "revisions")
     fetched = lookup.useful(rows)
     noise = lookup.noise(rows).filter(F.col("branch") == TRUNK)
     known = late = None
@@ -101,7 +106,7 @@ def import_tables(
         noise = noise.unionByName(imported.noise).dropDuplicates(list(KEY))
     branches, copies, spans = graft_points(own, entries, noise, options.auto_graft, known)
     own = own.unionByName(copies)
-    history = History(own, noise, tags, branches, late=late, timeline=spans)
+    history = History(own, noise, tags, branches, late=late, timeline=spans, unassigned=lost)
     return replace(history, tag_locations=locate_tags(history)) if options.resolve_tags else history
 
 
@@ -130,11 +135,59 @@ def import_summary(history: History) -> DataFrame:
     )
 
 
+#: Tables that hold what the last import knew; the others only grow.
+REPLACED = ("branches",)
+#: Tables whose rows stay when the log no longer has their tag.
+PER_TAG = ("tags", "tag_locations")
+GROWING = {"noise": list(KEY), "late": list(KEY), "unassigned": ["path", "revision"]}
+
+
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
+    """A stored table, or nothing where it was never written."""
+    try:
+        return spark.read.parquet(f"{folder}/{name}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def load_history(spark: SparkSession, folder: str) -> History | None:
+    """What ``save_history`` wrote, or nothing where there is no history yet."""
+    revisions = _table(spark, folder, "revisions")
+    if revisions is None:
+        return None
+    names = ("noise", "tags", "branches", "tag_locations", "late", "unassigned")
+    # The branch is a directory's name and comes last when read.
+    columns = ["branch", *(c for c in revisions.columns if c != "branch")]
+    return History(revisions.select(*columns), **{name: _table(spark, folder, name) for name in names})
+
+
 def save_history(history: History, folder: str) -> None:
-    """Write the tables of a first import; later ones append to ``revisions``."""
-    write_revisions(history.revisions, folder)
-    write_table(history.noise, folder, "noise")
-    write_table(history.tags, folder, "tags")
-    write_table(history.branches, folder, "branches")
-    if history.tag_locations is not None:
-        write_table(history.tag_locations, folder, "tag_locations")
+    """Write a history; of one that is there already only what is new.
+
+    Saving the same history again changes nothing.  Tags that the log no longer
+    has keep their entries and positions.  Tables that are replaced are written
+    aside first, since they may be read from the same folder.
+    """
+    spark = history.revisions.sparkSession
+    old = load_history(spark, folder)
+    fresh = history.revisions
+    if old is not None:
+        fresh = stored(fresh.join(old.revisions.select(*KEY), list(KEY), "left_anti"), "fresh")
+    write_revisions(fresh, folder)
+    for name, key in GROWING.items():
+        rows, before = getattr(history, name), getattr(old, name, None)
+        if rows is None:
+            continue
+        if before is not None:
+            rows = stored(rows.join(before.select(*key), key, "left_anti"), name)
+        write_table(rows, folder, name, mode="append")
+    for name in (*PER_TAG, *REPLACED):
+        rows, before = getattr(history, name), getattr(old, name, None)
+        if rows is None:
+            continue
+        if name in PER_TAG and before is not None:
+            gone = before.join(rows.select("tag").distinct(), "tag", "left_anti")
+            rows = rows.unionByName(gone)
+        write_table(rows if before is None else stored(rows, name), folder, name)

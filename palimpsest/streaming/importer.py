@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from palimpsest.operators.history import branch_heads
 from palimpsest.operators.incremental import KEY, after_heads, late_rows
-from palimpsest.operators.lookup import useful
+from palimpsest.operators.lookup import noise, useful
 
 
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
@@ -23,13 +23,15 @@ def _write(df: DataFrame, path: str, batch_id: int) -> None:
 def import_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     """Take one batch of revisions into the tables below ``folder``."""
     spark, schema = batch.sparkSession, batch.schema
-    commits = useful(batch).dropDuplicates(list(KEY))
+    rows = batch.dropDuplicates(list(KEY))
+    commits = useful(rows)
     empty = branch_heads(commits).limit(0)
     heads, history = empty, batch.limit(0)
     if batch_id > 0:
         # Each batch leaves the heads of all branches, so the last one is enough.
         heads = spark.read.schema(empty.schema).parquet(f"{folder}/heads/batch={batch_id - 1}")
         history = read_imported(spark, folder, schema, before=batch_id)
+    _write(noise(rows), f"{folder}/noise", batch_id)
     _write(after_heads(commits, heads), f"{folder}/revisions", batch_id)
     _write(late_rows(commits, heads, history), f"{folder}/late", batch_id)
     written = spark.read.schema(schema).parquet(f"{folder}/revisions/batch={batch_id}")

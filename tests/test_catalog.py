@@ -39,4 +39,4 @@ def test_query(spark, db, name):
 
 
 def test_entry(spark):
-    assert contract.entry(spark).count() == 36
+    assert contract.entry(spark).count() == 40

@@ -9,7 +9,15 @@ from palimpsest.operators.branches import branch_history, lineage, merge_base
 from palimpsest.operators.lookup import assign_branches, useful
 from palimpsest.operators.tags import branch_tags, tag_locate
 from palimpsest.plans.branch_diff import branch_diff
-from palimpsest.plans.importing import ImportOptions, import_log, import_summary, import_tables, locate_tags
+from palimpsest.plans.importing import (
+    ImportOptions,
+    import_log,
+    import_summary,
+    import_tables,
+    load_history,
+    locate_tags,
+    save_history,
+)
 from palimpsest.sources.rlog import read_log
 
 
@@ -169,3 +177,43 @@ def test_import_from_log_text(spark, tmp_path):
     history = import_log(records, ImportOptions(root=golden.ROOT, module="multi_branch"))
     assert commit_counts(history) == MULTI
     assert found(history) == MULTI_TAGS
+
+
+def rows_of(frame):
+    return sorted((r.branch, r.path, tuple(r.revision)) for r in frame.collect())
+
+
+def test_saving_twice_is_saving_once(spark, tmp_path):
+    log, tags = golden.revisions(spark, "multi_branch"), golden.tags(spark, "multi_branch")
+    folder = str(tmp_path / "history")
+    assert load_history(spark, folder) is None
+    first = import_tables(log.unionByName(log), tags)
+    assert rows_of(first.revisions) == rows_of(load(spark, "multi_branch").revisions)
+    save_history(first, folder)
+    fewer = tags.filter("tag <> 'libs_start'")
+    for _ in range(2):
+        save_history(import_tables(log, fewer, imported=load_history(spark, folder)), folder)
+    again = load_history(spark, folder)
+    assert rows_of(again.revisions) == rows_of(first.revisions)
+    assert again.noise.count() == first.noise.count()
+    assert again.branches.count() == first.branches.count()
+    # A tag that is gone upstream stays.
+    assert again.tags.filter("tag = 'libs_start'").count() == tags.filter("tag = 'libs_start'").count()
+    assert found(again) == found(first)
+
+
+def test_revisions_of_unnamed_branches_are_kept_aside(spark):
+    log, tags = golden.revisions(spark, "multi_branch"), golden.tags(spark, "multi_branch")
+    fewer = tags.filter("tag <> 'opengl'")
+    history = import_tables(log, fewer, ImportOptions(resolve_tags=False))
+    lost = history.unassigned.select("path", "revision").distinct().count()
+    assert lost == assign_branches(log, tags.filter("tag = 'opengl'")).filter("branch = 'opengl'").count() > 0
+
+
+def test_a_cycle_of_parents_is_an_error(spark):
+    ring = load(spark, "multi_branch").branches.limit(1)
+    ring = ring.withColumn("branch", F.lit("a")).withColumn("parent", F.lit("b")).unionByName(
+        ring.withColumn("branch", F.lit("b")).withColumn("parent", F.lit("a"))
+    )
+    with pytest.raises(ValueError, match="parents"):
+        lineage(ring)

@@ -171,23 +171,23 @@ def test_unlimited_known_branches(spark):
     assert sorted(map(str, once.collect())) == sorted(map(str, after.collect()))
 
 
-def test_tag_maps_in_parts(spark):
+def test_maps_and_messages_have_one_grain(spark):
     entries = spark.range(1000).select(
         F.lit("big").alias("tag"),
         F.concat(F.lit("f"), "id").alias("path"),
         F.array(F.lit(1), (F.col("id") % 7 + 1).cast("int")).alias("revision"),
     ).unionByName(spark.sql("select 'small' as tag, 'x' as path, array(1, 2) as revision"))
-    maps = T.tag_maps(entries, files_per_part=100)
-    rows = maps.collect()
-    assert len([r for r in rows if r.tag == "big"]) == 10
+    rows = T.tag_maps(entries, buckets=10).collect()
+    assert sorted(r.bucket for r in rows if r.tag == "big") == list(range(10))
     assert max(len(r.files) for r in rows) < 200
     merged = {p: tuple(v) for r in rows if r.tag == "big" for p, v in r.files.items()}
     assert merged == {f"f{n}": (1, n % 7 + 1) for n in range(1000)}
-    texts = T.tag_messages(entries, files_per_part=100).collect()
-    assert [r.message for r in texts if r.tag == "small"] == ["small\nx : 1.2"]
-    big = sorted((r for r in texts if r.tag == "big"), key=lambda r: r.part)
-    lines = "\n".join(r.message for r in big).split("\n")
-    assert lines[0] == "big" and sorted(lines[1:]) == sorted(f"f{n} : 1.{n % 7 + 1}" for n in range(1000))
+    lines = [(r.tag, r.line) for r in T.tag_messages(entries).orderBy("tag", F.asc_nulls_first("path")).collect()]
+    assert [line for tag, line in lines if tag == "small"] == ["small", "x : 1.2"]
+    big = [line for tag, line in lines if tag == "big"]
+    assert big == ["big", *sorted(f"f{n} : 1.{n % 7 + 1}" for n in range(1000))]
+    ghost = T.with_file(entries, "x", F.array(F.lit(1), F.lit(9)))
+    assert {r.tag: tuple(r.revision) for r in ghost.filter("path = 'x'").collect()} == {"big": (1, 9), "small": (1, 9)}
 
 
 def test_classes_names_and_resolution(spark):
