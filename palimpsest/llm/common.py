@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palimpsest.session import configure
@@ -42,3 +45,22 @@ def prepared(spark: SparkSession) -> SparkSession:
     """The session with the library's settings, and record batches small enough for long texts."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
+
+
+def thrifty(run):
+    """An Arrow function whose worker gives freed memory back when a partition is done.
+
+    Spark keeps workers for later tasks, and an idle one would hold on to what
+    its allocators keep for reuse.
+    """
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return task

@@ -106,21 +106,27 @@ class PreTokenizer:
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
+#: Characters that are hashed at a time, so that no array of 64-bit values is as long as a block.
+STRIDE = 1 << 17
+
+
 def fingerprints(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     """Two independent 64-bit polynomial hashes of every slice; the slices cover ``codes`` in order."""
-    value = codes.astype(np.uint64) + np.uint64(1)
-    value = (value * np.uint64(0xD6E8FEB86659FD93)) ^ (value << np.uint64(29))
-    lengths = ends - starts
-    place = np.arange(len(codes), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
-    found = []
-    for base in BASES:
-        powers = np.full(int(lengths.max(initial=1)), base, np.uint64)
-        powers[0] = 1
-        weight = np.multiply.accumulate(powers)[place]
-        weight *= value
-        hashed = np.add.reduceat(weight, starts)
-        hashed ^= hashed >> np.uint64(32)
-        found.append(hashed * np.uint64(0xFF51AFD7ED558CCD) + lengths.astype(np.uint64))
+    found = [np.empty(len(starts), np.uint64) for _ in BASES]
+    cuts = np.unique(np.r_[0, np.searchsorted(starts, np.arange(STRIDE, len(codes), STRIDE)), len(starts)]).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        begin, lengths = starts[a], ends[a:b] - starts[a:b]
+        value = codes[begin : ends[b - 1]].astype(np.uint64) + np.uint64(1)
+        value = (value * np.uint64(0xD6E8FEB86659FD93)) ^ (value << np.uint64(29))
+        place = np.arange(len(value), dtype=np.int32) - np.repeat((starts[a:b] - begin).astype(np.int32), lengths)
+        for base, hashes in zip(BASES, found, strict=True):
+            powers = np.full(int(lengths.max(initial=1)), base, np.uint64)
+            powers[0] = 1
+            weight = np.multiply.accumulate(powers)[place]
+            weight *= value
+            hashed = np.add.reduceat(weight, starts[a:b] - begin)
+            hashed ^= hashed >> np.uint64(32)
+            hashes[a:b] = hashed * np.uint64(0xFF51AFD7ED558CCD) + lengths.astype(np.uint64)
     return found
 
 

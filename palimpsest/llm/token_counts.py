@@ -25,10 +25,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from palimpsest.llm.common import documents_of
+from palimpsest.llm.common import documents_of, thrifty
 from palimpsest.llm.pretokens import PreTokenizer, blocks, distinct
 
-BLOCK_CHARS, BLOCK_DOCS = 3 << 20, 1 << 16
+BLOCK_CHARS, BLOCK_DOCS = 2 << 20, 1 << 16
 #: Distinct pre-tokens that a reducer remembers before it starts anew.
 REMEMBERED = 1 << 18
 POSTINGS = (
@@ -45,10 +45,12 @@ def token_counts(
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row of ``docs``."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = max(1, partitions // 64)
-    rows = documents_of(docs, id_col, text_col).mapInArrow(_postings(tokenizer_path, 4 * partitions, salts), POSTINGS)
+    rows = documents_of(docs, id_col, text_col).mapInArrow(
+        thrifty(_postings(tokenizer_path, 4 * partitions, salts)), POSTINGS
+    )
     sums = (
         rows.repartition(partitions, "bucket")
-        .mapInArrow(_count(tokenizer_path), "place bigint, doc_id bigint, n_bytes bigint, n bigint")
+        .mapInArrow(thrifty(_count(tokenizer_path)), "place bigint, doc_id bigint, n_bytes bigint, n bigint")
         .groupBy("place")
         .agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens"))
     )
