@@ -3,8 +3,8 @@
 A tokenizer merges inside pre-tokens only, so a document has as many tokens as its pre-tokens have pieces.  Each
 block of documents is turned into postings: for every distinct pre-token of the block, the documents that hold it
 and how often.  Postings are dealt by a hash of the pre-token, one packed row per block and bucket, so all of one
-pre-token meet at one reducer, which counts its pieces once; the products are summed per document with map-side
-combine.  Neither ids nor texts are shuffled.
+pre-token meet at one reducer, which counts its pieces once.  It sends the sums of a block as one packed row, and the packed rows of a block are
+added up by one task, block after block.  Neither ids nor texts are shuffled.
 
 A pre-token that many documents of a block hold has long postings; those are dealt over ``salts`` buckets, a number
 that follows the shuffle partitions, and its pieces are counted once in each.  Blocks are bounded, and so are the
@@ -33,8 +33,9 @@ BLOCK_CHARS, BLOCK_DOCS = 2 << 20, 1 << 16
 REMEMBERED = 1 << 18
 POSTINGS = (
     "bucket int, block bigint, words binary, sizes binary, counts binary, postings binary,"
-    " place bigint, doc_id bigint, n_bytes bigint, special bigint"
+    " place int, doc_id bigint, n_bytes bigint, special bigint"
 )
+SUMS = "block bigint, docs binary, sums binary, place int, doc_id bigint, n_bytes bigint, special bigint"
 #: A posting: the document's number in its block and the frequency.
 POSTING = np.dtype([("doc", "<u2"), ("freq", "<u2")])
 
@@ -50,9 +51,10 @@ def token_counts(
     )
     sums = (
         rows.repartition(partitions, "bucket")
-        .mapInArrow(thrifty(_count(tokenizer_path)), "place bigint, doc_id bigint, n_bytes bigint, n bigint")
-        .groupBy("place")
-        .agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens"))
+        .mapInArrow(thrifty(_count(tokenizer_path)), SUMS)
+        .repartition(partitions, "block")
+        .sortWithinPartitions("block")
+        .mapInArrow(thrifty(_totals), "doc_id bigint, n_bytes bigint, n_tokens bigint")
     )
     return sums.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
@@ -98,11 +100,11 @@ def _bounded(found):
             yield ids[k : k + BLOCK_DOCS], texts[k : k + BLOCK_DOCS]
 
 
-def _columns(**given):
-    """A batch of the postings' schema; what is not given is null."""
+def _columns(schema: str, **given):
+    """A batch of the schema; what is not given is null."""
     n = len(next(iter(given.values())))
     kinds = [(c, pa.binary() if k == "binary" else pa.int32() if k == "int" else pa.int64())
-             for c, k in (part.split() for part in POSTINGS.split(","))]
+             for c, k in (part.split() for part in schema.split(","))]
     return pa.RecordBatch.from_arrays(
         [pa.array(given[c], k) if c in given else pa.nulls(n, k) for c, k in kinds], [c for c, _ in kinds]
     )
@@ -113,7 +115,7 @@ def _block_rows(tokenizer, pre, ids, texts, block, buckets, salts):
     tokens = pre.split(parts)
     n = len(ids)
     yield _columns(  # one head row per document
-        bucket=np.arange(n) % buckets, place=(block << 16) + np.arange(n), doc_id=ids,
+        POSTINGS, bucket=np.arange(n) % buckets, block=np.full(n, block), place=np.arange(n), doc_id=ids,
         n_bytes=[len(t.encode()) for t in texts], special=special,
     )
     if not len(tokens.keys):
@@ -143,6 +145,7 @@ def _block_rows(tokenizer, pre, ids, texts, block, buckets, salts):
     cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)].tolist()
     spans = list(zip(cuts[:-1], cuts[1:], strict=True))
     yield _columns(
+        POSTINGS,
         bucket=bucket[cuts[:-1]],
         block=np.full(len(spans), block),
         words=[b"".join(words[a:b]) for a, b in spans],
@@ -158,10 +161,10 @@ def _count(path: str):
         known: dict[bytes, int] = {}
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            head = batch.column(batch.schema.get_field_index("place")).is_valid()
+            head = batch.column("place").is_valid()
             heads = batch.filter(head)
             if heads.num_rows:
-                yield _sums(*(heads.column(heads.schema.get_field_index(c)) for c in ("place", "doc_id", "n_bytes", "special")))
+                yield _columns(SUMS, **{c: heads.column(c) for c in ("block", *HEAD)})
             for row in batch.filter(pa.compute.invert(head)).to_pylist():
                 if len(known) > REMEMBERED:
                     known = {}
@@ -193,11 +196,44 @@ def _pieces(tokenizer, words: list[bytes]) -> list[int]:
 
 
 def _flush(sums):
-    for block, total in sums.items():
-        docs = np.flatnonzero(total)
-        none = pa.nulls(len(docs), pa.int64())
-        yield _sums(pa.array((block << 16) + docs), none, none, pa.array(total[docs]))
-
-
-def _sums(*columns):
-    return pa.RecordBatch.from_arrays(list(columns), ["place", "doc_id", "n_bytes", "n"])
+    """A packed row per block: documents and their sums."""
+    docs = [np.flatnonzero(total) for total in sums.values()]
+    if docs:
+        yield _columns(
+            SUMS,
+            block=list(sums),
+            docs=[d.astype("<u2").tobytes() for d in docs],
+            sums=[total[d].astype("<i8").tobytes() for total, d in zip(sums.values(), docs, strict=True)],
+        )
+
+
+HEAD = ("place", "doc_id", "n_bytes", "special")
+
+
+def _totals(batches):
+    """Rows in the order of their blocks: documents with the sums of their block's packed rows."""
+    block, heads, total = None, [], np.zeros(0, np.int64)
+    for batch in batches:
+        number = batch.column("block").to_numpy()
+        cuts = np.r_[0, np.flatnonzero(np.diff(number)) + 1, len(number)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            if number[a] != block:
+                yield from _documents(heads, total)
+                block, heads, total = number[a], [], np.zeros(BLOCK_DOCS, np.int64)
+            part = batch.slice(a, b - a)
+            head = part.column("place").is_valid()
+            heads.append(part.filter(head).select(list(HEAD)))
+            for row in part.filter(pa.compute.invert(head)).select(["docs", "sums"]).to_pylist():
+                total[np.frombuffer(row["docs"], "<u2")] += np.frombuffer(row["sums"], "<i8")
+    yield from _documents(heads, total)
+
+
+def _documents(heads, total):
+    for head in heads:
+        if head.num_rows:
+            tokens = head.column("special").to_numpy() + total[head.column("place").to_numpy()]
+            yield pa.RecordBatch.from_arrays(
+                [head.column("doc_id"), head.column("n_bytes"), pa.array(tokens)], ["doc_id", "n_bytes", "n_tokens"]
+            )
