@@ -4,11 +4,13 @@ Documents with equal sets are one node from the start.  Two sets of that similar
 ``n - ceil(t n) + 1`` shingles of each in any common order.  The order puts frequent shingles last, by a
 corpus-wide table of counts in which every task enters the shingles it has met often, so passages that many
 documents share make few candidates; any table gives the same result.  Nodes that share such a shingle are
-compared in two rounds:
+compared in three rounds:
 
 1. with the smallest set that has the shingle and with the next smaller one, which joins groups of near copies
    in linear time;
-2. where a shingle still has nodes of several components, all pairs of different components, in tiles: a tile
+2. where a shingle still has nodes of several components, with a few neighbours in an order by hash that is
+   another one for every shingle, so nodes left beside a large group meet members from all over it in linear time;
+3. where a shingle has nodes of several components even then, all pairs of different components, in tiles: a tile
    holds the nodes of one shingle in one band of sizes and the band above, as only those can be similar, cut
    into parts of bounded size.  This loses no link between components.
 
@@ -40,6 +42,8 @@ SHINGLE, THRESHOLD = 5, Fraction(3, 4)
 #: after how many shingles it enters what it has met.
 CELL_BITS, OFTEN, MET = 24, 3, 1 << 22
 TILE_ROWS = 512
+#: Distances in the order by hash at which neighbours are compared in the second round.
+STEPS = (1, 2, 4)
 SLICE_BYTES = 2 << 20
 #: Bytes of the filter that finds the documents whose texts are needed; a fuller filter only lets more through.
 BLOOM_BYTES = 16 << 20
@@ -180,12 +184,38 @@ def sizes_fit(a: str, b: str, threshold: Fraction) -> F.Column:
     return small * threshold.denominator >= large * threshold.numerator
 
 
-def cross_pairs(shared: DataFrame, component_of: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs of nodes that share a prefix shingle and lie in different components, by size-banded tiles."""
+def open_rows(shared: DataFrame, component_of: DataFrame) -> DataFrame:
+    """``h, at, node, n, component`` of the shingles whose nodes lie in several components."""
     rows = shared.select("h", "at", "node", "n").distinct().join(component_of, "node", "left")
     rows = stored(rows.withColumn("component", F.coalesce("component", "node")), "shingle-nodes")
     mixed_ = rows.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    rows = rows.join(mixed_.filter(F.col("x") != F.col("y")).select("h"), "h")
+    return rows.join(mixed_.filter(F.col("x") != F.col("y")).select("h"), "h")
+
+
+def neighbour_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs of nodes of different components that stand ``STEPS`` apart among the nodes of a shingle."""
+    by_hash = Window.partitionBy("h").orderBy(F.xxhash64("node", "h"), "node")
+    mine = F.struct("node", "n", "component", "at")
+    near = rows.withColumns({f"before_{k}": F.lag(mine, k).over(by_hash) for k in STEPS})
+    met = near.select("node", "n", "component", "at", F.explode(F.array(*(f"before_{k}" for k in STEPS))).alias("o"))
+    # A pair that needs this overlap shares a shingle this early in both.
+    total = (F.col("n") + F.col("o.n")) * threshold.numerator
+    need = F.ceil(total / (threshold.numerator + threshold.denominator))
+    return (
+        met.filter(F.col("component") != F.col("o.component"))
+        .filter(sizes_fit("n", "o.n", threshold))
+        .filter((F.col("at") <= F.col("n") - need) & (F.col("o.at") <= F.col("o.n") - need))
+        .select(
+            F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b"),
+            F.when(F.col("node") < F.col("o.node"), F.col("n")).otherwise(F.col("o.n")).alias("a_n"),
+            F.when(F.col("node") < F.col("o.node"), F.col("o.n")).otherwise(F.col("n")).alias("b_n"),
+        )
+        .distinct()
+    )
+
+
+def cross_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs of nodes that share a prefix shingle and lie in different components, by size-banded tiles."""
     ratio = float(np.log(threshold.denominator / threshold.numerator))
     band = F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("int")
     banded = rows.select("*", band.alias("band")).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("guest"))
@@ -199,7 +229,7 @@ def cross_pairs(shared: DataFrame, component_of: DataFrame, threshold: Fraction)
     met = met.select(
         "h", "tile", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "n", "component", "guest", "at"
     )
-    count = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = met.repartition(count, "h", "tile", "i", "j").sortWithinPartitions("h", "tile", "i", "j", "part", "node")
     return dealt.mapInArrow(_tile_pairs(threshold), "a bigint, b bigint, a_n bigint, b_n bigint").distinct()
 
@@ -376,11 +406,12 @@ def near_duplicates(
         .distinct()
     )
     links = stored(verified(stars, nodes, texts, size, threshold), "star-links")
-    parts = stored(components(links), "star-components")
-    crossing = stored(cross_pairs(shared, parts, threshold), "cross-pairs")
-    more = verified(crossing, nodes, texts, size, threshold)
-    tree = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    whole = stored(components(tree.unionByName(more)), "components")
+    whole = stored(components(links), "star-components")
+    for pairs_of in (neighbour_pairs, cross_pairs):
+        pairs = stored(pairs_of(open_rows(shared, whole), threshold), "pairs")
+        more = verified(pairs, nodes, texts, size, threshold)
+        tree = whole.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        whole = stored(components(tree.unionByName(more)), "components")
     placed = members.join(whole, "node", "left").withColumn("part", F.coalesce("component", "node"))
     placed = stored(placed.select("doc_id", "n", "part"), "placed")
     smallest = placed.filter(F.col("n") > 0).groupBy("part").agg(F.min("doc_id").alias("smallest"))
