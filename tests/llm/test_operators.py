@@ -267,6 +267,39 @@ def test_folding():
     assert toxicity.density(automaton, "") == 0
 
 
+def test_written_forms_of_words():
+    both = toxicity.forms()
+    assert both("Réeux reeux, ÜBER\u00a0e\u0301tat 1dïot! слово") == ("reeux reeux uber etat idiot c obo", "réeux über état dïot слово")
+    lexicon = toxicity.Lexicon({"réeu": 3.0, "étatis": 5.0, "etat": 2.0})
+    automaton = lexicon.automaton()
+    assert toxicity.density(automaton, *both("un réeux")) == pytest.approx(3 / 2**0.5)
+    assert toxicity.density(automaton, *both("un reeux")) == 0
+    # Both forms stand in the lexicon: the word counts once, with the larger weight.
+    assert toxicity.density(automaton, *both("étatiste")) == 5 and toxicity.density(automaton, *both("etatiste")) == 2
+
+
+def test_toxic_words_with_accents_and_stray_uses(documents, spark):
+    rng = random.Random(2)
+    texts, rows = [], []
+    for i in range(400):
+        toxic = i % 8 == 1
+        words = [rng.choice(["alpha", "beta", "gamma", "delta", "eps"]) for _ in range(40 if toxic else 400)]
+        if toxic:  # half of them by the accent only, half by a word that each second clean text has once
+            words[3] = words[11] = words[30] = "réeux" if i % 16 == 1 else f"achlich{rng.choice(['en', 'er', 'st'])}"
+        else:
+            words[5] = words[50] = "reeux"
+            words[9] = "achlichen" if i % 2 else "eps"
+        texts.append(" ".join(words))
+        rows.append((i, 1, int(toxic)))
+    held = labelled.fold_of("doc_id", 4) == 2
+    docs = documents(texts)
+    model = toxicity.train(docs, spark.createDataFrame(rows, "doc_id long, quality int, toxic int"), ~held)
+    assert any(t.startswith("réeu") for t in model.weights) and any(t.startswith("achl") and not t.endswith(" ") for t in model.weights)
+    assert not any(t.startswith("reeu") for t in model.weights)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, model, held).filter("held_out").collect()}
+    assert got == {i: int(i % 8 == 1) for i in got}
+
+
 def test_classifiers(spark, documents):
     rng = random.Random(1)
     texts, rows = [], []
