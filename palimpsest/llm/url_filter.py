@@ -13,7 +13,8 @@ Beyond ``max_bytes`` the lists are joined by key instead, with the same result.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, no key, no rule, and verdict
 ``allow``; repeated rows come out as often as they occur; an empty table or empty lists give no rule; other
-columns are ignored.  Two rules of one length can only fit one URL if they are equal; then ``block`` wins.
+columns are ignored.  Of rules of one length that fit one URL (equal ones, or a longer host with a shorter path)
+``block`` wins, then the key that sorts first.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palimpsest.llm.common import lower_ascii
@@ -200,6 +202,8 @@ def judge(
             names = keys.flatten()
             blocked, allowed, own_ = (c.has(a, b) for c in sent.value)
             hit = np.flatnonzero(blocked | allowed)
+            lengths = pc.utf8_length(names.take(pa.array(hit))).to_numpy(zero_copy_only=False)
+            hit = hit[np.lexsort((hit, ~blocked[hit], -lengths, row[hit]))]
             first, at = np.unique(row[hit], return_index=True)
             which = np.full(batch.num_rows, -1)
             which[first] = hit[at]

@@ -90,6 +90,14 @@ def test_url_filter(spark, max_bytes):
     assert url_filter.judge(pages.limit(0), block, allow, []).count() == 0
 
 
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_url_rules_of_one_length(spark, max_bytes):
+    pages = spark.createDataFrame([(1, "http://b.com/x/yy"), (2, "http://b.com/x/z"), (3, "http://c.com/x/yy")], "page_id long, url string")
+    # The allowed key sorts before the blocked one of the same length.
+    found = url_filter.judge(pages, ["com/x/yy"], ["b.com/x/", "com/x/yy"], [], max_bytes=max_bytes).collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in found} == {1: ("com/x/yy", "block"), 2: ("b.com/x/", "allow"), 3: ("com/x/yy", "block")}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(st.sampled_from("aZ1' \n\t.!é日🎉\u00a0stredvlmx"), max_size=30), max_size=4))
 def test_pretokens_agree_with_the_tokenizer(texts):
