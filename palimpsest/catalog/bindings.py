@@ -37,9 +37,7 @@ def trunk(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    numbered = ordered.position(
-        events, ["user_id"], ["ts", "event_id"], "rn", ordered.time_cell("ts", "minute")
-    )
+    numbered = ordered.position(events, ["user_id"], ["ts", "event_id"], "rn")
     return numbered.select(
         F.lit(TRUNK).alias("branch"),
         path.alias("path"),
@@ -111,9 +109,7 @@ def branch_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
         .withColumn("k", (F.col("o_custkey") % BRANCHES + 1).cast("int"))
     )
-    numbered = ordered.position(
-        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "rn", ordered.time_cell("o_orderdate", "day")
-    )
+    numbered = ordered.position(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "rn")
     return numbered.select(
         F.concat(F.lit("B"), "k").alias("branch"),
         F.concat(F.lit("o"), "o_custkey", F.lit(".txt")).alias("path"),

@@ -476,7 +476,6 @@ def fold_while(spark, sf_dir):
         ["turn"],
         F.length("text").cast("long"),
         lambda total: total < 500,
-        F.floor(F.col("turn") / 10_000),
     )
 
 

@@ -15,9 +15,9 @@ def fold_while(
     order: Sequence[str],
     value: Column,
     proceed: Callable[[Column], Column],
-    cell: Column,
     how: str = "sum",
     start: Column | None = None,
+    hot_rows: int = ordered.HOT_ROWS,
 ) -> DataFrame:
     """Fold each group in order while ``proceed(accumulator)`` holds.
 
@@ -26,7 +26,7 @@ def fold_while(
     """
     start = F.lit(0).cast("long") if start is None else start
     combine = {"sum": lambda a: start + a, "min": lambda a: F.least(start, a), "max": lambda a: F.greatest(start, a)}
-    folded = ordered.running(df, keys, order, value, "_acc", cell, how).withColumn(
+    folded = ordered.running(df, keys, order, value, "_acc", how, hot_rows).withColumn(
         "_acc", combine[how](F.col("_acc"))
     )
     at = F.struct(*order)

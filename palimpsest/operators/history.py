@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palimpsest.operators import ordered
+from palimpsest.operators.ordered import HOT_ROWS
 from palimpsest.schema import FILE_ORDER, ORDER, ord_struct, path_depth
 
 COMMIT = ("path", "revision", "date")
@@ -18,24 +19,14 @@ def with_depth(revisions: DataFrame) -> DataFrame:
     return revisions.withColumn("path_depth", path_depth("path"))
 
 
-def commit_positions(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
+def commit_positions(revisions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number every commit of a branch in commit order."""
     rows = with_depth(revisions)
-    return ordered.position(rows, ["branch"], ORDER, "position", _cell(cell)).drop("path_depth")
-
-
-def _cell(cell: Column | None) -> Column:
-    """Minutes by default: a group with a third of a huge log still falls into small
-    cells, while the minutes of decades fit one task of the summary.
-
-    Only commits that pile up at one instant, as a bulk load leaves them, need
-    cells from ``ordered.range_cells``.
-    """
-    return ordered.time_cell("date", "minute") if cell is None else cell
+    return ordered.position(rows, ["branch"], ORDER, "position", hot_rows).drop("path_depth")
 
 
 def parent_links(
-    revisions: DataFrame, branches: DataFrame | None = None, cell: Column | None = None
+    revisions: DataFrame, branches: DataFrame | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Every commit with the commit before it on its branch.
 
@@ -45,7 +36,7 @@ def parent_links(
     grafts = None if branches is None else branches.select("branch", "graft_ord")
     return with_ord(
         ordered.previous_row(
-            with_depth(revisions), ["branch"], ORDER, ORDER, "parent_ord", _cell(cell), grafts
+            with_depth(revisions), ["branch"], ORDER, ORDER, "parent_ord", grafts, hot_rows
         )
     ).drop("path_depth")
 
@@ -65,13 +56,13 @@ def branch_log(revisions: DataFrame, branch: str) -> DataFrame:
     return revisions.filter(F.col("branch") == branch).orderBy(ord_struct().desc())
 
 
-def file_intervals(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
+def file_intervals(revisions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every revision with the order key of the one that replaces it (null: none).
 
     ``opens`` marks the first revision of a file on its branch.
     """
     spans = ordered.next_row(
-        revisions, ["branch", "path"], FILE_ORDER, FILE_ORDER, "next", _cell(cell), "opens"
+        revisions, ["branch", "path"], FILE_ORDER, FILE_ORDER, "next", "opens", hot_rows
     )
     next_ord = F.struct(
         F.col("next.date"), path_depth("path").alias("path_depth"), F.col("path"), F.col("next.revision")
@@ -79,9 +70,9 @@ def file_intervals(revisions: DataFrame, cell: Column | None = None) -> DataFram
     return with_ord(spans).withColumn("next_ord", F.when(F.col("next").isNotNull(), next_ord)).drop("next")
 
 
-def timeline(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
+def timeline(revisions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Intervals of all files in the columns that tag location needs."""
-    spans = file_intervals(revisions.select("branch", "path", "revision", "date"), cell)
+    spans = file_intervals(revisions.select("branch", "path", "revision", "date"), hot_rows)
     return spans.select("branch", "path", "revision", "ord", "next_ord", "opens")
 
 
@@ -101,14 +92,15 @@ def snapshot_asof(revisions: DataFrame, at: Column, columns: tuple[str, ...] = (
     return newest.select("branch", "path", "state.revision", *(f"state.{name}" for name in columns))
 
 
-def live_file_counts(revisions: DataFrame, cell: Column | None = None) -> DataFrame:
-    """Number of live files of the branch after each commit."""
+def live_file_counts(revisions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Number of live files after each commit, of those that the branch itself made.
+
+    ``lineage_state.branch_live_counts`` counts inherited files too.
+    """
     seen = ordered.previous_row(
-        with_depth(revisions), ["branch", "path"], FILE_ORDER, ["is_dead"], "before", _cell(cell)
+        with_depth(revisions), ["branch", "path"], FILE_ORDER, ["is_dead"], "before", hot_rows=hot_rows
     )
     was_live = ~F.coalesce("before.is_dead", F.lit(True))
     change = (~F.col("is_dead")).cast("int") - was_live.cast("int")
-    counted = ordered.running(
-        seen, ["branch"], ORDER, change.cast("long"), "live_files", _cell(cell)
-    )
+    counted = ordered.running(seen, ["branch"], ORDER, change.cast("long"), "live_files", hot_rows=hot_rows)
     return counted.drop("before", "path_depth")

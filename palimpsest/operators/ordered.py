@@ -1,10 +1,12 @@
 """Ordered operators that split large groups.
 
-A plain window sends a whole group to one task.  Here every group is cut into
-*cells*, ranges of the order such as hours.  The window runs inside a cell; a
-summary with one row per cell carries what has to cross from cell to cell and
-is joined back on the cell.  Results are the same for any choice of cells as
-long as a later row never has an earlier cell.
+A plain window sends a whole group to one task.  Groups of ordinary size are left to it: one shuffle, nothing else.
+A group of more than ``hot_rows`` rows is cut into *cells*, ranges of its order with about that many rows each, whose
+bounds come from a sample of the group's own keys; so they are even whatever the order looks like, also if all rows
+carry one instant.  The window runs inside a cell, and a summary with one row per cell of a hot group carries what has
+to cross from cell to cell.  The result does not depend on where the bounds lie.
+
+The rows are read once for the sizes of the groups, and once more per hot pass for sample and summary.
 """
 
 from __future__ import annotations
@@ -13,22 +15,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CELL = "_cell"
+from palimpsest.session import stored
 
+CELL, ALL = "_cell", "_all"
+#: Rows of one group that a single task may get.
+HOT_ROWS = 1 << 20
+#: Sampled keys per cell.
+SAMPLES = 16
+#: A sorted array is searched in this many steps: enough for any array that fits a row.
+STEPS = 26
 
-def time_cell(column: str = "date", unit: str = "minute") -> Column:
-    """Cells that follow the calendar."""
-    return F.date_trunc(unit, F.col(column))
 
+def rank_in(bounds: Column, value: Column) -> Column:
+    """How many elements of the sorted array ``bounds`` are at most ``value``, by bisection."""
 
-def range_cells(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Cells of even size, whatever the skew: the partitions of a range shuffle.
+    def step(found: Column, jump: Column) -> Column:
+        ahead = found + jump
+        # Beyond the end there is no element: null, which is not reached.
+        reached = F.coalesce(F.get(bounds, ahead - 1) <= value, F.lit(False))
+        return F.when(reached, ahead).otherwise(found)
 
-    The bounds are sampled, so the result must be written or checkpointed once
-    before several operators read it.
-    """
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order).withColumn("cell", F.spark_partition_id())
+    jumps = F.filter(F.array(*(F.lit(1 << k) for k in range(STEPS - 1, -1, -1))), lambda jump: jump <= F.size(bounds))
+    return F.aggregate(jumps, F.lit(0), step)
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, bool]:
+    """``df`` with a column ``_cell``, null in groups that need no cells, and whether there are others."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = stored(sizes.filter(F.col("_rows") > hot_rows).select(*keys), "hot-groups")
+    if hot.isEmpty():
+        return df.withColumn(CELL, F.lit(None).cast("int")), False
+    place = F.struct(*order)
+    # Equal places are never apart, so a hash of the place is as good as a random number, and the same in every run.
+    drawn = F.pmod(F.xxhash64(*order), F.lit(max(1, hot_rows // SAMPLES))) == 0
+    sample = df.filter(drawn).select(*keys, place.alias("_place")).join(hot, list(keys))
+    every = F.filter(F.array_sort(F.collect_list("_place")), lambda _, i: i % SAMPLES == SAMPLES - 1)
+    bounds = stored(sample.groupBy(*keys).agg(every.alias("_bounds")), "cell-bounds")
+    rows = df.join(hot.withColumn("_hot", F.lit(True)), list(keys), "left").join(bounds, list(keys), "left")
+    cell = F.when(F.col("_hot"), F.coalesce(rank_in(F.col("_bounds"), place), F.lit(0)))
+    return rows.withColumn(CELL, cell).drop("_hot", "_bounds"), True
+
+
+def _grouped(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    return (df, list(keys)) if keys else (df.withColumn(ALL, F.lit(0)), [ALL])
 
 
 def _neighbour(
@@ -37,64 +66,62 @@ def _neighbour(
     order: Sequence[str],
     columns: Sequence[str],
     into: str,
-    cell: Column,
     ahead: bool,
     outside: DataFrame | None = None,
     opens: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     step = F.lead if ahead else F.lag
-    pick = F.min_by if ahead else F.max_by
-    rows = df.withColumn(CELL, cell)
-    inside = Window.partitionBy(*keys, CELL).orderBy(*order)
+    df, group = _grouped(df, keys)
+    rows, split = split_hot(df, group, order, hot_rows)
+    inside = Window.partitionBy(*group, CELL).orderBy(*order)
     # Column by column, so that the shuffle does not carry a copy of them.
     near = F.when(
         step(columns[0]).over(inside).isNotNull(),
         F.struct(*(step(name).over(inside).alias(name) for name in columns)),
     )
-    across = Window.partitionBy(*keys).orderBy(CELL)
-    edges = (
-        rows.groupBy(*keys, CELL)
-        .agg(pick(F.struct(*columns), F.struct(*order)).alias("_edge"))
-        .withColumn("_far", step("_edge").over(across))
-        .withColumn("_first_cell", F.row_number().over(across) == 1)
-        .drop("_edge")
-    )
-    if outside is not None:
-        # One row per cell meets one row per group: both sides are small.
+    found = rows.withColumn(into, near)
+    if opens:
+        found = found.withColumn(opens, F.row_number().over(inside) == 1)
+    if split:
+        pick = F.min_by if ahead else F.max_by
+        across = Window.partitionBy(*group).orderBy(CELL)
         edges = (
-            edges.join(outside.toDF(*keys, "_outside"), list(keys), "left")
-            .withColumn("_far", F.coalesce("_far", "_outside"))
-            .drop("_outside")
+            rows.filter(F.col(CELL).isNotNull())
+            .groupBy(*group, CELL)
+            .agg(pick(F.struct(*columns), F.struct(*order)).alias("_edge"))
+            .withColumns({"_far": step("_edge").over(across), "_first_cell": F.row_number().over(across) == 1})
+            .drop("_edge")
         )
-    near_rows = rows.withColumn("_near", near)
-    if opens:
-        near_rows = near_rows.withColumn("_first_row", F.row_number().over(inside) == 1)
-    joined = near_rows.join(edges, [*keys, CELL], "left").withColumn(into, F.coalesce("_near", "_far"))
-    if opens:
-        joined = joined.withColumn(opens, F.col("_first_row") & F.col("_first_cell"))
-    return joined.drop(CELL, "_near", "_far", "_first_row", "_first_cell")
+        found = found.join(edges, [*group, CELL], "left").withColumn(into, F.coalesce(into, "_far"))
+        if opens:
+            found = found.withColumn(opens, F.col(opens) & F.coalesce("_first_cell", F.lit(True)))
+    if outside is not None:
+        # One row per group.
+        found = found.join(outside.toDF(*group, "_outside"), group, "left").withColumn(into, F.coalesce(into, "_outside"))
+    return found.drop(CELL, ALL, "_far", "_first_cell", "_outside")
 
 
 def next_row(
-    df, keys, order, columns: Sequence[str], into: str, cell: Column, opens: str | None = None
+    df, keys, order, columns: Sequence[str], into: str, opens: str | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``columns`` of the following row of the group as a struct, null after the last.
 
     The first of the columns must not be null.  ``opens`` names a flag to add
     that marks the first row of the group.
     """
-    return _neighbour(df, keys, order, columns, into, cell, ahead=True, opens=opens)
+    return _neighbour(df, keys, order, columns, into, ahead=True, opens=opens, hot_rows=hot_rows)
 
 
 def previous_row(
-    df, keys, order, columns: Sequence[str], into: str, cell: Column, outside: DataFrame | None = None
+    df, keys, order, columns: Sequence[str], into: str, outside: DataFrame | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``columns`` of the preceding row of the group as a struct.
 
     The first of the columns must not be null.  ``outside``, the keys and such a
     struct, tells what precedes the first row.
     """
-    return _neighbour(df, keys, order, columns, into, cell, ahead=False, outside=outside)
+    return _neighbour(df, keys, order, columns, into, ahead=False, outside=outside, hot_rows=hot_rows)
 
 
 _COMBINE = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
@@ -106,33 +133,45 @@ def running(
     order: Sequence[str],
     value: Column,
     into: str,
-    cell: Column,
     how: str = "sum",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Running sum, min or max from the first row of the group to this one."""
-    fold, combine = _COMBINE[how]
-    rows = df.withColumn(CELL, cell)
-    within = (
-        Window.partitionBy(*keys, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    before = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        rows.groupBy(*keys, CELL)
-        .agg(fold(value).alias("_total"))
-        .withColumn("_carried", fold("_total").over(before))
-        .drop("_total")
-    )
-    inside = rows.withColumn("_inside", fold(value).over(within))
-    total = F.when(F.col("_carried").isNull(), F.col("_inside")).otherwise(
-        combine(F.col("_carried"), F.col("_inside"))
-    )
-    return (
-        inside.join(carried, [*keys, CELL], "left")
-        .withColumn(into, total)
-        .drop(CELL, "_inside", "_carried")
-    )
+    """Running sum, min or max from the first row of the group to this one.
+
+    Rows of equal order are taken one after another.
+    """
+    return running_all(df, keys, order, {into: (value, how)}, hot_rows)
+
+
+def running_all(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: dict[str, tuple[Column, str]],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Several running values, ``{into: (value, how)}``, in one pass."""
+    df, group = _grouped(df, keys)
+    rows, split = split_hot(df, group, order, hot_rows)
+    within = Window.partitionBy(*group, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumns({into: _COMBINE[how][0](value).over(within) for into, (value, how) in values.items()})
+    if split:
+        before = Window.partitionBy(*group).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
+        carried = {into: f"_carried_{k}" for k, into in enumerate(values)}
+        totals = rows.filter(F.col(CELL).isNotNull()).groupBy(*group, CELL).agg(
+            *(_COMBINE[how][0](value).alias(carried[into]) for into, (value, how) in values.items())
+        )
+        earlier = totals.select(
+            *group, CELL, *(_COMBINE[how][0](carried[into]).over(before).alias(carried[into]) for into, (_, how) in values.items())
+        )
+        found = found.join(earlier, [*group, CELL], "left")
+        for into, (_, how) in values.items():
+            both = _COMBINE[how][1](F.col(carried[into]), F.col(into))
+            found = found.withColumn(into, F.when(F.col(carried[into]).isNull(), F.col(into)).otherwise(both))
+        found = found.drop(*carried.values())
+    return found.drop(CELL, ALL)
 
 
-def position(df, keys, order, into: str, cell: Column) -> DataFrame:
+def position(df, keys, order, into: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """1-based position in the group."""
-    return running(df, keys, order, F.lit(1), into, cell)
+    return running(df, keys, order, F.lit(1), into, hot_rows=hot_rows)

@@ -137,7 +137,7 @@ def _status(found_any: Column, n_missing: Column, n_wrong: Column) -> Column:
     )
 
 
-def tag_locate(tags: DataFrame, revisions: DataFrame, cell: Column | None = None) -> DataFrame:
+def tag_locate(tags: DataFrame, revisions: DataFrame) -> DataFrame:
     """Where each tag was set in one history.
 
     The *anchor* is the newest commit that the tag names.  The tag is FOUND if
@@ -150,7 +150,7 @@ def tag_locate(tags: DataFrame, revisions: DataFrame, cell: Column | None = None
     each (path, revision) once.
     """
     history = revisions.withColumn("branch", F.lit(""))
-    spans = file_intervals(history, cell).select("path", "revision", "ord", "next_ord")
+    spans = file_intervals(history).select("path", "revision", "ord", "next_ord")
     first = with_ord(history).groupBy("path").agg(F.min("ord").alias("first_ord"))
     anchors = (
         tags.join(with_ord(history).select("path", "revision", "ord"), ["path", "revision"])

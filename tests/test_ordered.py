@@ -28,15 +28,14 @@ def rows(spark):
     return spark.createDataFrame(data, "key string, date timestamp, id long, v long").cache()
 
 
-@pytest.mark.parametrize("unit", ["hour", "day", "year"])
-def test_same_as_plain_windows(rows, unit):
-    cell = ordered.time_cell("date", unit)
+@pytest.mark.parametrize("hot_rows", [1, 20, 400, ordered.HOT_ROWS])
+def test_same_as_plain_windows(rows, hot_rows):
     keys, order = ["key"], ["date", "id"]
-    df = ordered.next_row(rows, keys, order, ["id", "v"], "nxt", cell)
-    df = ordered.previous_row(df, keys, order, ["id", "v"], "prv", cell)
-    df = ordered.position(df, keys, order, "pos", cell)
-    for how in ("sum", "min", "max"):
-        df = ordered.running(df, keys, order, F.col("v"), how, cell, how)
+    df = ordered.next_row(rows, keys, order, ["id", "v"], "nxt", hot_rows=hot_rows)
+    df = ordered.previous_row(df, keys, order, ["id", "v"], "prv", hot_rows=hot_rows)
+    df = ordered.position(df, keys, order, "pos", hot_rows)
+    values = {how: (F.col("v"), how) for how in ("sum", "min", "max")}
+    df = ordered.running_all(df, keys, order, values, hot_rows)
     plain_window = Window.partitionBy("key").orderBy("date", "id")
     upto = plain_window.rowsBetween(Window.unboundedPreceding, 0)
     plain = rows.select(
@@ -54,24 +53,33 @@ def test_same_as_plain_windows(rows, unit):
     assert mine == sorted(tuple(r) for r in plain.collect())
 
 
-def test_first_row_follows_outside_value(spark, rows):
+@pytest.mark.parametrize("hot_rows", [50, ordered.HOT_ROWS])
+def test_first_row_follows_outside_value(spark, rows, hot_rows):
     outside = spark.createDataFrame([("hot", (-1,))], "key string, at struct<id:bigint>")
-    df = ordered.previous_row(rows, ["key"], ["date", "id"], ["id"], "prv", ordered.time_cell(), outside)
+    df = ordered.previous_row(rows, ["key"], ["date", "id"], ["id"], "prv", outside, hot_rows)
     missing = df.filter("prv is null").select("key").collect()
     assert "hot" not in {r.key for r in missing} and len(missing) == df.select("key").distinct().count() - 1
     assert df.filter("prv.id = -1").count() == 1
 
 
-def test_range_cells_are_even(rows):
-    from palimpsest.session import stored
-
-    # Everything at one instant: no calendar cell can split it.
+def test_cells_of_one_instant_are_even(rows):
     piled = rows.withColumn("date", F.lit("2020-01-01").cast("timestamp"))
-    laid = stored(ordered.range_cells(piled, ["date", "id"], 8))
-    sizes = [r["count"] for r in laid.groupBy("cell").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 3 * min(sizes)
-    df = ordered.position(laid, [], ["date", "id"], "pos", F.col("cell"))
+    laid, split = ordered.split_hot(piled, ["key"], ["date", "id"], 100)
+    assert split
+    cells = {(r.key, r[ordered.CELL]): r["count"] for r in laid.groupBy("key", ordered.CELL).count().collect()}
+    hot = [n for (key, _), n in cells.items() if key == "hot"]
+    assert sum(hot) == 1000 and len(hot) > 5 and max(hot) < 300
+    assert all(cell is None for key, cell in cells if key != "hot")
+    df = ordered.position(piled, [], ["date", "id"], "pos", 100)
     assert df.filter(F.col("pos") != F.col("id") + 1).count() == 0
+    assert df.columns == [*piled.columns, "pos"]
+
+
+def test_rank_in_sorted_array(spark):
+    bounds = [2, 3, 3, 7]
+    frame = spark.createDataFrame([(bounds, v) for v in range(9)] + [([], 1), (None, 1)], "b array<int>, v int")
+    got = [r[0] for r in frame.select(ordered.rank_in(F.col("b"), F.col("v"))).collect()]
+    assert got == [sum(x <= v for x in bounds) for v in range(9)] + [0, 0]
 
 
 def test_salted_join_keeps_every_row(spark, rows):
@@ -87,11 +95,11 @@ def test_salted_join_keeps_every_row(spark, rows):
 )
 def test_fold_while(spark, values, limit, result):
     df = spark.createDataFrame([("g", i, v) for i, v in enumerate(values)], "g string, i int, v long")
-    for width in (1, 2, 100):
-        folded = fold_while(df, ["g"], ["i"], F.col("v"), lambda acc: acc < limit, F.floor(F.col("i") / width))
+    for hot_rows in (1, 2, 100):
+        folded = fold_while(df, ["g"], ["i"], F.col("v"), lambda acc: acc < limit, hot_rows=hot_rows)
         assert folded.first().folded == result
 
 
 def test_fold_of_nothing(spark):
     df = spark.createDataFrame([], "g string, i int, v long")
-    assert fold_while(df, [], ["i"], F.col("v"), lambda acc: acc < 9, F.col("i")).first().folded == 0
+    assert fold_while(df, [], ["i"], F.col("v"), lambda acc: acc < 9).first().folded == 0

@@ -22,38 +22,76 @@ def log(spark):
     return stored(rows, "log")
 
 
-def shuffle_counts(df):
-    """Greatest share of a shuffle's records that one task would read, by operator."""
-    groups = df.groupBy(F.spark_partition_id().alias("p")).count()
-    row = groups.agg((F.max("count") / F.sum("count")).alias("share")).first()
-    return row.share
-
-
-def test_hot_path_is_spread(spark, log):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        plain = log.repartition("branch", "path")
-        assert shuffle_counts(plain) > 0.33
-        cells = log.withColumn("cell", F.date_trunc("minute", "date")).repartition("branch", "path", "cell")
-        assert shuffle_counts(cells) < 0.1
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
-
-
-def test_results_under_skew(log):
-    spans = history.file_intervals(log)
+def shares_of_tasks(spark, run):
+    """Of every shuffle that ``run`` reads, the share of its records that the largest task got, with its records."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    seq = spark._jvm.scala.jdk.javaapi.CollectionConverters
+    group = f"shares-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    spark.sparkContext._jsc.clearJobGroup()
+    shares = []
+    for job in spark.sparkContext.statusTracker().getJobIdsForGroup(group):
+        for stage in spark.sparkContext.statusTracker().getJobInfo(job).stageIds:
+            try:
+                attempt = store.lastStageAttempt(stage).attemptId()
+            except Exception:  # a stage that was skipped
+                continue
+            reads = []
+            for task in seq.asJava(store.taskList(stage, attempt, 1000)):
+                if task.taskMetrics().isDefined():
+                    reads.append(task.taskMetrics().get().shuffleReadMetrics().recordsRead())
+            if sum(reads):
+                shares.append((max(reads) / sum(reads), sum(reads)))
+    return shares
+
+
+@pytest.fixture
+def many_tasks(spark):
+    names = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+OPERATORS = {
+    "intervals": history.file_intervals,
+    "positions": history.commit_positions,
+    "parents": lambda rows, hot_rows: history.parent_links(rows, hot_rows=hot_rows),
+    "counts": history.live_file_counts,
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+@pytest.mark.parametrize("instant", [False, True])
+def test_no_task_gets_the_hot_group(spark, log, many_tasks, name, instant):
+    """Tasks of the operators' own plans, with a third of all rows in one path, all in one branch, or all in one instant."""
+    rows = log.withColumn("date", F.lit("2020-01-01").cast("timestamp")) if instant else log
+
+    def largest(hot_rows):
+        made = OPERATORS[name](rows, hot_rows)
+        found = shares_of_tasks(spark, lambda: made.write.format("noop").mode("overwrite").save())
+        return max(share for share, records in found if records >= 60_000)
+
+    assert largest(1_000_000) > 0.33
+    assert largest(2_000) < 0.2
+
+
+@pytest.mark.parametrize("hot_rows", [1_000, 1_000_000])
+def test_results_under_skew(log, hot_rows):
+    spans = stored(history.file_intervals(log, hot_rows))
     assert spans.count() == 60_000
     # Every version but the last of each file has a successor, the next higher one.
     assert spans.filter("next_ord is null").count() == log.select("path").distinct().count()
     assert spans.filter(F.col("next_ord.revision") <= F.col("revision")).isEmpty()
     assert spans.filter("opens").count() == log.select("path").distinct().count()
-    last = history.commit_positions(log).agg(F.max("position"), F.count_distinct("position")).first()
+    last = history.commit_positions(log, hot_rows).agg(F.max("position"), F.count_distinct("position")).first()
     assert tuple(last) == (60_000, 60_000)
-    live = history.live_file_counts(log).orderBy(F.desc("date")).first().live_files
+    live = history.live_file_counts(log, hot_rows).orderBy(F.desc("date")).first().live_files
     end = history.snapshot_asof(log, F.lit("2100-01-01").cast("timestamp"))
     assert live == end.count()
 
