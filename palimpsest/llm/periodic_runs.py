@@ -112,6 +112,8 @@ def _equal_on(words: np.ndarray, a: int, b: int, step: int) -> int:
 def runs_of(words: np.ndarray) -> list[tuple[int, int, int]]:
     """``start, length, period`` of every run, by start and period."""
     lags, starts, grams = seeds(words)
+    if not len(lags):
+        return []
     # A seed right after another on its diagonal is covered by it: only the first of such a row is extended.
     head = np.ones(len(lags), bool)
     head[1:] = (lags[1:] != lags[:-1]) | (starts[1:] != starts[:-1] + 1)
