@@ -100,3 +100,92 @@ ORACLES = {
         from w left join f using (doc_id) left join o using (doc_id)
     """,
 }
+
+#: CRC-32 of a short ASCII string, from the polynomial; ``steps`` is the table of its 256 remainders.
+CRC_STEPS = """(select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+                  lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as steps)"""
+
+
+def crc_sql(value: str) -> str:
+    return f"""xor(4294967295::bigint, list_reduce(
+        list_prepend(4294967295::bigint, list_transform(string_split({value}, ''), lambda ch: ord(ch)::bigint)),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])))"""
+
+
+#: Costs run backward over the rows, the trace forward; ``c`` holds the costs to go in the states nothing, s, u, a.
+ORACLES["op12_conversation_repair"] = f"""
+    with recursive raw as (
+      select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+             {crc_sql("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind
+      from conversations, {CRC_STEPS}
+    ), damaged as (
+      select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+             case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+             unnest(case when kind = 3 then [1, 2] else [1] end) as copy
+      from raw where kind <> 0
+    ), placed as (
+      select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+             rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as solid
+      from damaged
+    ), judged as (
+      select *, case when solid = '' then 'blank'
+                     when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+                     when right(solid, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+             left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by i) as before
+      from placed
+    ), rows as (
+      select conv_id, i, role, text, initial, fault in ('blank', 'duplicate') as gone, (fault = 'truncated')::bigint as t from judged
+    ), costs(conv_id, i, c) as (
+      select conv_id, max(i) + 1, [0, 4, 2, 0]::bigint[] from rows group by conv_id
+      union all
+      select conv_id, i, [least(w[1], w[3] + 2, w[4] + 4), least(w[2], w[3] + 2, w[4] + 4), least(w[3], w[4] + 2), least(w[4], w[3] + 2)]
+      from (
+        select r.conv_id, r.i, case when gone then list_transform(c, lambda x: x + 3) else [
+                 least(c[1] + 3, c[3] + 2 + t, case initial when 's' then c[2] + t when 'u' then c[3] + t else 1000000000 end),
+                 least(c[2] + 3, c[3] + 2 + t, case when initial = 'u' then c[3] + t else 1000000000 end),
+                 least(c[3] + 3, c[4] + 2 + t, case when initial = 'a' then c[4] + t else 1000000000 end),
+                 least(c[4] + 3, c[3] + 2 + t, case when initial = 'u' then c[3] + t else 1000000000 end)] end as w
+        from costs join rows r on r.conv_id is not distinct from costs.conv_id and r.i = costs.i - 1)
+    ), ways as (
+      select h.conv_id, h.i, h.c, a.c as n, r.role, r.text, r.initial, r.gone, r.t
+      from costs h left join rows r on r.conv_id is not distinct from h.conv_id and r.i = h.i
+      left join costs a on a.conv_id is not distinct from h.conv_id and a.i = h.i + 1
+    ), trace(conv_id, i, s, audit, lines) as (
+      select conv_id, 1, 1, '', []::varchar[] from rows where i = 1
+      union all
+      select conv_id, case when letter = 'I' then i else i + 1 end,
+             case letter when 'D' then s when 'K' then kept else ahead end, audit || letter,
+             case letter when 'D' then lines
+                         when 'I' then list_append(lines, made || ':')
+                         when 'K' then list_append(lines, role || ':' || text)
+                         else list_append(lines, made || ':' || text) end
+      from (
+        select f.*, w.role, w.text, ahead, kept, case when f.s = 3 then 'assistant' else 'user' end as made,
+               case when w.n[f.s] + 3 = w.c[f.s] then 'D'
+                    when w.c[ahead] + 2 = w.c[f.s] then 'I'
+                    when not w.gone and w.n[kept] + w.t = w.c[f.s] then 'K'
+                    when not w.gone and w.n[ahead] + 2 + w.t = w.c[f.s] then 'R' end as letter
+        from (
+          select f.*, case when f.s = 3 then 4 else 3 end as ahead from trace f
+        ) f join ways w on w.conv_id is not distinct from f.conv_id and w.i = f.i,
+        lateral (select case when f.s = 1 and w.initial = 's' then 2 when f.s <> 3 and w.initial = 'u' then 3
+                             when f.s = 3 and w.initial = 'a' then 4 end as kept) k
+        )
+      where letter is not null
+    ), repaired as (
+      select conv_id, arg_max(audit, (i, len(audit))) as audit, arg_max(lines, (i, len(audit))) as lines from trace group by conv_id
+    ), counted as (
+      select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+             count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+             count(*) filter (fault = 'truncated') as truncated,
+             count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+      from judged group by conv_id
+    )
+    select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+           coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(c.c[1], 0)::bigint as cost,
+           coalesce(r.audit, '') as audit, sha256(coalesce(array_to_string(r.lines, chr(10)), '')) as repaired_sha256
+    from (select distinct conv_id from conversations) e
+    left join counted n on n.conv_id is not distinct from e.conv_id
+    left join repaired r on r.conv_id is not distinct from e.conv_id
+    left join costs c on c.conv_id is not distinct from e.conv_id and c.i = 1
+"""

@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
 from palimpsest.llm import conversation_repair, periodic_runs, queries, window_packing
+from palimpsest.llm.oracles import ORACLES
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -212,6 +213,9 @@ def test_conversation_repair(spark, tmp_path, parts):
     assert set(got) == {r[0] for r in rows}
     for conv, found in got.items():
         assert found == expected_repair(after[conv]), conv
+    db = pytest.importorskip("duckdb").connect()
+    db.sql(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert {r[0]: r[1:] for r in db.sql(ORACLES["op12_conversation_repair"]).fetchall()} == got
 
 
 def test_hot_conversation_lies_in_many_chunks(spark):
