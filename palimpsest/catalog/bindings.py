@@ -122,6 +122,28 @@ def branch_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def branch_edits(trunk_rows: DataFrame) -> DataFrame:
+    """Commits of the branches on files of the trunk: a fifth of its commits, half of them deletions.
+
+    A file goes to one branch.  A third of the commits is 30 years old, so that
+    some of a branch's commits lie before and some after the place where the
+    next branch leaves it.
+    """
+    number = F.col("commit_id").cast("long")
+    k = (F.regexp_extract("path", r"f([0-9]+)\.txt$", 1).cast("long") % BRANCHES + 1).cast("int")
+    old = F.col("date") - F.make_dt_interval(F.lit(10957))
+    return trunk_rows.filter(number % 5 == 0).select(
+        F.concat(F.lit("B"), k).alias("branch"),
+        "path",
+        F.concat("revision", F.array(k * 2, F.lit(1))).alias("revision"),
+        (number % 10 == 0).alias("is_dead"),
+        F.when(number % 3 == 0, old).otherwise(F.col("date")).alias("date"),
+        "author",
+        F.lit("").alias("comment"),
+        "commit_id",
+    )
+
+
 def branch_noise(own: DataFrame) -> DataFrame:
     """The dead first version on trunk of every file that began on a branch."""
     return (

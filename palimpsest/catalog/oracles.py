@@ -143,6 +143,31 @@ chain as (
   union all
   select 'B' || k, 'B' || k, case when k % 2 = 1 then 1 else 2 end, null, null, null, null from heads)"""
 
+# Commits of all branches, those on inherited files too, and the full history of every branch.
+HISTORY = """
+edits as (
+  select 'B' || (user_id % 8 + 1) as branch, path, path_depth, rn, '1.' || rn || '.' || (2 * (user_id % 8 + 1)) || '.1' as version,
+         cast(commit_id as bigint) % 10 = 0 as is_dead, commit_id,
+         case when cast(commit_id as bigint) % 3 = 0 then date - to_days(10957) else date end as date
+  from live where cast(commit_id as bigint) % 5 = 0),
+everything as (
+  select 'master' as branch, path, path_depth, rn, '1.' || rn as version, is_dead, commit_id, date from live
+  union all select branch, path, 0, rn, version, is_dead, commit_id, date from own_rev
+  union all select branch, path, path_depth, rn, version, is_dead, commit_id, date from edits),
+cap as (
+  select c.*, coalesce(o.path_depth, 0) as cap_depth, coalesce(o.rn, w.rn) as cap_rn
+  from chain c left join pos o on c.ancestor = 'master' and o.p = c.p
+  left join own_rev w on c.level = 1 and c.path = w.path and c.version = w.version
+  union all select 'master', 'master', 0, null, null, null, null, null, null),
+full_history as (
+  select c.branch, c.ancestor, c.level, e.path, e.path_depth, e.rn, e.version, e.is_dead, e.commit_id, e.date
+  from everything e join cap c on c.ancestor = e.branch
+  where c.path is null or (e.date, e.path_depth, e.path, e.rn) <= (c.date, c.cap_depth, c.path, c.cap_rn)),
+spans as (
+  select *, lead(level) over w as next_level, lead(path) over w as next_path, lead(version) over w as next_version,
+         lead(date) over w as next_date, lead(rn) over w as next_rn, lag(is_dead, 1, true) over w as was_dead
+  from full_history window w as (partition by branch, path order by level, date, path_depth, rn))"""
+
 NOTE = """'CVS_PATH: ' || path || chr(10) || 'CVS_REV: 1.' || rn || chr(10)
   || case when is_dead then 'dead' else 'alive' end || chr(10)"""
 
@@ -324,6 +349,33 @@ ORACLES: dict[str, str] = {
                case when a.path is null then 'ADD' when b.path is null then 'DELETE' else 'MODIFY' end as change,
                a.version as old_version, b.version as new_version
         from a full outer join b on b.path = a.path where a.version is distinct from b.version""",
+    "branch_snapshot": f"""with {ENTRIES}, {LINEAGE}, {HISTORY}
+        select branch, path, version from spans where next_path is null and not is_dead""",
+    "branch_live_counts": f"""with {ENTRIES}, {LINEAGE}, {HISTORY},
+        counted as (
+          select *, sum(was_dead::int - is_dead::int) over (
+                   partition by branch order by level, date, path_depth, path, rn rows unbounded preceding) as n from spans)
+        select branch, path, version, cast(date as varchar) as date, cast(n as bigint) as live_files
+        from counted where branch = ancestor""",
+    "branch_intervals": f"""with {ENTRIES}, {LINEAGE}, {HISTORY}
+        select branch, ancestor, path, version, is_dead, cast(date as varchar) as date,
+               next_level, next_path, next_version, cast(next_date as varchar) as next_date
+        from spans where branch <> 'master'""",
+    "snapshots_at": f"""with {ENTRIES}, {LINEAGE}, {HISTORY},
+        points as (
+          select 'T' || k as name, 'master' as branch, 0 as level, o.date, o.path_depth, o.path, o.rn
+          from anchors a join pos o on o.p = a.p
+          union all
+          select e.branch || ' ' || e.path || ' ' || version, e.branch, c.level, e.date, path_depth, e.path, rn
+          from everything e join (select branch, max(level) as level from chain group by branch) c on c.branch = e.branch
+          where cast(commit_id as bigint) % 40 = 0),
+        states as (
+          select p.name, s.path || ' ' || s.version as entry
+          from spans s join points p on p.branch = s.branch
+          where not s.is_dead and (s.level, s.date, s.path_depth, s.path, s.rn) <= (p.level, p.date, p.path_depth, p.path, p.rn)
+            and (s.next_path is null
+                 or (s.next_level, s.next_date, s.path_depth, s.next_path, s.next_rn) > (p.level, p.date, p.path_depth, p.path, p.rn)))
+        select name, count(*) as n_files, {digest_sql("entry")} as files from states group by name""",
     "snapshot_diff": f"""with {FILES},
         a as (select path, blob_id from contents where rn = 1), b as (select path, blob_id from contents where rn = 2)
         select coalesce(a.path, b.path) as path, a.blob_id as old_id, b.blob_id as new_id,

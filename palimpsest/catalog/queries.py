@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palimpsest.catalog import bindings as B
 from palimpsest.functions import dates, digest, notes, paths, tagmaps, versions as V
-from palimpsest.operators import branches, diff, fold, history, incremental, lookup, rollup, tags
+from palimpsest.operators import branches, diff, fold, history, incremental, lineage_state, lookup, rollup, tags
 from palimpsest.plans import branch_diff as diff_plan
 from palimpsest.plans.importing import (
     ImportOptions,
@@ -21,7 +21,7 @@ from palimpsest.plans.importing import (
     load_history,
     save_history,
 )
-from palimpsest.schema import ord_struct
+from palimpsest.schema import TRUNK, ord_struct
 from palimpsest.session import configure, scratch_path, stored
 from palimpsest.sources import rlog
 from palimpsest.streaming.importer import read_imported, start_import
@@ -514,6 +514,55 @@ def merge_base(spark, sf_dir):
     return branches.merge_base(chain, pairs).select("left", "right", "ancestor", *place("cap", "base"))
 
 
+def _edited(spark, sf_dir):
+    """Commits of all branches, those on inherited files too, and what the branches are made of."""
+    t = Tables(spark, sf_dir)
+    placed, own, _ = t.attached
+    edited = stored(own.unionByName(B.branch_edits(lookup.useful(t.trunk))), "edited")
+    return t, edited, stored(branches.lineage(placed), "lineage")
+
+
+@query
+def branch_snapshot(spark, sf_dir):
+    _, own, chain = _edited(spark, sf_dir)
+    return lineage_state.branch_heads_state(own, chain).select("branch", "path", version().alias("version"))
+
+
+@query
+def branch_live_counts(spark, sf_dir):
+    _, own, chain = _edited(spark, sf_dir)
+    counts = lineage_state.branch_live_counts(own, chain)
+    return counts.select("branch", *revision_columns(), "live_files")
+
+
+@query
+def branch_intervals(spark, sf_dir):
+    _, own, chain = _edited(spark, sf_dir)
+    spans = lineage_state.branch_intervals(own, chain.filter(F.col("branch") != TRUNK))
+    return spans.select(
+        "branch", "ancestor", "path", version().alias("version"), "is_dead", text("ord.date").alias("date"),
+        F.col("next_level").cast("int").alias("next_level"), *place("next_ord", "next"),
+    )
+
+
+@query
+def snapshots_at(spark, sf_dir):
+    """The files at every T tag and at every 40th commit of the branches."""
+    t, own, chain = _edited(spark, sf_dir)
+    named = t.clean_tags.filter(F.col("tag").startswith("T"))
+    anchors = tags.tag_locate(named, lookup.useful(t.trunk)).select(
+        F.col("tag").alias("name"), F.lit(TRUNK).alias("branch"), F.col("anchor").alias("at")
+    )
+    commits = history.with_ord(own).filter(F.col("branch") != TRUNK)
+    commits = commits.filter(F.col("commit_id").cast("long") % 40 == 0).select(
+        F.concat_ws(" ", "branch", "path", version()).alias("name"), "branch", F.col("ord").alias("at")
+    )
+    states = lineage_state.snapshots_at(own, chain, anchors.unionByName(commits))
+    # A row per file and state is more than a report needs: each state by its size and a digest of its files.
+    entry = F.concat_ws(" ", "path", version())
+    return states.groupBy("name").agg(F.count("*").alias("n_files"), digest.set_digest(entry).alias("files"))
+
+
 @query
 def branch_diff(spark, sf_dir):
     placed, own, _ = Tables(spark, sf_dir).attached

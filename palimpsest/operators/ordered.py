@@ -26,13 +26,14 @@ SAMPLES = 16
 STEPS = 26
 
 
-def rank_in(bounds: Column, value: Column) -> Column:
-    """How many elements of the sorted array ``bounds`` are at most ``value``, by bisection."""
+def rank_in(bounds: Column, value: Column, below: bool = False) -> Column:
+    """How many elements of the sorted array ``bounds`` are at most ``value`` (or ``below`` it), by bisection."""
 
     def step(found: Column, jump: Column) -> Column:
         ahead = found + jump
         # Beyond the end there is no element: null, which is not reached.
-        reached = F.coalesce(F.get(bounds, ahead - 1) <= value, F.lit(False))
+        element = F.get(bounds, ahead - 1)
+        reached = F.coalesce(element < value if below else element <= value, F.lit(False))
         return F.when(reached, ahead).otherwise(found)
 
     jumps = F.filter(F.array(*(F.lit(1 << k) for k in range(STEPS - 1, -1, -1))), lambda jump: jump <= F.size(bounds))
