@@ -40,9 +40,15 @@ def rank_in(bounds: Column, value: Column, below: bool = False) -> Column:
     return F.aggregate(jumps, F.lit(0), step)
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` with a column ``_cell``, null in groups that need no cells, and whether there are others."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def split_hot(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS, among: Column | None = None
+) -> tuple[DataFrame, bool]:
+    """``df`` with a column ``_cell``, null in groups that need no cells, and whether there are others.
+
+    ``among`` tells the rows of groups that may be large, where that is known; only these are counted.
+    """
+    suspects = df if among is None else df.filter(among)
+    sizes = suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = stored(sizes.filter(F.col("_rows") > hot_rows).select(*keys), "hot-groups")
     if hot.isEmpty():
         return df.withColumn(CELL, F.lit(None).cast("int")), False
@@ -71,10 +77,11 @@ def _neighbour(
     outside: DataFrame | None = None,
     opens: str | None = None,
     hot_rows: int = HOT_ROWS,
+    among: Column | None = None,
 ) -> DataFrame:
     step = F.lead if ahead else F.lag
     df, group = _grouped(df, keys)
-    rows, split = split_hot(df, group, order, hot_rows)
+    rows, split = split_hot(df, group, order, hot_rows, among)
     inside = Window.partitionBy(*group, CELL).orderBy(*order)
     # Column by column, so that the shuffle does not carry a copy of them.
     near = F.when(
@@ -115,14 +122,15 @@ def next_row(
 
 
 def previous_row(
-    df, keys, order, columns: Sequence[str], into: str, outside: DataFrame | None = None, hot_rows: int = HOT_ROWS
+    df, keys, order, columns: Sequence[str], into: str, outside: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+    among: Column | None = None,
 ) -> DataFrame:
     """``columns`` of the preceding row of the group as a struct.
 
     The first of the columns must not be null.  ``outside``, the keys and such a
     struct, tells what precedes the first row.
     """
-    return _neighbour(df, keys, order, columns, into, ahead=False, outside=outside, hot_rows=hot_rows)
+    return _neighbour(df, keys, order, columns, into, ahead=False, outside=outside, hot_rows=hot_rows, among=among)
 
 
 _COMBINE = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
