@@ -1,10 +1,10 @@
 """N-gram Jaccard join: documents whose sets of word shingles have a similarity of ``threshold`` or more.
 
-Documents with equal sets are one node from the start.  Two sets of that similarity share one of the first
-``n - ceil(t n) + 1`` shingles of each in any common order.  The order puts frequent shingles last, by a
-corpus-wide table of counts in which every task enters the shingles it has met often, so passages that many
-documents share make few candidates; any table gives the same result.  Nodes that share such a shingle are
-compared in three rounds:
+Documents with equal sets are one node from the start; all later work is on nodes, so copies cost nothing.  Two sets
+of that similarity share one of the first ``n - ceil(t n) + 1`` shingles of each in any common order.  The order puts
+frequent shingles last, by a corpus-wide table of counts in which every task enters the shingles it has met often, so
+passages that many documents share make few candidates; any table gives the same result.  Nodes that share such a
+shingle are compared in three rounds:
 
 1. with the smallest set that has the shingle and with the next smaller one, which joins groups of near copies
    in linear time;
@@ -12,15 +12,17 @@ compared in three rounds:
    another one for every shingle, so nodes left beside a large group meet members from all over it in linear time;
 3. where a shingle has nodes of several components even then, all pairs of different components, in tiles: a tile
    holds the nodes of one shingle in one band of sizes and the band above, as only those can be similar, cut
-   into parts of bounded size.  This loses no link between components.
+   into parts of bounded size.  Every node brings its bitmap into the tile, and only pairs whose bitmaps leave room
+   for the overlap they need come out of it.  This loses no link between components.
 
-Every candidate pair is bounded by bitmaps first: the bits of one set that the other lacks are shingles the
-other lacks, which bounds the overlap from above.  What remains is intersected exactly, as sorted arrays of
-64-bit shingle hashes, made from the texts of just these documents.
+The bits of one set that the other lacks are shingles the other lacks, which bounds the overlap from above.  What
+remains is intersected exactly, as sorted arrays of 64-bit shingle hashes, made from the texts of just these documents.
 
 Defined cases: a document without words has an empty set and links to nothing; one with fewer words than a
 shingle has one shingle, the whole sequence; repeated rows come out as often as they occur; an empty table gives
-an empty result; other columns are ignored.  A null id never names a component unless it stands alone.
+an empty result; other columns are ignored.  A row without an id links like any other, but names a component only
+if none of its rows has an id.  Rows are told apart by a hash of id and text, so rows that share an id may differ.
+A very long text is cut into shingles in one piece.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window, functions as F
 
 from palimpsest.llm.bytewords import SOLID, mixed, shingles, slices, words_of
 from palimpsest.llm.common import documents_of, spare_name
 from palimpsest.llm.components import components
-from palimpsest.llm.url_filter import bloom
+from palimpsest.llm.url_filter import Level, bloom
+from palimpsest.operators import ordered
 from palimpsest.session import stored
 
 SHINGLE, THRESHOLD = 5, Fraction(3, 4)
@@ -42,6 +46,8 @@ SHINGLE, THRESHOLD = 5, Fraction(3, 4)
 #: after how many shingles it enters what it has met.
 CELL_BITS, OFTEN, MET = 24, 3, 1 << 22
 TILE_ROWS = 512
+#: Pairs whose bitmaps are compared at a time.
+PAIRS = 4096
 #: Distances in the order by hash at which neighbours are compared in the second round.
 STEPS = (1, 2, 4)
 SLICE_BYTES = 2 << 20
@@ -80,14 +86,14 @@ def node_of(counts: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def summaries(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n, node`` per document, and rows ``cell, count`` of a count table of all shingles."""
+    """``doc_id, key, n, node`` per document, and rows ``cell, count`` of a count table of all shingles."""
 
     def frequent(met: list[np.ndarray]) -> pa.RecordBatch:
         cells, counts = np.unique(np.concatenate(met) >> np.uint64(64 - CELL_BITS), return_counts=True)
         seen = counts >= OFTEN
         none = pa.nulls(int(seen.sum()), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array(cells[seen].astype(np.int64)), pa.array(counts[seen])], names
+            [none, none, none, none, pa.array(cells[seen].astype(np.int64)), pa.array(counts[seen])], names
         )
 
     def run(batches):
@@ -99,7 +105,7 @@ def summaries(docs: DataFrame, size: int) -> DataFrame:
                 held += len(value)
                 none = pa.nulls(part.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), pa.array(node_of(counts, value)), none, none], names
+                    [part.column(0), part.column(2), pa.array(counts), pa.array(node_of(counts, value)), none, none], names
                 )
                 if held > MET:
                     yield frequent(met)
@@ -107,8 +113,8 @@ def summaries(docs: DataFrame, size: int) -> DataFrame:
         if met:
             yield frequent(met)
 
-    names = ["doc_id", "n", "node", "cell", "count"]
-    return docs.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+    names = ["doc_id", "key", "n", "node", "cell", "count"]
+    return docs.select("doc_id", "text", "key").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
 
 
 def crowding(summary: DataFrame) -> np.ndarray:
@@ -127,7 +133,7 @@ def crowding(summary: DataFrame) -> np.ndarray:
 
 
 def bits_of(value: np.ndarray) -> bytes:
-    """A bitmap of at least two bits per shingle, up to a limit."""
+    """A bitmap of two bits per shingle or more, up to a limit."""
     width = 1 << min(15, max(6, int(2 * len(value) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(value & np.uint64(width - 1)).astype(np.int64)] = 1
@@ -135,7 +141,11 @@ def bits_of(value: np.ndarray) -> bytes:
 
 
 def prefixes(docs: DataFrame, classes: np.ndarray, size: int, threshold: Fraction) -> DataFrame:
-    """``node, n, bits, prefix`` of every document with shingles; rows of equal sets are equal."""
+    """``node, n, bits, calm, prefix`` of every document with shingles; rows of equal sets are equal.
+
+    The shingles of the prefix from place ``calm`` on may be frequent: the table counts enough for a hot group.
+    """
+    frequent = int(np.log2(ordered.HOT_ROWS)) - 1
     sent = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches):
@@ -143,8 +153,10 @@ def prefixes(docs: DataFrame, classes: np.ndarray, size: int, threshold: Fractio
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 counts, owner, value = shingle_sets(part.column(1), size)
-                order = np.lexsort((value, sent.value[(value >> np.uint64(64 - CELL_BITS)).astype(np.int64)], owner))
+                level = sent.value[(value >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                order = np.lexsort((value, level, owner))
                 ranked = value[order].view(np.int64)
+                calm = np.bincount(owner[level < frequent], minlength=len(counts))
                 ends = np.cumsum(counts)
                 take = np.where(counts > 0, counts - -(-counts * up // down) + 1, 0)
                 full = np.flatnonzero(counts)
@@ -152,31 +164,39 @@ def prefixes(docs: DataFrame, classes: np.ndarray, size: int, threshold: Fractio
                     [
                         pa.array(node_of(counts, value)[full]), pa.array(counts[full]),
                         pa.array([bits_of(value[ends[k] - counts[k] : ends[k]]) for k in full], pa.binary()),
+                        pa.array(calm[full]),
                         pa.array([ranked[ends[k] - counts[k] : ends[k] - counts[k] + take[k]] for k in full], pa.list_(pa.int64())),
                     ],
-                    ["node", "n", "bits", "prefix"],
+                    ["node", "n", "bits", "calm", "prefix"],
                 )
 
-    return docs.mapInArrow(run, "node bigint, n bigint, bits binary, prefix array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "node bigint, n bigint, bits binary, calm bigint, prefix array<bigint>")
 
 
-def shared_prefixes(rows: DataFrame) -> DataFrame:
+def shared_prefixes(nodes: DataFrame) -> DataFrame:
     """``h, at, node, n``: prefix shingles that several nodes have, with the smallest such set and the next smaller."""
-    by_shingle = Window.partitionBy("h").orderBy("n", "node")
-    return (
-        rows.select("node", "n", F.posexplode("prefix").alias("at", "h"))
-        .withColumns(
-            {
-                "before": F.lag("node").over(by_shingle),
-                "before_n": F.lag("n").over(by_shingle),
-                "after": F.lead("node").over(by_shingle),
-                "leader": F.first("node").over(by_shingle),
-                "leader_n": F.first("n").over(by_shingle),
-            }
-        )
-        .filter((F.col("before") != F.col("node")) | (F.col("after") != F.col("node")))
-        .drop("after")
+    places = nodes.select("node", "n", "calm", F.posexplode("prefix").alias("at", "h"))
+    rows, split = ordered.split_hot(places, ["h"], ["n", "node"], among=F.col("at") >= F.col("calm"))
+    by_shingle = Window.partitionBy("h", ordered.CELL).orderBy("n", "node")
+    found = rows.withColumns(
+        {
+            "before": F.lag("node").over(by_shingle),
+            "before_n": F.lag("n").over(by_shingle),
+            "after": F.lead("node").over(by_shingle),
+            "leader": F.first("node").over(by_shingle),
+            "leader_n": F.first("n").over(by_shingle),
+        }
     )
+    if split:
+        # The first of a cell follows the last of the cell before; every cell has a leader of its own.
+        ends = rows.filter(F.col(ordered.CELL).isNotNull()).groupBy("h", ordered.CELL)
+        ends = ends.agg(F.max(F.struct("n", "node")).alias("end"))
+        ends = ends.withColumn("end", F.lag("end").over(Window.partitionBy("h").orderBy(ordered.CELL)))
+        found = found.join(ends, ["h", ordered.CELL], "left").withColumns(
+            {"before": F.coalesce("before", "end.node"), "before_n": F.coalesce("before_n", "end.n")}
+        )
+    alone = F.col("before").isNull() & F.col("after").isNull()
+    return found.filter(~alone).select("h", "at", "node", "n", "calm", "before", "before_n", "leader", "leader_n")
 
 
 def sizes_fit(a: str, b: str, threshold: Fraction) -> F.Column:
@@ -186,7 +206,7 @@ def sizes_fit(a: str, b: str, threshold: Fraction) -> F.Column:
 
 def open_rows(shared: DataFrame, component_of: DataFrame) -> DataFrame:
     """``h, at, node, n, component`` of the shingles whose nodes lie in several components."""
-    rows = shared.select("h", "at", "node", "n").distinct().join(component_of, "node", "left")
+    rows = shared.select("h", "at", "node", "n", "calm").join(component_of, "node", "left")
     rows = stored(rows.withColumn("component", F.coalesce("component", "node")), "shingle-nodes")
     mixed_ = rows.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     return rows.join(mixed_.filter(F.col("x") != F.col("y")).select("h"), "h")
@@ -194,9 +214,12 @@ def open_rows(shared: DataFrame, component_of: DataFrame) -> DataFrame:
 
 def neighbour_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
     """Pairs of nodes of different components that stand ``STEPS`` apart among the nodes of a shingle."""
-    by_hash = Window.partitionBy("h").orderBy(F.xxhash64("node", "h"), "node")
+    mixed_rows = rows.withColumn("drawn", F.xxhash64("node", "h"))
+    # Across the bounds of a hot shingle's cells neighbours are not sought; the next round finds what they would.
+    cells, _ = ordered.split_hot(mixed_rows, ["h"], ["drawn", "node"], among=F.col("at") >= F.col("calm"))
+    by_hash = Window.partitionBy("h", ordered.CELL).orderBy("drawn", "node")
     mine = F.struct("node", "n", "component", "at")
-    near = rows.withColumns({f"before_{k}": F.lag(mine, k).over(by_hash) for k in STEPS})
+    near = cells.withColumns({f"before_{k}": F.lag(mine, k).over(by_hash) for k in STEPS})
     met = near.select("node", "n", "component", "at", F.explode(F.array(*(f"before_{k}" for k in STEPS))).alias("o"))
     # A pair that needs this overlap shares a shingle this early in both.
     total = (F.col("n") + F.col("o.n")) * threshold.numerator
@@ -214,32 +237,65 @@ def neighbour_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
     )
 
 
-def cross_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs of nodes that share a prefix shingle and lie in different components, by size-banded tiles."""
+def cross_pairs(rows: DataFrame, nodes: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs of nodes that share a prefix shingle, lie in different components and may be similar by their bitmaps."""
     ratio = float(np.log(threshold.denominator / threshold.numerator))
     band = F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("int")
-    banded = rows.select("*", band.alias("band")).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("guest"))
-    banded = banded.withColumn("tile", F.col("band") - F.col("guest"))
-    inside = Window.partitionBy("h", "tile").orderBy("node")
-    # Parts of a large tile meet in pairs: row of part i goes to (i, k) and (k, i) for every part k.
-    parted = banded.withColumns({"part": F.floor((F.row_number().over(inside) - 1) / TILE_ROWS).cast("int")}).withColumn(
-        "parts", F.max("part").over(Window.partitionBy("h", "tile"))
+    banded = rows.select("h", "at", "node", "n", "component", band.alias("band"))
+    banded = banded.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("guest")).withColumn("tile", F.col("band") - F.col("guest"))
+    # Only tiles with two components, and with someone who is not a guest, can hold a pair.
+    size = banded.groupBy("h", "tile").agg(
+        F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("parts"),
+        F.min("component").alias("x"), F.max("component").alias("y"), F.min("guest").alias("host"),
     )
-    met = parted.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts"))))
-    met = met.select(
-        "h", "tile", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "n", "component", "guest", "at"
+    size = size.filter((F.col("x") != F.col("y")) & (F.col("host") == 0)).select("h", "tile", "parts")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    parted = banded.join(size, ["h", "tile"]).withColumn("part", part)
+    # Parts of a large tile meet in pairs: row of part i goes to (i, k) and (k, i) for every part k.
+    met = parted.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.join(nodes.select("node", "bits"), "node").select(
+        "h", "tile", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "n", "component", "guest", "at", "bits"
     )
     count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = met.repartition(count, "h", "tile", "i", "j").sortWithinPartitions("h", "tile", "i", "j", "part", "node")
     return dealt.mapInArrow(_tile_pairs(threshold), "a bigint, b bigint, a_n bigint, b_n bigint").distinct()
 
 
+class Signatures:
+    """Bitmaps of a tile's rows, by width, so that many pairs are compared at once."""
+
+    def __init__(self, bits: pa.Array):
+        sizes = pa.compute.binary_length(bits).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.width, self.place, self.rows = sizes, np.zeros(len(sizes), np.int64), {}
+        for width in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == width)
+            self.place[at] = np.arange(len(at))
+            whole = b"".join(bits.take(pa.array(at)).to_pylist())
+            self.rows[width] = np.frombuffer(whole, np.uint64).reshape(len(at), width // 8)
+
+    def lacking(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of the rows ``a`` that the rows ``b`` lack, and the other way round; the wider ones are folded."""
+        found = np.zeros((2, len(a)), np.int64)
+        kind = self.width[a] * (1 << 20) + self.width[b]
+        for pair in np.unique(kind).tolist():
+            at = np.flatnonzero(kind == pair)
+            for cut in range(0, len(at), PAIRS):
+                some = at[cut : cut + PAIRS]
+                x, y = (self.rows[w][self.place[rows[some]]] for w, rows in ((pair >> 20, a), (pair % (1 << 20), b)))
+                words = min(x.shape[1], y.shape[1])
+                x, y = (np.bitwise_or.reduce(z.reshape(len(some), -1, words), 1) for z in (x, y))
+                found[0, some] = np.bitwise_count(x & ~y).sum(1)
+                found[1, some] = np.bitwise_count(y & ~x).sum(1)
+        return found[0], found[1]
+
+
 def _tile_pairs(threshold: Fraction):
     columns = ("h", "tile", "i", "j", "part", "node", "n", "component", "guest", "at")
     up, down = threshold.numerator, threshold.denominator
 
-    def pairs(rows):
+    def pairs(rows, bits):
         h, tile, i, j, part, node, n, component, guest, at = rows
+        signatures = Signatures(bits)
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         first = np.flatnonzero(new)
@@ -256,6 +312,9 @@ def _tile_pairs(threshold: Fraction):
             # A pair that needs this overlap shares a shingle this early in both.
             need = least_overlap(n[a], n[b], threshold)
             good = (at[a] <= n[a] - need) & (at[b] <= n[b] - need)
+            a, b, need = a[good], b[good], need[good]
+            lacks_b, lacks_a = signatures.lacking(a, b)
+            good = np.minimum(n[a] - lacks_b, n[b] - lacks_a) >= need
             a, b = a[good], b[good]
             swap = node[a] > node[b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
@@ -267,21 +326,20 @@ def _tile_pairs(threshold: Fraction):
     def run(batches):
         held, waiting = None, []
         for batch in batches:
-            rows = [batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in columns]
-            if held is not None:
-                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            rows = [table.column(c).to_numpy().astype(np.int64) for c in columns]
             same = np.ones(len(rows[0]), bool)
             for c in range(4):
                 same &= rows[c] == rows[c][-1]
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            held = [x[cut:] for x in rows]
+            held = table.slice(cut)
             if cut:
-                waiting.append(pairs([x[:cut] for x in rows]))
+                waiting.append(pairs([x[:cut] for x in rows], table.column("bits").slice(0, cut).combine_chunks()))
             if sum(x.shape[1] for x in waiting) > 1 << 19:
                 yield _pair_batch(np.unique(np.concatenate(waiting, 1), axis=1))
                 waiting = []
-        if held is not None:
-            waiting.append(pairs(held))
+        if held is not None and held.num_rows:
+            waiting.append(pairs([held.column(c).to_numpy().astype(np.int64) for c in columns], held.column("bits").combine_chunks()))
         if waiting:
             yield _pair_batch(np.unique(np.concatenate(waiting, 1), axis=1))
 
@@ -342,59 +400,73 @@ def _exact(threshold: Fraction):
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, items``: the sorted hashes of the wanted nodes, from one document (``doc_id``) of each.
+    """``node, items``: the sorted hashes of the wanted sets; ``wanted`` has ``node`` and the ``key`` of a row with it.
 
-    The documents are found by a filter of bounded size while texts are read, then by their node, so only texts
-    of wanted nodes are turned into sets and only sets move.
+    Rows are found by a filter of bounded size while the table is read, then by their key, so only texts of wanted
+    nodes move, one for each.
     """
-    level = bloom(wanted.select(F.xxhash64("node").alias("h1"), F.xxhash64("node", F.lit(1)).alias("h2")), BLOOM_BYTES)
-    sent = docs.sparkSession.sparkContext.broadcast(level)
+    hashes = [F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2")]
+    level = bloom(wanted.select(*hashes), BLOOM_BYTES)
+    parts = level.words, level.size, level.salt
+    sent = docs.sparkSession.sparkContext.broadcast(parts)
 
-    def run(batches):
+    def near(batches):
+        level = Level(*sent.value)
         for batch in batches:
             h1, h2 = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("h1", "h2"))
-            some = batch.filter(pa.array(sent.value.has(h1, h2)))
-            for part in slices(some, "text", SLICE_BYTES):
+            yield batch.select(["key", "text"]).filter(pa.array(level.has(h1, h2)))
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
                 counts, _, value = shingle_sets(part.column(part.schema.get_field_index("text")), size)
                 ends = np.cumsum(counts)
                 sets = [value[e - c : e].tobytes() for e, c in zip(ends, counts, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "items"])
 
-    hashed = docs.select("node", "text", F.xxhash64("node").alias("h1"), F.xxhash64("node", F.lit(1)).alias("h2"))
-    return hashed.mapInArrow(run, "node bigint, items binary").join(wanted, "node", "left_semi")
+    some = docs.select("key", "text", *hashes).mapInArrow(near, "key bigint, text string")
+    # Rows equal in id and text have one key.
+    texts = some.join(wanted, "key").groupBy("node").agg(F.first("text").alias("text"))
+    return texts.mapInArrow(run, "node bigint, items binary")
+
+
+def exact(pairs: DataFrame, members: DataFrame, docs: DataFrame, size: int, threshold: Fraction) -> DataFrame:
+    """The pairs ``a, b`` (with ``a_n, b_n``) that are similar, by intersection."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stored(members.join(nodes, "node", "left_semi"), "wanted-nodes")
+    sets = stored(sets_of(docs, wanted, size), "shingle-sets")
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("items").alias(f"{side}_set")), side)
+    return pairs.select("a", "b", "a_n", "b_n", "a_set", "b_set").mapInArrow(_exact(threshold), "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, threshold: Fraction) -> DataFrame:
-    """The pairs ``a, b`` that are similar."""
+def bounded(pairs: DataFrame, nodes: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs whose bitmaps leave room for the overlap they need."""
     for side in ("a", "b"):
         bits = nodes.select(F.col("node").alias(side), F.col("bits").alias(f"{side}_bits"))
         pairs = pairs.join(bits, side)
     left = pairs.select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(
         _bounded(threshold), "a bigint, b bigint, a_n bigint, b_n bigint"
     )
-    left = stored(left, "bounded-pairs")
-    wanted = stored(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted-nodes")
-    sets = stored(sets_of(docs, wanted, size), "shingle-sets")
-    for side in ("a", "b"):
-        left = left.join(sets.select(F.col("node").alias(side), F.col("items").alias(f"{side}_set")), side)
-    return left.select("a", "b", "a_n", "b_n", "a_set", "b_set").mapInArrow(_exact(threshold), "a bigint, b bigint")
+    return stored(left, "bounded-pairs")
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: Fraction = THRESHOLD
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``, the component's smallest id being its name."""
-    docs = documents_of(docs, id_col, text_col)
+def _with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "key") -> DataFrame:
+    """``docs`` with a hash of id and text, by which rows are told apart."""
+    return docs.withColumn(name, F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string")))
+
+
+def _placed(docs: DataFrame, size: int, threshold: Fraction) -> DataFrame:
+    """``doc_id, key, n, part`` of every row (``doc_id, text, key``): rows with the same part are one component."""
     summary = stored(summaries(docs, size), "summaries")
     classes = crowding(summary)
-    members = summary.filter(F.col("cell").isNull()).select("doc_id", "n", "node")
-    # One document stands for all with its set.
-    first = members.filter(F.col("n") > 0).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    rows = stored(prefixes(docs, classes, size, threshold), "prefixes")
-    nodes = stored(rows.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
-    shared = stored(shared_prefixes(rows), "shared-shingles")
-    texts = stored(first, "representatives")
-    texts = docs.filter(F.col("doc_id").isNotNull()).join(texts, "doc_id").select("node", "text")
+    members = summary.filter(F.col("cell").isNull()).select("doc_id", "key", "n", "node")
+    # One row stands for all with its set.
+    first = stored(members.filter(F.col("n") > 0).groupBy("node").agg(F.min("key").alias("key")), "representatives")
+    rows = prefixes(docs, classes, size, threshold)
+    columns = ("n", "bits", "calm", "prefix")
+    nodes = stored(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in columns)), "nodes")
+    shared = stored(shared_prefixes(nodes), "shared-shingles")
     met = F.explode(
         F.array(*(F.struct(F.col(c).alias("node"), F.col(f"{c}_n").alias("n")) for c in ("leader", "before")))
     )
@@ -405,15 +477,26 @@ def near_duplicates(
         .filter(sizes_fit("a_n", "b_n", threshold))
         .distinct()
     )
-    links = stored(verified(stars, nodes, texts, size, threshold), "star-links")
-    whole = stored(components(links), "star-components")
-    for pairs_of in (neighbour_pairs, cross_pairs):
-        pairs = stored(pairs_of(open_rows(shared, whole), threshold), "pairs")
-        more = verified(pairs, nodes, texts, size, threshold)
+    links = exact(bounded(stars, nodes, threshold), first, docs, size, threshold)
+    whole = stored(components(stored(links, "star-links")), "star-components")
+    for tiles in (False, True):
+        rows = open_rows(shared, whole)
+        if tiles:
+            pairs = stored(cross_pairs(rows, nodes, threshold), "tile-pairs")
+        else:
+            pairs = bounded(neighbour_pairs(rows, threshold), nodes, threshold)
+        more = exact(pairs, first, docs, size, threshold)
         tree = whole.select(F.col("node").alias("a"), F.col("component").alias("b"))
         whole = stored(components(tree.unionByName(more)), "components")
     placed = members.join(whole, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    placed = stored(placed.select("doc_id", "n", "part"), "placed")
+    return stored(placed.select("doc_id", "key", "n", "part"), "placed")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: Fraction = THRESHOLD
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``, the component's smallest id being its name."""
+    placed = _placed(_with_key(documents_of(docs, id_col, text_col)), size, threshold)
     smallest = placed.filter(F.col("n") > 0).groupBy("part").agg(F.min("doc_id").alias("smallest"))
     named = placed.filter(F.col("n") > 0).join(stored(smallest, "names"), "part").select("doc_id", "n", "smallest")
     alone = placed.filter(F.col("n") == 0).select("doc_id", "n", F.col("doc_id").alias("smallest"))
@@ -423,9 +506,13 @@ def near_duplicates(
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that are not the first of their component, all columns as they were.
 
-    Rows of one id share one fate; rows without an id stay.
+    The first has the smallest id, a null one coming last; of rows with that id and different texts one stays.  Rows
+    equal in id and text share their fate.  Documents without words stay.
     """
-    name = spare_name(docs, "gone_id")
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col(name), "left_anti")
+    placed = _placed(_with_key(documents_of(docs, id_col, text_col)), SHINGLE, THRESHOLD).filter(F.col("n") > 0)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))
+    first = placed.groupBy("part").agg(F.min(rank).alias("first"))
+    name = spare_name(docs, "gone_key")
+    gone = placed.join(first, "part").filter(F.col("key") != F.col("first.key")).select(F.col("key").alias(name)).distinct()
+    own = spare_name(docs, "row_key")
+    return _with_key(docs, id_col, text_col, own).join(gone, F.col(own) == F.col(name), "left_anti").drop(own)
