@@ -376,6 +376,31 @@ ORACLES: dict[str, str] = {
             and (s.next_path is null
                  or (s.next_level, s.next_date, s.path_depth, s.next_path, s.next_rn) > (p.level, p.date, p.path_depth, p.path, p.rn)))
         select name, count(*) as n_files, {digest_sql("entry")} as files from states group by name""",
+    "tree_ids": f"""with {ENTRIES}, {LINEAGE}, {HISTORY},
+        point as (select branch, level, date, path_depth, path, rn, version from full_history where branch = ancestor),
+        held as (
+          select p.branch, p.path as at_path, p.version as at_version, p.date as at_date,
+                 string_split(s.path, '/') as parts, s.version as id
+          from spans s join point p on p.branch = s.branch
+          where not s.is_dead and (s.level, s.date, s.path_depth, s.path, s.rn) <= (p.level, p.date, p.path_depth, p.path, p.rn)
+            and (s.next_path is null
+                 or (s.next_level, s.next_date, s.path_depth, s.next_path, s.next_rn) > (p.level, p.date, p.path_depth, p.path, p.rn))),
+        inner_trees as (
+          select branch, at_path, at_version, at_date, parts[1] as d, parts[2] || '/tree/' || {digest_sql("parts[3] || '/file/' || id")} as entry
+          from held where len(parts) = 3 group by branch, at_path, at_version, at_date, parts[1], parts[2]),
+        outer_trees as (
+          select branch, at_path, at_version, at_date, d || '/tree/' || {digest_sql("entry")} as entry
+          from (select * from inner_trees union all
+                select branch, at_path, at_version, at_date, parts[1], parts[2] || '/file/' || id from held where len(parts) = 2) z
+          group by branch, at_path, at_version, at_date, d),
+        roots as (
+          select branch, at_path, at_version, at_date, {digest_sql("entry")} as tree_id, count(*) as n_entries
+          from (select * from outer_trees union all
+                select branch, at_path, at_version, at_date, parts[1] || '/file/' || id from held where len(parts) = 1) z
+          group by branch, at_path, at_version, at_date)
+        select p.branch, p.path as commit_path, p.version as commit_version, cast(p.date as varchar) as commit_date,
+               tree_id, coalesce(n_entries, 0) as n_entries
+        from point p left join roots r on r.branch = p.branch and r.at_path = p.path and r.at_version = p.version and r.at_date = p.date""",
     "snapshot_diff": f"""with {FILES},
         a as (select path, blob_id from contents where rn = 1), b as (select path, blob_id from contents where rn = 2)
         select coalesce(a.path, b.path) as path, a.blob_id as old_id, b.blob_id as new_id,

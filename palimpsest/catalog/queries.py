@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palimpsest.catalog import bindings as B
 from palimpsest.functions import dates, digest, notes, paths, tagmaps, versions as V
-from palimpsest.operators import branches, diff, fold, history, incremental, lineage_state, lookup, rollup, tags
+from palimpsest.operators import branches, diff, fold, history, incremental, lineage_state, lookup, rollup, tags, tree_ids as trees
 from palimpsest.plans import branch_diff as diff_plan
 from palimpsest.plans.importing import (
     ImportOptions,
@@ -563,6 +563,14 @@ def snapshots_at(spark, sf_dir):
     return states.groupBy("name").agg(F.count("*").alias("n_files"), digest.set_digest(entry).alias("files"))
 
 
+@query
+def tree_ids(spark, sf_dir):
+    """The tree of every commit of every branch."""
+    _, own, chain = _edited(spark, sf_dir)
+    ids = trees.tree_ids(own.withColumn("id", version()), chain).filter("dir = ''")
+    return ids.select("branch", *place("ord", "commit"), F.col("id").alias("tree_id"), "n_entries")
+
+
 @query
 def branch_diff(spark, sf_dir):
     placed, own, _ = Tables(spark, sf_dir).attached

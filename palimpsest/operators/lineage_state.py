@@ -20,13 +20,13 @@ from palimpsest.schema import FILE_ORDER
 from palimpsest.session import stored
 
 
-def own_spans(own: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``branch, path, revision, is_dead, ord, next_ord, opens`` of every own commit, stored."""
-    spans = file_intervals(own.select("branch", "path", "revision", "is_dead", "date"), hot_rows)
-    return stored(spans.select("branch", "path", "revision", "is_dead", "ord", "next_ord", "opens"), "own-spans")
+def own_spans(own: DataFrame, hot_rows: int = HOT_ROWS, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``branch, path, revision, is_dead, ord, next_ord, opens`` of every own commit, and ``extra`` columns, stored."""
+    spans = file_intervals(own.select("branch", "path", "revision", "is_dead", "date", *extra), hot_rows)
+    return stored(spans.select("branch", "path", "revision", "is_dead", *extra, "ord", "next_ord", "opens"), "own-spans")
 
 
-def inherited(spans: DataFrame, chain: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def inherited(spans: DataFrame, chain: DataFrame, hot_rows: int = HOT_ROWS, extra: tuple[str, ...] = ()) -> DataFrame:
     """What branches start with: ``branch, path, revision, is_dead, owner`` of the newest inherited commit of a file.
 
     Dead ones are there too.  The caps of all branches are points in their
@@ -36,9 +36,9 @@ def inherited(spans: DataFrame, chain: DataFrame, hot_rows: int = HOT_ROWS) -> D
         F.col("ancestor").alias("branch"), F.col("cap").alias("at"), F.col("branch").alias("heir"), "level"
     )
     held = spans_at(spans.drop("opens"), stored(caps, "caps"), ["branch"], hot_rows=hot_rows)
-    state = F.max_by(F.struct("revision", "is_dead", F.col("branch").alias("owner")), "level")
+    state = F.max_by(F.struct("revision", "is_dead", F.col("branch").alias("owner"), *extra), "level")
     return held.groupBy("heir", "path").agg(state.alias("state")).select(
-        F.col("heir").alias("branch"), "path", "state.revision", "state.is_dead", "state.owner"
+        F.col("heir").alias("branch"), "path", "state.revision", "state.is_dead", "state.owner", *(f"state.{c}" for c in extra)
     )
 
 

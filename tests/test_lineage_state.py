@@ -2,6 +2,7 @@
 
 import collections
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -12,6 +13,7 @@ from palimpsest.operators import lineage_state
 from palimpsest.operators.branches import lineage
 from palimpsest.operators.history import with_ord
 from palimpsest.operators.intervals import spans_at
+from palimpsest.operators.tree_ids import tree_ids
 from palimpsest.plans.importing import ImportOptions, import_tables
 from palimpsest.schema import TRUNK
 
@@ -123,6 +125,42 @@ def test_states_at_many_commits(spark, forest):
     assert len(expected) > 40 and got == expected
 
 
+def digest(entries):
+    hashed = [hashlib.sha1(e.encode()).hexdigest() for e in entries]
+    sums = (sum(int(h[k : k + 15], 16) for h in hashed) for k in (0, 15))
+    return hashlib.sha1(":".join(map(str, (len(entries), *sums))).encode()).hexdigest()
+
+
+def trees_of(files):
+    """Ids and sizes of all directories of a snapshot."""
+    entries = collections.defaultdict(set)
+    for path, revision in files.items():
+        folder, _, name = path.rpartition("/")
+        entries[folder].add(f"{name}/file/{'.'.join(map(str, revision))}")
+    for folder in sorted({"/".join(p.split("/")[:k]) for p in files for k in range(1, p.count("/") + 1)}, key=lambda d: -d.count("/")):
+        above, _, name = folder.rpartition("/")
+        entries[above].add(f"{name}/tree/{digest(entries[folder])}")
+    return {folder: (digest(e), len(e)) for folder, e in entries.items()}
+
+
+@pytest.mark.parametrize("hot_rows", [15, 1 << 20])
+def test_tree_ids(forest, hot_rows):
+    own, chain, by_branch = forest
+    found = tree_ids(own.withColumn("id", F.array_join(F.col("revision").cast("array<string>"), ".")), chain, hot_rows)
+    got = {(r.branch, r.ord.path, r.ord.revision[1], r.dir): (r.id, r.n_entries) for r in found.collect()}
+    expected = {}
+    for branch, _, _ in TREE:
+        commits = full(by_branch, branch)
+        for (owner, r), state in zip(commits, states(commits), strict=True):
+            if owner == branch:
+                trees = trees_of(state)
+                for k in range(r.path.count("/") + 1):
+                    folder = "/".join(r.path.split("/")[:k])
+                    expected[branch, r.path, r.revision[1], folder] = trees.get(folder, (None, 0))
+    assert got == expected
+    assert tree_ids(own.limit(0).withColumn("id", F.lit("")), chain).isEmpty()
+
+
 @pytest.mark.parametrize("bins", [1, 3, 50])
 def test_binned_join(spark, bins):
     rng = random.Random(bins)
