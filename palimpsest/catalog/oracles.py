@@ -376,6 +376,25 @@ ORACLES: dict[str, str] = {
             and (s.next_path is null
                  or (s.next_level, s.next_date, s.path_depth, s.next_path, s.next_rn) > (p.level, p.date, p.path_depth, p.path, p.rn)))
         select name, count(*) as n_files, {digest_sql("entry")} as files from states group by name""",
+    "merge_base_commits": f"""with {ENTRIES}, {LINEAGE}, {HISTORY},
+        picked as (
+          select branch, path, path_depth, rn, version, date,
+                 lag(branch) over w as lb, lag(path) over w as lp, lag(path_depth) over w as ld, lag(rn) over w as lr,
+                 lag(version) over w as lv, lag(date) over w as lt
+          from everything where cast(commit_id as bigint) % 20 = 0
+          window w as (order by cast(commit_id as bigint), branch, path)),
+        own_cap as (select *, row_number() over (partition by branch order by level desc) = 1 as is_own from cap),
+        both_caps as (
+          select p.*, l.ancestor, l.level,
+                 case when l.is_own then (lt, ld, lp, lr, lv) else (l.date::timestamp, l.cap_depth, l.path, l.cap_rn, l.version) end as a,
+                 case when r.is_own then (p.date, p.path_depth, p.path, p.rn, p.version) else (r.date::timestamp, r.cap_depth, r.path, r.cap_rn, r.version) end as b
+          from picked p join own_cap l on l.branch = lb join own_cap r on r.branch = p.branch and r.ancestor = l.ancestor),
+        ranked as (select *, least(a, b) as c, row_number() over (
+                     partition by lb, lp, lv, branch, path, version order by level desc) as i from both_caps)
+        select lb as left_branch, lp as left_path, lv as left_version, cast(lt as varchar) as left_date,
+               branch as right_branch, path as right_path, version as right_version, cast(date as varchar) as right_date,
+               ancestor, c[3] as base_path, c[5] as base_version, cast(c[1] as varchar) as base_date
+        from ranked where i = 1""",
     "tree_ids": f"""with {ENTRIES}, {LINEAGE}, {HISTORY},
         point as (select branch, level, date, path_depth, path, rn, version from full_history where branch = ancestor),
         held as (

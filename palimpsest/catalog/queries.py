@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palimpsest.catalog import bindings as B
 from palimpsest.functions import dates, digest, notes, paths, tagmaps, versions as V
-from palimpsest.operators import branches, diff, fold, history, incremental, lineage_state, lookup, rollup, tags, tree_ids as trees
+from palimpsest.operators import branches, diff, fold, history, incremental, lineage_state, lookup, ordered, rollup, tags, tree_ids as trees
 from palimpsest.plans import branch_diff as diff_plan
 from palimpsest.plans.importing import (
     ImportOptions,
@@ -96,10 +96,10 @@ class Tables:
         return lookup.useful(self.trunk).unionByName(self.own)
 
     @cached_property
-    def attached(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Branches with their graft points, useful commits of all branches, their timeline."""
-        placed, copies, spans = branches.graft_points(self.useful, self.entries, lookup.noise(self.revisions))
-        return placed, self.useful.unionByName(copies), spans
+    def attached(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """Branches with their graft points, useful commits of all branches, their timeline and lineage."""
+        placed, copies, spans, chain = branches.graft_points(self.useful, self.entries, lookup.noise(self.revisions))
+        return placed, self.useful.unionByName(copies), spans, chain
 
 
 # Scalars and lookups
@@ -391,11 +391,11 @@ def tag_locate(spark, sf_dir):
 @query
 def tag_locate_all(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    placed, _, spans = t.attached
+    _, _, spans, chain = t.attached
     # S: where the branches start.
     starts = tags.branch_parent(t.entries).withColumn("tag", F.concat(F.lit("S"), "tag"))
     cleaned = tags.clean_tags(t.tags.unionByName(starts), lookup.noise(t.revisions))
-    located = tags.tag_locate_all(cleaned, spans, stored(branches.lineage(placed)))
+    located = tags.tag_locate_all(cleaned, spans, chain)
     return located.select(
         "tag", "branch", "owner", "status", "n_files", "n_missing", "n_wrong", *place("anchor", "anchor")
     )
@@ -484,7 +484,7 @@ def fold_while(spark, sf_dir):
 
 @query
 def graft_points(spark, sf_dir):
-    placed, _, _ = Tables(spark, sf_dir).attached
+    placed, _, _, _ = Tables(spark, sf_dir).attached
     return placed.select("branch", "parent", "method", *place("graft_ord", "graft"))
 
 
@@ -493,7 +493,7 @@ def graft_none(spark, sf_dir):
     """Branches that are not looked up but start from copies of their branch points."""
     t = Tables(spark, sf_dir)
     noise = lookup.noise(t.revisions)
-    placed, _, _ = branches.graft_points(t.useful, t.entries, noise, auto_graft=False)
+    placed, _, _, _ = branches.graft_points(t.useful, t.entries, noise, auto_graft=False)
     return placed.select("branch", "parent", "method", *place("graft_ord", "graft"))
 
 
@@ -506,8 +506,7 @@ def branch_points(spark, sf_dir):
 
 @query
 def merge_base(spark, sf_dir):
-    placed, _, _ = Tables(spark, sf_dir).attached
-    chain = branches.lineage(placed)
+    _, _, _, chain = Tables(spark, sf_dir).attached
     name = F.concat(F.lit("B"), F.col("id"))
     ids = spark.range(1, B.BRANCHES + 1)
     pairs = ids.select(name.alias("left")).join(ids.select(name.alias("right")), F.col("left") < F.col("right"))
@@ -517,9 +516,9 @@ def merge_base(spark, sf_dir):
 def _edited(spark, sf_dir):
     """Commits of all branches, those on inherited files too, and what the branches are made of."""
     t = Tables(spark, sf_dir)
-    placed, own, _ = t.attached
+    _, own, _, chain = t.attached
     edited = stored(own.unionByName(B.branch_edits(lookup.useful(t.trunk))), "edited")
-    return t, edited, stored(branches.lineage(placed), "lineage")
+    return t, edited, chain
 
 
 @query
@@ -563,6 +562,23 @@ def snapshots_at(spark, sf_dir):
     return states.groupBy("name").agg(F.count("*").alias("n_files"), digest.set_digest(entry).alias("files"))
 
 
+@query
+def merge_base_commits(spark, sf_dir):
+    """Every 20th commit with the one before it by number, wherever that was made."""
+    _, own, chain = _edited(spark, sf_dir)
+    number = F.col("commit_id").cast("long")
+    picked = history.with_ord(own).filter(number % 20 == 0).select("branch", "path", "ord", number.alias("number"))
+    paired = ordered.previous_row(picked, [], ["number", "branch", "path"], ["branch", "ord"], "before")
+    pairs = paired.filter(F.col("before").isNotNull()).select(
+        F.col("before.branch").alias("left_branch"), F.col("before.ord").alias("left_ord"),
+        F.col("branch").alias("right_branch"), F.col("ord").alias("right_ord"),
+    )
+    found = branches.merge_base_commits(chain, pairs)
+    return found.select(
+        "left_branch", *place("left_ord", "left"), "right_branch", *place("right_ord", "right"), "ancestor", *place("base_ord", "base")
+    )
+
+
 @query
 def tree_ids(spark, sf_dir):
     """The tree of every commit of every branch."""
@@ -573,8 +589,7 @@ def tree_ids(spark, sf_dir):
 
 @query
 def branch_diff(spark, sf_dir):
-    placed, own, _ = Tables(spark, sf_dir).attached
-    chain = stored(branches.lineage(placed))
+    _, own, _, chain = Tables(spark, sf_dir).attached
     changes = diff_plan.branch_diff(own, chain, "B3", "B2")
     return changes.select(
         "parent", "branch", "path", "change", version("old_id").alias("old_version"), version("new_id").alias("new_version")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palimpsest.functions import versions as V
 from palimpsest.operators.history import branch_heads, timeline, with_ord
@@ -130,6 +130,33 @@ def merge_base(chain: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def merge_base_commits(chain: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Newest common commit of two commits, ``pairs(left_branch, left_ord, right_branch, right_ord)``.
+
+    A commit's history is that of its branch with the commit itself as the cap
+    of the last level.  The lineage labels every branch with all its ancestors,
+    so one equi-join per side finds the shared ones, whatever the depth; the
+    base lies on the deepest, at the lesser of the two caps.  Each distinct pair
+    comes out once, those without a common commit not at all.
+    """
+    key = ["left_branch", "left_ord", "right_branch", "right_ord"]
+
+    def labels(side: str) -> DataFrame:
+        return chain.select(
+            F.col("branch").alias(f"{side}_branch"), "ancestor",
+            *([F.col("level")] if side == "left" else []), F.col("cap").alias(f"{side}_cap"),
+        )
+
+    def cap(side: str) -> Column:
+        own = F.col("ancestor") == F.col(f"{side}_branch")
+        return F.when(own, F.col(f"{side}_ord")).otherwise(F.col(f"{side}_cap"))
+
+    shared = pairs.select(*key).join(labels("left"), "left_branch").join(labels("right"), ["right_branch", "ancestor"])
+    base = F.struct("ancestor", F.least(cap("left"), cap("right")).alias("ord"))
+    found = shared.groupBy(*key).agg(F.max_by(base, "level").alias("base"))
+    return found.select(*key, F.col("base.ancestor").alias("ancestor"), F.col("base.ord").alias("base_ord"))
+
+
 def branch_points(own: DataFrame, branch_entries: DataFrame) -> DataFrame:
     """Copies of the commits a branch starts from, as a history of their own."""
     points = branch_parent(branch_entries).select(
@@ -202,7 +229,7 @@ def graft_points(
     noise: DataFrame,
     auto_graft: bool = True,
     known: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Attach every branch to the commit it forks from.
 
     ``own`` holds the useful commits of trunk and of all branches,
@@ -213,7 +240,8 @@ def graft_points(
     from copies of its branch-point commits, if there are any.
 
     ``known`` has branches attached before.  Returns ``branches(branch, parent,
-    graft_ord, method)``, the copied commits and the timeline of all commits.
+    graft_ord, method)``, the copied commits, the timeline of all commits and
+    the lineage of all branches.
     """
     # Every level looks branches up in it: computed once.
     spans = stored(timeline(own), "timeline")
@@ -247,4 +275,4 @@ def graft_points(
             attached = attached.unionByName(rows)
             chain = _extend_lineage(chain, rows)
         chain = stored(chain)
-    return stored(attached), copies, spans
+    return stored(attached), copies, spans, chain

@@ -177,9 +177,9 @@ def tag_locate(tags: DataFrame, revisions: DataFrame) -> DataFrame:
 
 
 def _hits(tags: DataFrame, timeline: DataFrame) -> DataFrame:
-    """Every branch that made a tagged version, with the place of the commit."""
-    made = timeline.select(F.col("branch").alias("ancestor"), "path", "revision", "ord")
-    return tags.join(made, ["path", "revision"]).select("tag", "path", "ancestor", "ord")
+    """Every branch that made a tagged version, with the places of the commit and of its successor."""
+    made = timeline.select(F.col("branch").alias("ancestor"), "path", "revision", "ord", "next_ord")
+    return tags.join(made, ["path", "revision"]).select("tag", "path", "revision", "ancestor", "ord", "next_ord")
 
 
 def tag_candidates(tags: DataFrame, hits: DataFrame, lineage: DataFrame) -> DataFrame:
@@ -237,7 +237,7 @@ def tag_locate_on(
         .agg(F.max(F.struct("level", "ord", F.col("ancestor").alias("owner"))).alias("anchor"))
     )
 
-    # Every file of the tag against every level of the lineage up to the anchor.
+    # Every level of the lineage up to the anchor.
     limit = F.when(F.col("level") == F.col("anchor.level"), F.col("anchor.ord")).otherwise(F.col("cap"))
     levels = stored(
         members.join(anchors, ["tag", "branch"], "left")
@@ -250,10 +250,16 @@ def tag_locate_on(
     def by_limit(column: str) -> Column:
         return F.col(column).isNotNull() & (F.col("limit").isNull() | (F.col(column) <= F.col("limit")))
 
+    # A file that has its version on the anchor's own level needs no other level: most files of most tags.
+    last = levels.filter(F.col("level") == F.col("anchor.level")).select("tag", "branch", "ancestor", "limit")
+    sure = salted_join(hits, last, ["tag", "ancestor"], F.col("path")).filter(by_limit("ord") & ~by_limit("next_ord"))
+    sure = stored(sure.select("tag", "branch", "path", "revision"), "sure")
+    doubtful = salted_join(tags, levels.select("tag", "branch").distinct(), ["tag"], F.col("path"))
+    doubtful = doubtful.join(sure, ["tag", "branch", "path", "revision"], "left_anti")
     spans = timeline.withColumnRenamed("branch", "ancestor")
     first = spans.filter("opens").select("ancestor", "path", F.col("ord").alias("first_ord"))
     checked = (
-        salted_join(tags, levels, ["tag"], F.col("path"))
+        salted_join(doubtful, levels, ["tag", "branch"], F.col("path"))
         .join(first, ["ancestor", "path"], "left")
         .join(spans.drop("opens"), ["ancestor", "path", "revision"], "left")
         .withColumn("exists", F.col("anchor").isNotNull() & by_limit("first_ord"))
@@ -263,10 +269,12 @@ def tag_locate_on(
     files = checked.groupBy("tag", "branch", "path", "revision").agg(
         F.max(F.when(F.col("exists"), F.struct("level", "holds"))).alias("state")
     )
-    counts = files.groupBy("tag", "branch").agg(
+    counted = files.select("tag", "branch", F.col("state").isNull().alias("missing"), (~F.col("state.holds")).alias("wrong"))
+    plain = sure.select("tag", "branch", F.lit(False).alias("missing"), F.lit(False).alias("wrong"))
+    counts = counted.unionByName(plain).groupBy("tag", "branch").agg(
         F.count("*").alias("n_files"),
-        F.count_if(F.col("state").isNull()).alias("n_missing"),
-        F.count_if(~F.col("state.holds")).alias("n_wrong"),
+        F.count_if("missing").alias("n_missing"),
+        F.count_if("wrong").alias("n_wrong"),
     )
     status = _status(F.col("anchor").isNotNull(), F.col("n_missing"), F.col("n_wrong"))
     places = levels.filter(F.col("ancestor") == F.coalesce("anchor.owner", "branch")).select(

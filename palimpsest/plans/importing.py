@@ -62,6 +62,7 @@ class History:
     late: DataFrame | None = None
     timeline: DataFrame | None = None
     unassigned: DataFrame | None = None
+    lineage: DataFrame | None = None
 
 
 def import_log(records: DataFrame, options: ImportOptions = ImportOptions(), imported: History | None = None) -> History:
@@ -104,9 +105,9 @@ def import_tables(
         late = late_rows(fetched, heads, imported.revisions)
         own = imported.revisions.unionByName(after_heads(fetched, heads))
         noise = noise.unionByName(imported.noise).dropDuplicates(list(KEY))
-    branches, copies, spans = graft_points(own, entries, noise, options.auto_graft, known)
+    branches, copies, spans, chain = graft_points(own, entries, noise, options.auto_graft, known)
     own = own.unionByName(copies)
-    history = History(own, noise, tags, branches, late=late, timeline=spans, unassigned=lost)
+    history = History(own, noise, tags, branches, late=late, timeline=spans, unassigned=lost, lineage=chain)
     return replace(history, tag_locations=locate_tags(history)) if options.resolve_tags else history
 
 
@@ -114,7 +115,8 @@ def locate_tags(history: History) -> DataFrame:
     """Positions of all tags that are not branches."""
     tags = clean_tags(plain_tags(history.tags), history.noise)
     spans = history.timeline if history.timeline is not None else stored(timeline(history.revisions), "timeline")
-    return tag_locate_all(tags, spans, lineage(history.branches))
+    chain = history.lineage if history.lineage is not None else lineage(history.branches)
+    return tag_locate_all(tags, spans, chain)
 
 
 def import_summary(history: History) -> DataFrame:

@@ -165,9 +165,9 @@ def test_unlimited_known_branches(spark):
     entries = T.branch_tags(golden.tags(spark, module))
     rows = assign_branches(golden.revisions(spark, module), entries)
     first = entries.filter(F.col("tag") != "experiment")
-    once, _, _ = graft_points(useful(rows), entries, noise(rows))
-    before, _, _ = graft_points(useful(rows), first, noise(rows))
-    after, _, _ = graft_points(useful(rows), entries, noise(rows), known=before)
+    once, _, _, _ = graft_points(useful(rows), entries, noise(rows))
+    before, _, _, _ = graft_points(useful(rows), first, noise(rows))
+    after, _, _, _ = graft_points(useful(rows), entries, noise(rows), known=before)
     assert sorted(map(str, once.collect())) == sorted(map(str, after.collect()))
 
 
