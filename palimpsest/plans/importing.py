@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palimpsest.functions.dates import LOG_DATE_FORMATS
@@ -15,8 +14,8 @@ from palimpsest.operators.incremental import KEY, after_heads, late_rows
 from palimpsest.operators.tags import branch_tags, clean_tags, plain_tags, tag_locate_all
 from palimpsest.schema import TRUNK
 from palimpsest.session import stored
-from palimpsest.sources import rlog
-from palimpsest.sources.tables import write_revisions, write_table
+from palimpsest.sources import rlog, versions
+from palimpsest.sources.tables import in_layout
 
 
 @dataclass(frozen=True)
@@ -144,47 +143,42 @@ PER_TAG = ("tags", "tag_locations")
 GROWING = {"noise": list(KEY), "late": list(KEY), "unassigned": ["path", "revision"]}
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
-    """A stored table, or nothing where it was never written."""
-    try:
-        return spark.read.parquet(f"{folder}/{name}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def load_history(spark: SparkSession, folder: str) -> History | None:
+    """The newest history that ``save_history`` published, or nothing where there is none yet."""
+    return _history(versions.current(spark, folder))
 
 
-def load_history(spark: SparkSession, folder: str) -> History | None:
-    """What ``save_history`` wrote, or nothing where there is no history yet."""
-    revisions = _table(spark, folder, "revisions")
+def _history(version: versions.Version) -> History | None:
+    revisions = version.read("revisions")
     if revisions is None:
         return None
     names = ("noise", "tags", "branches", "tag_locations", "late", "unassigned")
     # The branch is a directory's name and comes last when read.
     columns = ["branch", *(c for c in revisions.columns if c != "branch")]
-    return History(revisions.select(*columns), **{name: _table(spark, folder, name) for name in names})
+    return History(revisions.select(*columns), **{name: version.read(name) for name in names})
 
 
 def save_history(history: History, folder: str) -> None:
     """Write a history; of one that is there already only what is new.
 
     Saving the same history again changes nothing.  Tags that the log no longer
-    has keep their entries and positions.  Tables that are replaced are written
-    aside first, since they may be read from the same folder.
+    has keep their entries and positions.  All tables become visible at once:
+    until the end readers see the version before, and so they do if the save
+    fails anywhere.
     """
-    spark = history.revisions.sparkSession
-    old = load_history(spark, folder)
+    version = versions.current(history.revisions.sparkSession, folder)
+    old, new = _history(version), version.next()
     fresh = history.revisions
     if old is not None:
         fresh = stored(fresh.join(old.revisions.select(*KEY), list(KEY), "left_anti"), "fresh")
-    write_revisions(fresh, folder)
+    new.write(in_layout(fresh), "revisions", by=("branch",))
     for name, key in GROWING.items():
         rows, before = getattr(history, name), getattr(old, name, None)
         if rows is None:
             continue
         if before is not None:
-            rows = stored(rows.join(before.select(*key), key, "left_anti"), name)
-        write_table(rows, folder, name, mode="append")
+            rows = rows.join(before.select(*key), key, "left_anti")
+        new.write(rows, name)
     for name in (*PER_TAG, *REPLACED):
         rows, before = getattr(history, name), getattr(old, name, None)
         if rows is None:
@@ -192,4 +186,5 @@ def save_history(history: History, folder: str) -> None:
         if name in PER_TAG and before is not None:
             gone = before.join(rows.select("tag").distinct(), "tag", "left_anti")
             rows = rows.unionByName(gone)
-        write_table(rows if before is None else stored(rows, name), folder, name)
+        new.write(rows, name, replace=True)
+    new.publish()

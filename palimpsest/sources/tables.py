@@ -22,20 +22,19 @@ def read_revisions(
     return rows
 
 
-def write_revisions(revisions: DataFrame, folder: str, mode: str = "append") -> None:
-    """Append to the change log, one directory per branch.
+def in_layout(revisions: DataFrame) -> DataFrame:
+    """Revisions in the order they are stored in.
 
     A range shuffle gives tasks of even size whatever the sizes of branches and
     paths, each with few branches and neighbouring paths.
     """
     layout = ["branch", "path", "date", "revision"]
-    (
-        revisions.repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
-        .write.mode(mode)
-        .partitionBy("branch")
-        .parquet(f"{folder}/revisions")
-    )
+    return revisions.repartitionByRange(*layout).sortWithinPartitions(*layout)
+
+
+def write_revisions(revisions: DataFrame, folder: str, mode: str = "append") -> None:
+    """Append to the change log, one directory per branch."""
+    in_layout(revisions).write.mode(mode).partitionBy("branch").parquet(f"{folder}/revisions")
 
 
 def write_table(df: DataFrame, folder: str, name: str, mode: str = "overwrite") -> None:

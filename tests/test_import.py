@@ -18,6 +18,7 @@ from palimpsest.plans.importing import (
     locate_tags,
     save_history,
 )
+from palimpsest.sources import versions
 from palimpsest.sources.rlog import read_log
 
 
@@ -197,6 +198,37 @@ def test_saving_twice_is_saving_once(spark, tmp_path):
     assert sorted(r.tag for r in again.tags.collect()) == ["gone", "kept"]
 
 
+@pytest.mark.parametrize("broken", ["noise", "branches", "publish"])
+def test_a_save_that_fails_is_not_seen(spark, tmp_path, monkeypatch, broken):
+    log, options = golden.revisions(spark, "subdirs", "master"), ImportOptions(resolve_tags=False)
+    tags = spark.sql("select 'kept' as tag, '1.txt' as path, array(1, 1) as revision")
+    folder = str(tmp_path / "history")
+    save_history(import_tables(log.filter("path < '2'"), tags, options), folder)
+    before = rows_of(load_history(spark, folder).revisions)
+    write, publish = versions.NextVersion.write, versions.NextVersion.publish
+
+    def failing(self, rows, name, **more):
+        if name == broken:
+            raise OSError("lost")
+        write(self, rows, name, **more)
+
+    def overtaken(self):
+        publish(self.before.next())  # someone else was faster
+        publish(self)
+
+    monkeypatch.setattr(versions.NextVersion, "write", failing)
+    if broken == "publish":
+        monkeypatch.setattr(versions.NextVersion, "publish", overtaken)
+    later = import_tables(log, tags.withColumn("tag", F.lit("new")), options, load_history(spark, folder))
+    with pytest.raises(OSError):
+        save_history(later, folder)
+    monkeypatch.undo()
+    seen = load_history(spark, folder)
+    assert rows_of(seen.revisions) == before and [r.tag for r in seen.tags.collect()] == ["kept"]
+    save_history(later, folder)
+    assert rows_of(load_history(spark, folder).revisions) == rows_of(useful(log))
+
+
 def test_revisions_of_unnamed_branches_are_kept_aside(spark):
     log, tags = golden.revisions(spark, "multi_branch"), golden.tags(spark, "multi_branch")
     fewer = tags.filter("tag <> 'opengl'")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from palimpsest.operators import ordered
-from palimpsest.operators.fold import fold_while
+from palimpsest.operators.fold import fold_while, fold_while_composed
 from palimpsest.operators.skew import salted_join
 
 
@@ -100,6 +100,29 @@ def test_fold_while(spark, values, limit, result):
         assert folded.first().folded == result
 
 
+@pytest.mark.parametrize("cell_rows", [1, 2, 7, 5000])
+def test_fold_with_affine_steps(spark, cell_rows):
+    """Balances with interest: every row multiplies, then adds."""
+    rng = random.Random(4)
+    data = [(f"g{k % 3 if k % 2 else 0}", k, rng.choice([1, 1, 2, -1]), rng.randrange(-3, 6)) for k in range(60)]
+    df = spark.createDataFrame(data, "g string, i long, a long, b long")
+    folded = fold_while_composed(
+        df, ["g"], ["i"], F.struct("a", "b"),
+        compose=lambda f, g: F.struct((g["a"] * f["a"]).alias("a"), (g["a"] * f["b"] + g["b"]).alias("b")),
+        apply=lambda f, acc: f["a"] * acc + f["b"],
+        proceed=lambda acc: F.abs(acc) < 40,
+        start=F.lit(1).cast("long"),
+        cell_rows=cell_rows,
+    )
+    expected = {}
+    for g in {r[0] for r in data}:
+        acc = 1
+        for _, _, a, b in sorted(r for r in data if r[0] == g):
+            acc = a * acc + b if abs(acc) < 40 else acc
+        expected[g] = acc
+    assert {r.g: r.folded for r in folded.collect()} == expected
+
+
 def test_fold_of_nothing(spark):
     df = spark.createDataFrame([], "g string, i int, v long")
     assert fold_while(df, [], ["i"], F.col("v"), lambda acc: acc < 9).first().folded == 0

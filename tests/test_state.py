@@ -8,7 +8,7 @@ import golden
 from palimpsest.functions.versions import render_version
 from palimpsest.operators import diff, history, incremental, lookup, rollup
 from palimpsest.sources import tables
-from palimpsest.streaming.importer import import_batch, read_imported, start_import
+from palimpsest.streaming.importer import import_batch, read_imported, read_rows, start_import
 
 
 def keys(df):
@@ -128,17 +128,26 @@ def test_stream_equals_batch_and_survives_a_retry(spark, tmp_path):
     held_back = F.col("path") == "main.cpp"
     first = rows.filter((F.col("date") < cut) & ~held_back)
     folder = str(tmp_path)
-    for part in (first, rows):
+    # Three batches, the last two with what was there before; every start but the first goes on from a stop.
+    for part in (first, rows, rows.unionByName(rows)):
         part.write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
-        start_import(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
+        query = start_import(stream, f"{folder}/out", f"{folder}/state")
+        query.awaitTermination()
+        assert "dedupeWithinWatermark" in str([p["stateOperators"] for p in query.recentProgress])
     stored = lookup.useful(first)
     expected = keys(stored.unionByName(incremental.after_heads(lookup.useful(rows), history.branch_heads(stored))))
     assert keys(read_imported(spark, f"{folder}/out", rows.schema)) == expected
     assert keys(spark.read.parquet(f"{folder}/out/late")) == [("main.cpp", "1.1")]
-    # The same batch again, as after a crash before its commit.
-    import_batch(rows, 1, f"{folder}/out")
-    assert keys(read_imported(spark, f"{folder}/out", rows.schema)) == expected
+    # Everything that arrived is there once, whatever its kind.
+    arrived = read_rows(spark, f"{folder}/out", rows.schema)
+    assert keys(arrived) == keys(rows)
+    kinds = {kind: keys(arrived.filter(F.col("kind") == kind)) for kind in ("commit", "noise", "late")}
+    assert kinds == {"commit": expected, "noise": keys(lookup.noise(rows)), "late": [("main.cpp", "1.1")]}
+    # The last batch again, as after a crash before its commit.
+    last = spark.read.parquet(f"{folder}/out/heads").agg(F.max("batch")).first()[0]
+    import_batch(rows, last, f"{folder}/out")
+    assert keys(read_rows(spark, f"{folder}/out", rows.schema)) == keys(rows)
 
 
 def test_tables(spark, tmp_path):
