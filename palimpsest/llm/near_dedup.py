@@ -140,12 +140,17 @@ def bits_of(value: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def frequent_level() -> int:
+    """The level in the table from which on a shingle may have a hot group."""
+    return int(np.log2(ordered.HOT_ROWS)) - 1
+
+
 def prefixes(docs: DataFrame, classes: np.ndarray, size: int, threshold: Fraction) -> DataFrame:
     """``node, n, bits, calm, prefix`` of every document with shingles; rows of equal sets are equal.
 
     The shingles of the prefix from place ``calm`` on may be frequent: the table counts enough for a hot group.
     """
-    frequent = int(np.log2(ordered.HOT_ROWS)) - 1
+    frequent = frequent_level()
     sent = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches):
@@ -173,10 +178,15 @@ def prefixes(docs: DataFrame, classes: np.ndarray, size: int, threshold: Fractio
     return docs.select("doc_id", "text").mapInArrow(run, "node bigint, n bigint, bits binary, calm bigint, prefix array<bigint>")
 
 
-def shared_prefixes(nodes: DataFrame) -> DataFrame:
-    """``h, at, node, n``: prefix shingles that several nodes have, with the smallest such set and the next smaller."""
+def shared_prefixes(nodes: DataFrame, crowd: bool) -> DataFrame:
+    """``h, at, node, n``: prefix shingles that several nodes have, with the smallest such set and the next smaller.
+
+    ``crowd`` tells whether any shingle is frequent enough for a hot group.
+    """
     places = nodes.select("node", "n", "calm", F.posexplode("prefix").alias("at", "h"))
-    rows, split = ordered.split_hot(places, ["h"], ["n", "node"], among=F.col("at") >= F.col("calm"))
+    rows, split = places.withColumn(ordered.CELL, F.lit(0)), False
+    if crowd:
+        rows, split = ordered.split_hot(places, ["h"], ["n", "node"], among=F.col("at") >= F.col("calm"))
     by_shingle = Window.partitionBy("h", ordered.CELL).orderBy("n", "node")
     found = rows.withColumns(
         {
@@ -205,18 +215,32 @@ def sizes_fit(a: str, b: str, threshold: Fraction) -> F.Column:
 
 
 def open_rows(shared: DataFrame, component_of: DataFrame) -> DataFrame:
-    """``h, at, node, n, component`` of the shingles whose nodes lie in several components."""
+    """``h, at, crowded, node, n, component`` of the shingles whose nodes lie in several components.
+
+    Shingles with the same nodes, as those of one shared passage, are taken together under the hash of their nodes;
+    a node's place is then the first it has any of them at.  Equal hashes of other sets only add pairs to compare.
+    """
     rows = shared.select("h", "at", "node", "n", "calm").join(component_of, "node", "left")
     rows = stored(rows.withColumn("component", F.coalesce("component", "node")), "shingle-nodes")
-    mixed_ = rows.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    return rows.join(mixed_.filter(F.col("x") != F.col("y")).select("h"), "h")
+    sets = rows.groupBy("h").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.bit_xor(F.xxhash64("node")).alias("same")
+    )
+    open_ = rows.join(sets.filter(F.col("x") != F.col("y")).select("h", "same"), "h")
+    found = open_.groupBy(F.col("same").alias("h"), "node").agg(
+        F.min("at").alias("at"), F.bool_or(F.col("at") >= F.col("calm")).alias("crowded"),
+        F.first("n").alias("n"), F.first("component").alias("component"),
+    )
+    return stored(found, "open-rows")
 
 
-def neighbour_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
+def neighbour_pairs(rows: DataFrame, threshold: Fraction, crowd: bool) -> DataFrame:
     """Pairs of nodes of different components that stand ``STEPS`` apart among the nodes of a shingle."""
-    mixed_rows = rows.withColumn("drawn", F.xxhash64("node", "h"))
-    # Across the bounds of a hot shingle's cells neighbours are not sought; the next round finds what they would.
-    cells, _ = ordered.split_hot(mixed_rows, ["h"], ["drawn", "node"], among=F.col("at") >= F.col("calm"))
+    cells = rows.withColumn("drawn", F.xxhash64("node", "h"))
+    if crowd:
+        # Across the bounds of a hot shingle's cells neighbours are not sought; the next round finds what they would.
+        cells, _ = ordered.split_hot(cells, ["h"], ["drawn", "node"], among=F.col("crowded"))
+    else:
+        cells = cells.withColumn(ordered.CELL, F.lit(0))
     by_hash = Window.partitionBy("h", ordered.CELL).orderBy("drawn", "node")
     mine = F.struct("node", "n", "component", "at")
     near = cells.withColumns({f"before_{k}": F.lag(mine, k).over(by_hash) for k in STEPS})
@@ -241,10 +265,11 @@ def cross_pairs(rows: DataFrame, nodes: DataFrame, threshold: Fraction) -> DataF
     """Pairs of nodes that share a prefix shingle, lie in different components and may be similar by their bitmaps."""
     ratio = float(np.log(threshold.denominator / threshold.numerator))
     band = F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("int")
-    banded = rows.select("h", "at", "node", "n", "component", band.alias("band"))
+    rows = rows.join(nodes.select("node", "bits"), "node")
+    banded = rows.select("h", "at", "node", "n", "component", "bits", band.alias("band"))
     banded = banded.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("guest")).withColumn("tile", F.col("band") - F.col("guest"))
     # Only tiles with two components, and with someone who is not a guest, can hold a pair.
-    size = banded.groupBy("h", "tile").agg(
+    size = banded.drop("bits").groupBy("h", "tile").agg(
         F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("parts"),
         F.min("component").alias("x"), F.max("component").alias("y"), F.min("guest").alias("host"),
     )
@@ -253,7 +278,7 @@ def cross_pairs(rows: DataFrame, nodes: DataFrame, threshold: Fraction) -> DataF
     parted = banded.join(size, ["h", "tile"]).withColumn("part", part)
     # Parts of a large tile meet in pairs: row of part i goes to (i, k) and (k, i) for every part k.
     met = parted.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    met = met.join(nodes.select("node", "bits"), "node").select(
+    met = met.select(
         "h", "tile", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "n", "component", "guest", "at", "bits"
     )
     count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -466,7 +491,8 @@ def _placed(docs: DataFrame, size: int, threshold: Fraction) -> DataFrame:
     rows = prefixes(docs, classes, size, threshold)
     columns = ("n", "bits", "calm", "prefix")
     nodes = stored(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in columns)), "nodes")
-    shared = stored(shared_prefixes(nodes), "shared-shingles")
+    crowd = bool((classes >= frequent_level()).any())
+    shared = stored(shared_prefixes(nodes, crowd), "shared-shingles")
     met = F.explode(
         F.array(*(F.struct(F.col(c).alias("node"), F.col(f"{c}_n").alias("n")) for c in ("leader", "before")))
     )
@@ -484,7 +510,7 @@ def _placed(docs: DataFrame, size: int, threshold: Fraction) -> DataFrame:
         if tiles:
             pairs = stored(cross_pairs(rows, nodes, threshold), "tile-pairs")
         else:
-            pairs = bounded(neighbour_pairs(rows, threshold), nodes, threshold)
+            pairs = bounded(neighbour_pairs(rows, threshold, crowd), nodes, threshold)
         more = exact(pairs, first, docs, size, threshold)
         tree = whole.select(F.col("node").alias("a"), F.col("component").alias("b"))
         whole = stored(components(tree.unionByName(more)), "components")
