@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from palimpsest.llm.bytewords import mixed, slices
-from palimpsest.llm.common import documents_of
+from palimpsest.llm.common import documents_of, thrifty
 from palimpsest.llm.suffix_groups import ranges, suffix_arrays
 from palimpsest.llm.url_filter import bloom
 from palimpsest.session import stored
@@ -247,7 +247,7 @@ def _strings(length: int):
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``key, spans``: by row key the byte ranges ``(start, end)`` covered by repeats.  ``docs`` has ``key, text``."""
     names = ["anchor", "mark", "n"]
-    counted = docs.mapInArrow(_contexts(length, gram), CONTEXT).groupBy(*names).agg(F.count(F.lit(1)).alias("times"))
+    counted = docs.mapInArrow(thrifty(_contexts(length, gram)), CONTEXT).groupBy(*names).agg(F.count(F.lit(1)).alias("times"))
     same_anchor = Window.partitionBy("anchor")
     judged = counted.withColumns(
         {"kinds": F.count(F.lit(1)).over(same_anchor), "bytes": F.sum(F.col("n") + length).over(same_anchor)}
@@ -264,14 +264,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
         for x in (judged, several)
     )
     sent = docs.sparkSession.sparkContext.broadcast(filters)
-    rows = stored(docs.mapInArrow(_contexts(length, gram, sent), f"{CONTEXT}, body binary"), "context-rows")
+    rows = stored(docs.mapInArrow(thrifty(_contexts(length, gram, sent)), f"{CONTEXT}, body binary"), "context-rows")
     bodies = rows.filter(F.col("body").isNotNull()).groupBy(*names).agg(F.first("body").alias("body"))
     small = bodies.join(several.filter(F.col("bytes") <= max_bytes).select(*names), names, "left_semi")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = small.select(*names, "body").repartition(parts, "anchor").sortWithinPartitions("anchor", "mark")
-    by_suffix = sorted_.mapInArrow(_suffix_sorted(length), SPANS)
+    by_suffix = sorted_.mapInArrow(thrifty(_suffix_sorted(length)), SPANS)
     crowded = bodies.join(several.filter(F.col("bytes") > max_bytes).select(*names), names, "left_semi").select(*names, "body")
-    strings = crowded.mapInArrow(_strings(length), "anchor bigint, mark bigint, n int, at bigint, h1 bigint, h2 bigint")
+    strings = crowded.mapInArrow(thrifty(_strings(length)), "anchor bigint, mark bigint, n int, at bigint, h1 bigint, h2 bigint")
     strings = stored(strings, "crowded-strings")
     twice = strings.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2")
     by_hash = strings.join(twice, ["h1", "h2"]).select(*names, F.array("at").alias("a"), F.array(F.col("at") + 1).alias("b"))
@@ -311,7 +311,7 @@ def remove_repeats(
     some = hashed.mapInArrow(perhaps(True), kinds).join(spans, "key", "left").select("doc_id", "text", "spans")
     none = F.lit(None).cast(spans.schema["spans"].dataType)
     rest = hashed.mapInArrow(perhaps(False), kinds).select("doc_id", "text", none.alias("spans"))
-    return some.unionByName(rest).mapInArrow(_cut, RESULT)
+    return some.unionByName(rest).mapInArrow(thrifty(_cut), RESULT)
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"

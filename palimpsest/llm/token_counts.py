@@ -19,6 +19,8 @@ text, which is the tokenizer's default; repeated rows come out as often as they
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -65,9 +67,19 @@ def _load(path: str):
     return Tokenizer.from_file(path)
 
 
-def split_specials(tokenizer, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _load_splitter(path: str):
+    """The tokenizer without its vocabulary, which only splits into pre-tokens, and its special tokens."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    specials = [t["content"] for t in spec["added_tokens"]]
+    spec["added_tokens"], spec["model"]["vocab"], spec["model"]["merges"] = [], {}, []
+    return Tokenizer.from_str(json.dumps(spec)), specials
+
+
+def split_specials(specials: list[str], texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The parts of the texts between special tokens, the text of every part, the number of specials per text."""
-    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     number = np.zeros(len(texts), np.int64)
     if not any(s in t for s in specials for t in texts):
         return texts, np.arange(len(texts)), number
@@ -85,11 +97,11 @@ def split_specials(tokenizer, texts: list[str]) -> tuple[list[str], np.ndarray,
 
 def _postings(path: str, buckets: int, salts: int):
     def run(batches):
-        tokenizer = _load(path)
-        pre = PreTokenizer(tokenizer)
+        splitter, specials = _load_splitter(path)
+        pre = PreTokenizer(splitter)
         partition = TaskContext.get().partitionId()
         for number, (ids, texts) in enumerate(_bounded(blocks(batches, BLOCK_CHARS))):
-            yield from _block_rows(tokenizer, pre, ids, texts, (partition << 20) + number, buckets, salts)
+            yield from _block_rows(specials, pre, ids, texts, (partition << 20) + number, buckets, salts)
 
     return run
 
@@ -110,8 +122,8 @@ def _columns(schema: str, **given):
     )
 
 
-def _block_rows(tokenizer, pre, ids, texts, block, buckets, salts):
-    parts, part_owner, special = split_specials(tokenizer, texts)
+def _block_rows(specials, pre, ids, texts, block, buckets, salts):
+    parts, part_owner, special = split_specials(specials, texts)
     tokens = pre.split(parts)
     n = len(ids)
     yield _columns(  # one head row per document
