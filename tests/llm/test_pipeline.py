@@ -30,11 +30,11 @@ def test_stages(spark, documents, tmp_path):
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
-def test_ten_queries():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_queries():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op2_decontamination", "op3_url_filters", "op9_license_scans"])
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op2_decontamination", "op3_url_filters", "op9_license_scans", "op12_conversation_repair"])
 def test_sql(spark, name):
     from pathlib import Path
 
