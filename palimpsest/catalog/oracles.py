@@ -309,6 +309,13 @@ ORACLES: dict[str, str] = {
           select conv_id, turn, sum(length(text)) over (partition by conv_id order by turn) as acc from conversations),
         k as (select conv_id, acc, lag(acc, 1, 0) over (partition by conv_id order by turn) as before from r)
         select conv_id, cast(max(acc) as bigint) as folded from k where before < 500 group by conv_id""",
+    "fold_while_affine": """with r as (
+          select conv_id, list({'times': 1 + turn % 2, 'plus': length(text), 'total': 0::bigint} order by turn) as steps
+          from conversations group by conv_id)
+        select conv_id, list_reduce(list_prepend({'times': 0::bigint, 'plus': 0::bigint, 'total': 0::bigint}, steps),
+                 lambda acc, x: case when acc.total < 2000
+                   then {'times': 0::bigint, 'plus': 0::bigint, 'total': x.times * acc.total + x.plus} else acc end).total as folded
+        from r""",
     "graft_points": f"""with {ENTRIES} select branch, parent, method, path as graft_path, version as graft_version,
         cast(date as varchar) as graft_date from placed""",
     "branch_points": f"""with {ENTRIES},
@@ -481,6 +488,11 @@ ORACLES: dict[str, str] = {
     "branch_set_ops": f"""with {OWN}
         select distinct branch as name, 'union' as kind from own
         union all select 'master', 'union' union all select 'master', 'difference'""",
-    "stream_import": f"""with {PARTS} select {VERSION}, commit_id from old
-        union all select {VERSION}, commit_id from fresh""",
+    "stream_import": f"""with {PARTS},
+        arrived as (
+          select *, case when rn = 1 and is_dead then 'noise'
+                         when exists (select 1 from old o where o.path = r.path and o.rn = r.rn)
+                           or exists (select 1 from fresh o where o.path = r.path and o.rn = r.rn) then 'commit' else 'late' end as kind
+          from rev r)
+        select kind, {VERSION}, commit_id from arrived""",
 }

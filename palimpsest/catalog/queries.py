@@ -24,7 +24,7 @@ from palimpsest.plans.importing import (
 from palimpsest.schema import TRUNK, ord_struct
 from palimpsest.session import configure, scratch_path, stored
 from palimpsest.sources import rlog
-from palimpsest.streaming.importer import read_imported, start_import
+from palimpsest.streaming.importer import read_rows, start_import
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -479,6 +479,23 @@ def fold_while(spark, sf_dir):
     )
 
 
+@query
+def fold_while_affine(spark, sf_dir):
+    """Lengths of turns, doubled before every odd one, until the sum is large."""
+    turns = B.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", (1 + F.col("turn") % 2).alias("times"), F.length("text").cast("long").alias("plus")
+    )
+    return fold.fold_while_composed(
+        turns, ["conv_id"], ["turn"], F.struct("times", "plus"),
+        compose=lambda first, then: F.struct(
+            (then["times"] * first["times"]).alias("times"), (then["times"] * first["plus"] + then["plus"]).alias("plus")
+        ),
+        apply=lambda step, total: step["times"] * total + step["plus"],
+        proceed=lambda total: total < 2000,
+        start=F.lit(0).cast("long"),
+    )
+
+
 # Branches
 
 
@@ -745,12 +762,13 @@ def branch_set_ops(spark, sf_dir):
 
 @query
 def stream_import(spark, sf_dir):
-    """The two parts arrive one after the other, the second with the rows held back."""
-    old, log = _two_parts(spark, sf_dir)
+    """What is stored, then the rest with the rows held back, then everything again; noise comes with the rest."""
+    old, useful = _two_parts(spark, sf_dir)
     folder = scratch_path(spark, "stream")
+    log = useful.unionByName(lookup.noise(B.trunk(spark, sf_dir)))
     late = log.join(old.select("path", "revision"), ["path", "revision"], "left_anti")
-    for part in (old, late):
+    for part in (old, late, log):
         part.select(*log.columns).write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(log.schema).parquet(f"{folder}/in")
         start_import(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
-    return read_imported(spark, f"{folder}/out", log.schema).select(*revision_columns(), "commit_id")
+    return read_rows(spark, f"{folder}/out", log.schema).select("kind", *revision_columns(), "commit_id")
