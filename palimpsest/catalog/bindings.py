@@ -221,6 +221,32 @@ def content_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def edition(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Document versions as two branches: commits and contents.
+
+    The trunk has the first versions; the branch ``edition``, made after all of
+    them, edits, deletes and adds files.
+    """
+    rows = _document_versions(spark, sf_dir)
+    edited = F.col("rn") == 2
+    later = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("doc_id") % 86400).cast("decimal(18,6)"))
+    day = F.when(edited, F.lit("2024-02-01")).otherwise(F.lit(EPOCH)).cast("timestamp_ntz")
+    branch_version = _version(1, 1, 2, 1)
+    columns = (
+        F.when(edited, "edition").otherwise(TRUNK).alias("branch"), "path",
+        F.when(edited, branch_version).otherwise(F.col("revision")).alias("revision"),
+    )
+    commits = rows.select(*columns, F.lit(False).alias("is_dead"), (day + later).alias("date"))
+    gone = rows.filter(F.col("doc_id") % 5 == 3).select(
+        F.lit("edition").alias("branch"), "path", branch_version.alias("revision"), F.lit(True).alias("is_dead"),
+        F.lit("2024-02-03").cast("timestamp_ntz").alias("date"),
+    )
+    texts = contents(spark, sf_dir)
+    second = F.element_at("revision", -1) == 2
+    texts = texts.withColumn("revision", F.when(second, branch_version).otherwise(F.col("revision")))
+    return commits.unionByName(gone), texts
+
+
 def _archive(path: Column) -> Column:
     return F.concat(F.lit(f"{ROOT}/{MODULE}/"), path, F.lit(",v"))
 

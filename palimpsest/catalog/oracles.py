@@ -343,6 +343,18 @@ ORACLES: dict[str, str] = {
         ranked as (select *, row_number() over (partition by "left", "right" order by level desc) as i from shared)
         select "left", "right", ancestor, path as base_path, version as base_version, cast(date as varchar) as base_date
         from ranked where i = 1""",
+    "branch_diff_lines": f"""with {FILES},
+        was as (select * from contents where rn = 1),
+        now as (select * from contents where rn = 2),
+        lines as (
+          select path, line, n, kind from (
+            select path, unnest(string_split(text, chr(10))) as line, -1 as n, doc_id % 5 as kind from was where doc_id % 5 <> 4
+            union all
+            select path, unnest(string_split(text, chr(10))), 1, doc_id % 5 from now where doc_id % 5 <> 3) z)
+        select 'master' as parent, 'edition' as branch, path,
+               case max(kind) when 3 then 'DELETE' when 4 then 'ADD' else 'MODIFY' end as change,
+               md5(line) as line_md5, cast(sum(n) as bigint) as delta
+        from lines group by path, line having sum(n) <> 0""",
     "branch_diff": f"""with {ENTRIES}, {LINEAGE},
         cut as (select p from anchors where k = 1),
         base as (select path, '1.' || arg_max(rn, p) as version, arg_max(is_dead, p) as is_dead

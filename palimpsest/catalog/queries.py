@@ -613,6 +613,22 @@ def branch_diff(spark, sf_dir):
     )
 
 
+@query
+def branch_diff_lines(spark, sf_dir):
+    """The lines that an edition of the documents changes."""
+    commits, texts = B.edition(spark, sf_dir)
+    own = stored(commits, "edition")
+    heads = history.branch_heads(own)
+    graft = heads.filter(F.col("branch") == TRUNK).select(
+        F.lit("edition").alias("branch"), F.lit(TRUNK).alias("parent"), F.col("ord").alias("graft_ord")
+    )
+    root = graft.select(F.lit(TRUNK).alias("branch"), F.lit(None).cast("string").alias("parent"), F.when(F.lit(False), F.col("graft_ord")).alias("graft_ord"))
+    chain = stored(branches.lineage(root.unionByName(graft)), "lineage")
+    changes = stored(diff_plan.branch_diff(own, chain, TRUNK, "edition"), "changes")
+    lines = diff_plan.branch_diff_lines(changes, texts)
+    return lines.select("parent", "branch", "path", "change", F.md5("line").alias("line_md5"), "delta")
+
+
 # Differences and roll-ups
 
 

@@ -162,8 +162,11 @@ def branch_points(own: DataFrame, branch_entries: DataFrame) -> DataFrame:
     points = branch_parent(branch_entries).select(
         F.concat("tag", F.lit(BRANCH_POINT_SUFFIX)).alias("branch"), "path", "revision"
     )
-    commits = own.drop("branch").dropDuplicates(["path", "revision"])
-    return commits.join(points, ["path", "revision"]).select(*own.columns)
+    # Few of all commits; of several with one version the first is taken.
+    key, columns = ["path", "revision"], [c for c in own.columns if c != "branch"]
+    wanted = own.join(points.select(*key).distinct(), key, "left_semi")
+    first = wanted.groupBy(*key).agg(F.min_by(F.struct(*columns), F.struct("date", "branch")).alias("commit"))
+    return first.select("commit.*").join(points, key).select(*own.columns)
 
 
 def _trunk_only(own: DataFrame) -> DataFrame:

@@ -11,16 +11,12 @@ def snapshot_diff(old: DataFrame, new: DataFrame, content_id: str = "revision")
     ``content_id`` is the column that tells whether a file changed.  Renames
     show up as DELETE and ADD.
     """
-    before = old.select("path", F.col(content_id).alias("old_id"))
-    after = new.select("path", F.col(content_id).alias("new_id"))
-    change = (
-        F.when(F.col("old_id").isNull(), "ADD").when(F.col("new_id").isNull(), "DELETE").otherwise("MODIFY")
-    )
-    return (
-        before.join(after, "path", "full_outer")
-        .filter(~F.col("old_id").eqNullSafe(F.col("new_id")))
-        .withColumn("change", change)
-    )
+    # A file may be there without a content id.
+    before = old.select("path", F.col(content_id).alias("old_id"), F.lit(True).alias("_old"))
+    after = new.select("path", F.col(content_id).alias("new_id"), F.lit(True).alias("_new"))
+    change = F.when(F.col("_old").isNull(), "ADD").when(F.col("_new").isNull(), "DELETE").otherwise("MODIFY")
+    same = F.col("_old").isNotNull() & F.col("_new").isNotNull() & F.col("old_id").eqNullSafe(F.col("new_id"))
+    return before.join(after, "path", "full_outer").filter(~same).withColumn("change", change).drop("_old", "_new")
 
 
 def line_delta(old: DataFrame, new: DataFrame, text: Column) -> DataFrame:

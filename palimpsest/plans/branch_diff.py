@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from palimpsest.operators.branches import branch_history, merge_base
-from palimpsest.operators.diff import snapshot_diff
+from palimpsest.operators.diff import line_delta, snapshot_diff
 
 
 def branch_snapshot(own: DataFrame, chain: DataFrame, until: DataFrame | None = None) -> DataFrame:
@@ -45,3 +45,20 @@ def branch_diff(own: DataFrame, chain: DataFrame, parent: str, branch: str) -> D
     this = chain.filter(F.col("branch") == branch).join(base.select("branch"), "branch", "left_semi")
     changed = snapshot_diff(branch_snapshot(own, this, base), branch_snapshot(own, this))
     return changed.select(F.lit(parent).alias("parent"), F.lit(branch).alias("branch"), "*")
+
+
+def branch_diff_lines(changes: DataFrame, contents: DataFrame) -> DataFrame:
+    """Line rows of ``branch_diff``'s changes: ``parent, branch, path, change, line, delta``.
+
+    Only the changed files' contents are joined and split.  ``delta`` tells how
+    much more often the line occurs on the branch; a file whose versions have
+    equal contents gives no row.
+    """
+    def texts(side: str) -> DataFrame:
+        wanted = changes.filter(F.col(side).isNotNull()).select("path", F.col(side).alias("revision"))
+        return wanted.join(contents, ["path", "revision"]).select("path", "content")
+
+    delta = line_delta(texts("old_id"), texts("new_id"), F.col("content").cast("string"))
+    return delta.join(changes.select("path", "parent", "branch", "change"), "path").select(
+        "parent", "branch", "path", "change", "line", "delta"
+    )

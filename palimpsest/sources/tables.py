@@ -41,9 +41,11 @@ def write_table(df: DataFrame, folder: str, name: str, mode: str = "overwrite")
     df.write.mode(mode).parquet(f"{folder}/{name}")
 
 
-def write_diff(diff: DataFrame, folder: str) -> None:
-    """Diff rows, one directory per pair of branches."""
-    diff.write.mode("overwrite").partitionBy("parent", "branch").parquet(f"{folder}/patches")
+def write_diff(diff: DataFrame, folder: str, lines: DataFrame | None = None) -> None:
+    """Diff rows, and their line rows if given, one directory per pair of branches."""
+    for rows, name in ((diff, "patches"), (lines, "patch_lines")):
+        if rows is not None:
+            rows.write.mode("overwrite").partitionBy("parent", "branch").parquet(f"{folder}/{name}")
 
 
 def read_contents(spark: SparkSession, folder: str, root: str, module: str, revision: list[int]) -> DataFrame:

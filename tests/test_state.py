@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import golden
 from palimpsest.functions.versions import render_version
 from palimpsest.operators import diff, history, incremental, lookup, rollup
+from palimpsest.plans.branch_diff import branch_diff_lines
 from palimpsest.sources import tables
 from palimpsest.streaming.importer import import_batch, read_imported, read_rows, start_import
 
@@ -74,6 +75,14 @@ def test_snapshots_and_diff(spark):
     }
 
 
+def test_a_file_without_content_id_is_there(spark):
+    schema = "path string, revision string"
+    old = spark.createDataFrame([("a", None), ("b", None), ("c", "1"), ("d", None)], schema)
+    new = spark.createDataFrame([("a", None), ("b", "2"), ("c", None), ("e", None)], schema)
+    changes = {(r.path, r.change) for r in diff.snapshot_diff(old, new).collect()}
+    assert changes == {("b", "MODIFY"), ("c", "MODIFY"), ("d", "DELETE"), ("e", "ADD")}
+
+
 def test_line_delta(spark):
     old = spark.createDataFrame([("a", "x\ny\ny\nz"), ("b", "same\nmoved")], "path string, text string")
     new = spark.createDataFrame([("a", "y\nx\nq"), ("b", "moved\nsame"), ("c", "new")], "path string, text string")
@@ -167,3 +176,13 @@ def test_tables(spark, tmp_path):
     changes = spark.createDataFrame([("m", "b", "x", "ADD")], "parent string, branch string, path string, change string")
     tables.write_diff(changes, folder)
     assert spark.read.parquet(f"{folder}/patches").filter("branch = 'b'").count() == 1
+    contents = spark.createDataFrame([("x", [1], b"one\ntwo"), ("y", [1], b"old"), ("y", [2], b"old\nnew")], "path string, revision array<int>, content binary")
+    changes = spark.createDataFrame(
+        [("m", "b", "x", "ADD", None, [1]), ("m", "b", "y", "MODIFY", [1], [2]), ("m", "b", "z", "DELETE", [1], None)],
+        "parent string, branch string, path string, change string, old_id array<int>, new_id array<int>",
+    )
+    tables.write_diff(changes, folder, branch_diff_lines(changes, contents))
+    lines = spark.read.parquet(f"{folder}/patch_lines").collect()
+    assert {(r.branch, r.path, r.change, r.line, r.delta) for r in lines} == {
+        ("b", "x", "ADD", "one", 1), ("b", "x", "ADD", "two", 1), ("b", "y", "MODIFY", "new", 1),
+    }
