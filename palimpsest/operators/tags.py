@@ -297,17 +297,20 @@ def tag_locate_all(tags: DataFrame, timeline: DataFrame, lineage: DataFrame) ->
     """Best position of every tag over the branches that made one of its versions.
 
     FOUND positions win, then the smaller branch name.  The branch is the one
-    that owns the commit.  A tag without any commit has no branch.
+    that owns the commit.  A tag without any commit has no branch.  Tags with
+    the same files and versions are located once.
     """
-    located = tag_locate_on(tags, timeline, lineage)
+    classes = stored(tag_classes(tags), "classes")
+    firsts = classes.filter(F.col("tag") == F.col("class")).select("tag")
+    located = tag_locate_on(tags.join(firsts, "tag", "left_semi"), timeline, lineage)
     best = located.groupBy("tag").agg(
         F.min_by(
             F.struct("branch", "status", "anchor", "n_missing", "n_wrong"),
             F.struct(status_rank(F.col("status")), F.col("branch")),
         ).alias("best")
     )
-    sizes = tags.groupBy("tag").agg(F.count("*").alias("size"))
-    return sizes.join(best, "tag", "left").select(
+    sizes = classes.select("tag", "class", F.col("n_files").alias("size"))
+    return sizes.join(best.withColumnRenamed("tag", "class"), "class", "left").select(
         "tag",
         "best.branch",
         F.coalesce("best.status", F.lit(NOT_FOUND)).alias("status"),

@@ -14,6 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+SCRATCH_COMMIT = {
+    "mapreduce.fileoutputcommitter.algorithm.version": "2",
+    "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+}
+
 #: Folders of local sessions, kept until the process ends.
 _local_folders: list[tempfile.TemporaryDirectory] = []
 
@@ -59,5 +64,15 @@ def stored(df, name: str = "step"):
     lost executor costs no recomputation.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Nobody reads the folder before this returns, so tasks may move their files there one by one.
+    df.write.options(**SCRATCH_COMMIT).parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)
+    frame.scratch_path = path
+    return frame
+
+
+def discard(frame) -> None:
+    """Delete a ``stored`` table that no later step reads, so that the shared folder does not fill up."""
+    spark = frame.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(frame.scratch_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

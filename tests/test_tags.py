@@ -84,7 +84,7 @@ def test_single_history(spark, seed):
     place = {key: n for n, key in enumerate(history)}
     got = {
         r.tag: (r.status, r.anchor and place[r.anchor.path, tuple(r.anchor.revision)])
-        for r in T.tag_locate(entries, revisions, F.date_trunc("hour", "date")).collect()
+        for r in T.tag_locate(entries, revisions).collect()
     }
     want = {t: walk(history, m) for t, m in tags.items()}
     assert got == want
@@ -132,7 +132,7 @@ def test_branch_histories(spark, seed):
         "branch string, parent string, graft_ord struct<date:timestamp,path_depth:int,path:string,revision:array<int>>",
     )
     chain = lineage(branches).cache()
-    spans = timeline(revisions, F.date_trunc("hour", "date")).cache()
+    spans = timeline(revisions, 5).cache()
     pairs = entries.select("tag").distinct().join(branches.select("branch"))
     got = {
         (r.tag, r.branch): (r.status, r.anchor and (r.anchor.owner, r.anchor.ord.path, tuple(r.anchor.ord.revision)))
