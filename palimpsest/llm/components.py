@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from palimpsest.session import stored
 
 MAX_ROUNDS = 60
+LINKS_PER_TASK = 1 << 17
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,6 +19,19 @@ def components(links: DataFrame) -> DataFrame:
     """
     pairs = links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = stored(pairs.distinct(), "links")
+    spark, name = links.sparkSession, "spark.sql.shuffle.partitions"
+    given = spark.conf.get(name)
+    # Rounds are many and links few next to documents: their shuffles are as wide as the links need.
+    spark.conf.set(name, str(max(1, min(int(given), -(-edges.count() // LINKS_PER_TASK)))))
+    try:
+        edges = _settled(edges)
+    finally:
+        spark.conf.set(name, given)
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def _settled(edges: DataFrame) -> DataFrame:
     before = None
     for _ in range(MAX_ROUNDS):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,9 +43,6 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "small-stars")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before or state[0] == 0:
-            break
+            return edges
         before = state
-    else:
-        raise RuntimeError("components did not settle")
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    raise RuntimeError("components did not settle")

@@ -39,7 +39,7 @@ from palimpsest.llm.common import documents_of, spare_name
 from palimpsest.llm.components import components
 from palimpsest.llm.url_filter import Level, bloom
 from palimpsest.operators import ordered
-from palimpsest.session import stored
+from palimpsest.session import discard, stored
 
 SHINGLE, THRESHOLD = 5, Fraction(3, 4)
 #: Cells of the table of frequent shingles (one byte each), how often a task must meet a cell to enter it, and
@@ -184,7 +184,8 @@ def shared_prefixes(nodes: DataFrame, crowd: bool) -> DataFrame:
     ``crowd`` tells whether any shingle is frequent enough for a hot group.
     """
     places = nodes.select("node", "n", "calm", F.posexplode("prefix").alias("at", "h"))
-    rows, split = places.withColumn(ordered.CELL, F.lit(0)), False
+    # What is null everywhere costs the shuffle nothing.
+    rows, split = places.withColumns({ordered.CELL: F.lit(0), "calm": F.lit(None).cast("bigint")}), False
     if crowd:
         rows, split = ordered.split_hot(places, ["h"], ["n", "node"], among=F.col("at") >= F.col("calm"))
     by_shingle = Window.partitionBy("h", ordered.CELL).orderBy("n", "node")
@@ -227,10 +228,12 @@ def open_rows(shared: DataFrame, component_of: DataFrame) -> DataFrame:
     )
     open_ = rows.join(sets.filter(F.col("x") != F.col("y")).select("h", "same"), "h")
     found = open_.groupBy(F.col("same").alias("h"), "node").agg(
-        F.min("at").alias("at"), F.bool_or(F.col("at") >= F.col("calm")).alias("crowded"),
+        F.min("at").alias("at"), F.bool_or(F.coalesce(F.col("at") >= F.col("calm"), F.lit(False))).alias("crowded"),
         F.first("n").alias("n"), F.first("component").alias("component"),
     )
-    return stored(found, "open-rows")
+    found = stored(found, "open-rows")
+    discard(rows)
+    return found
 
 
 def neighbour_pairs(rows: DataFrame, threshold: Fraction, crowd: bool) -> DataFrame:

@@ -228,7 +228,12 @@ def annotate(docs: DataFrame, model: Machine, name: str, text_col: str = "text")
 
 
 def keep(docs: DataFrame, model: Machine, threshold: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, all columns as they were."""
+    """The rows of ``docs`` that score ``threshold`` or more, all columns as they were.
+
+    A model that saw no labelled row tells nothing about any document: then all of them stay.
+    """
+    if not model.factors.any():
+        return docs
     name = spare_name(docs, "quality_score")
     return annotate(docs, model, name, text_col).filter(F.col(name) >= threshold).drop(name)
 
