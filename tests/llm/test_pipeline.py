@@ -30,6 +30,12 @@ def test_stages(spark, documents, tmp_path):
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
+def test_without_labels_everything_stays(spark, documents, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = documents(["a b c", None, "", "d"], [1, 2, None, 1])
+    assert sorted(map(str, corpus_pipeline.good_documents(spark, docs, str(tmp_path)).collect())) == sorted(map(str, docs.collect()))
+
+
 def test_all_queries():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
