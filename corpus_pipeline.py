@@ -4,7 +4,8 @@ Every stage reads the documents that its predecessor kept and, but for the last,
 are written as Parquet below the shared folder, so a lost executor costs a part of one stage.
 
 Nulls in any column are kept as they are: a null text counts as empty, a row without an id is a document of its
-own.  Rows that repeat both id and text come out of exact dedup once.  An empty table gives empty stages.
+own.  Rows that repeat both id and text come out of exact dedup once.  An empty table gives empty stages.  Without
+labels the quality stage keeps everything.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies, the one with the smallest id."""
+    """One document of every group of near copies, the one with the smallest id, a null one coming last."""
     prepared(spark)
     return near_dedup.keep(docs)
 
