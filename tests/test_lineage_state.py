@@ -143,6 +143,28 @@ def trees_of(files):
     return {folder: (digest(e), len(e)) for folder, e in entries.items()}
 
 
+@pytest.mark.parametrize("hot_rows", [15, 1 << 20])
+def test_digests_of_states(forest, monkeypatch, hot_rows):
+    """They come from running sums; no state is written out."""
+    own, chain, by_branch = forest
+    monkeypatch.setattr(lineage_state, "snapshots_at", None)
+    names = own.filter("revision[1] % 4 = 0")
+    name = F.concat_ws(" ", "branch", F.col("revision")[1]).alias("name")
+    points = with_ord(names).select(name, "branch", F.col("ord").alias("at"))
+    none = points.limit(1).select("name", "branch", F.when(F.lit(False), F.col("at")).alias("at"))
+    entry = F.concat_ws(" ", "path", F.array_join(F.col("revision").cast("array<string>"), "."))
+    found = lineage_state.snapshot_digests(own, chain, points.unionByName(none), entry, hot_rows)
+    got = {r.name: (r.n_files, r.files) for r in found.collect()}
+    expected = {}
+    for branch, _, _ in TREE:
+        commits = full(by_branch, branch)
+        for (owner, r), state in zip(commits, states(commits), strict=True):
+            if owner == branch and r.revision[1] % 4 == 0 and state:
+                files = [f"{p} {'.'.join(map(str, v))}" for p, v in state.items()]
+                expected[f"{branch} {r.revision[1]}"] = (len(files), digest(files))
+    assert len(expected) > 40 and got == expected
+
+
 @pytest.mark.parametrize("hot_rows", [15, 1 << 20])
 def test_tree_ids(forest, hot_rows):
     own, chain, by_branch = forest
