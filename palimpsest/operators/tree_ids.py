@@ -16,9 +16,9 @@ from palimpsest.functions.digest import entry_sums, sums_digest
 from palimpsest.functions.paths import leaf_name, parent_dir
 from palimpsest.operators import ordered
 from palimpsest.operators.history import with_ord
-from palimpsest.operators.lineage_state import inherited, own_spans
+from palimpsest.operators.lineage_state import inherited, own_spans, with_start
 from palimpsest.operators.ordered import HOT_ROWS
-from palimpsest.schema import FILE_ORDER, path_depth
+from palimpsest.schema import path_depth
 from palimpsest.session import stored
 
 SUMS = ("n", "first", "second")
@@ -26,11 +26,11 @@ SUMS = ("n", "first", "second")
 
 def _file_events(own: DataFrame, chain: DataFrame, hot_rows: int) -> DataFrame:
     """``branch, ord, path, mode, old_id, new_id``: what every commit takes out of its directory and puts in."""
-    start = inherited(own_spans(own, hot_rows, ("id",)), chain, hot_rows, ("id",))
+    spans = own_spans(own, hot_rows, ("id",), ("is_dead", "id"))
+    start = inherited(spans.drop("_before"), chain, hot_rows, ("id",))
     start = start.select("branch", "path", F.when(~F.col("is_dead"), F.col("id")).alias("_inherited"))
-    seen = ordered.previous_row(own, ["branch", "path"], FILE_ORDER, ["is_dead", "id"], "_before", hot_rows=hot_rows)
     before = F.when(F.col("_before").isNull(), F.col("_inherited")).when(~F.col("_before.is_dead"), F.col("_before.id"))
-    return with_ord(seen.join(start, ["branch", "path"], "left")).select(
+    return with_start(spans.drop("next_ord", "opens"), start).select(
         "branch", "ord", "path", F.lit("file").alias("mode"),
         before.alias("old_id"), F.when(~F.col("is_dead"), F.col("id")).alias("new_id"),
     )
@@ -55,7 +55,7 @@ def tree_ids(own: DataFrame, chain: DataFrame, hot_rows: int = HOT_ROWS) -> Data
     those that ``rollup.dir_digests`` gives for the snapshot at the commit.
     """
     files = _file_events(own, chain, hot_rows).withColumn("level", path_depth("path"))
-    files = stored(files.repartitionByRange("level", "path").sortWithinPartitions("level"), "file-events")
+    files = stored(files.sortWithinPartitions("level"), "file-events")
     above = stored(chain.filter((F.col("branch") != F.col("ancestor")) & F.col("cap").isNotNull()), "caps")
     deepest = files.agg(F.max("level")).first()[0]
     trees = found = None
@@ -67,7 +67,8 @@ def tree_ids(own: DataFrame, chain: DataFrame, hot_rows: int = HOT_ROWS) -> Data
                 trees.select("branch", "ord", F.col("dir").alias("path"), F.lit("tree").alias("mode"), "old_id", F.col("id").alias("new_id"))
             )
         changes = events.select("branch", "ord", parent_dir(F.col("path")).alias("dir"), *(w.alias(c) for c, w in _weights(leaf_name(F.col("path"))).items()))
-        trees = stored(_summed(stored(changes, "tree-changes"), above, hot_rows), "trees")
+        # The ids are made anew where they are read, which costs less than to store them.
+        trees = _summed(stored(changes, "tree-changes"), above, hot_rows)
         rows = trees.select("branch", "ord", "dir", "id", "n_entries")
         found = rows if found is None else found.unionByName(rows)
     if found is None:

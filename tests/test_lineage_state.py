@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import golden
-from palimpsest.operators import lineage_state
+from palimpsest.operators import branches as branch_ops, lineage_state, ordered
 from palimpsest.operators.branches import lineage
 from palimpsest.operators.history import with_ord
 from palimpsest.operators.intervals import spans_at
@@ -209,3 +209,34 @@ def test_no_commits(spark, forest):
     assert lineage_state.branch_live_counts(nothing, chain).isEmpty()
     assert lineage_state.branch_heads_state(nothing, chain).isEmpty()
     assert lineage_state.branch_intervals(nothing, chain).isEmpty()
+
+
+def test_timeline_is_joined_once_for_all_levels(spark, forest, monkeypatch):
+    """Two levels of branches, one join of their entries with the timeline."""
+    own, _, by_branch = forest
+    useful = own.filter(F.col("branch").isin(TRUNK, "b1"))
+    first, second = by_branch[TRUNK][39], by_branch["b1"][11]
+    rows = [("b1", first.path, [*first.revision, 0, 2]), ("b2", second.path, [1, 1, 2, 1, 0, 2])]
+    useful = useful.unionByName(spark.createDataFrame(
+        [("b1", second.path, [1, 1, 2, 1], False, second.date)], own.schema))
+    calls, plain = [], branch_ops.tag_hits_on
+    monkeypatch.setattr(branch_ops, "tag_hits_on", lambda *a: calls.append(1) or plain(*a))
+    entries = spark.createDataFrame(rows, "tag string, path string, revision array<int>")
+    placed = branch_ops.graft_points(useful, entries, own.limit(0).select("path", "revision"))[0]
+    assert {(r.branch, r.parent) for r in placed.collect()} == {(TRUNK, None), ("b1", TRUNK), ("b2", "b1")}
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("hot_rows", [5, 1 << 20])
+def test_both_neighbours_in_one_pass(forest, hot_rows):
+    own, _, _ = forest
+    keys, order = ["branch", "path"], ["date", "revision"]
+    both = ordered.next_row(own, keys, order, ["date", "revision"], "next", "opens", hot_rows, ["is_dead"])
+    ahead = ordered.next_row(own, keys, order, ["date", "revision"], "next", "opens", hot_rows)
+    behind = ordered.previous_row(own, keys, order, ["is_dead"], "_before", hot_rows=hot_rows)
+    rows = lambda df, *columns: sorted(map(str, df.select("branch", "path", "revision", *columns).collect()))
+    assert rows(both, "next", "opens") == rows(ahead, "next", "opens")
+    assert rows(both, "_before") == rows(behind, "_before")
+    if hot_rows > 1000:
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
