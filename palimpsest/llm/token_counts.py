@@ -20,6 +20,7 @@ text, which is the tokenizer's default; repeated rows come out as often as they
 from __future__ import annotations
 
 import json
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -67,15 +68,16 @@ def _load(path: str):
     return Tokenizer.from_file(path)
 
 
-def _load_splitter(path: str):
-    """The tokenizer without its vocabulary, which only splits into pre-tokens, and its special tokens."""
-    from tokenizers import Tokenizer
+def _splitter_spec(path: str) -> tuple[str, list[str]]:
+    """The tokenizer's description without its vocabulary, which only splits into pre-tokens, and its special tokens.
 
+    Made once by the driver, so that no task parses the vocabulary for it.
+    """
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     specials = [t["content"] for t in spec["added_tokens"]]
     spec["added_tokens"], spec["model"]["vocab"], spec["model"]["merges"] = [], {}, []
-    return Tokenizer.from_str(json.dumps(spec)), specials
+    return json.dumps(spec), specials
 
 
 def split_specials(specials: list[str], texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -96,9 +98,12 @@ def split_specials(specials: list[str], texts: list[str]) -> tuple[list[str], np
 
 
 def _postings(path: str, buckets: int, salts: int):
+    spec, specials = _splitter_spec(path)
+
     def run(batches):
-        splitter, specials = _load_splitter(path)
-        pre = PreTokenizer(splitter)
+        from tokenizers import Tokenizer
+
+        pre = PreTokenizer(Tokenizer.from_str(spec))
         partition = TaskContext.get().partitionId()
         for number, (ids, texts) in enumerate(_bounded(blocks(batches, BLOCK_CHARS))):
             yield from _block_rows(specials, pre, ids, texts, (partition << 20) + number, buckets, salts)
@@ -169,6 +174,8 @@ def _block_rows(specials, pre, ids, texts, block, buckets, salts):
 
 def _count(path: str):
     def run(batches):
+        # A task has one core; threads of the tokenizer's own would each keep an allocator arena.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = _load(path)
         known: dict[bytes, int] = {}
         sums: dict[int, np.ndarray] = {}

@@ -335,3 +335,12 @@ def test_classifiers(spark, documents):
         assert module.score(documents([]), model, held).count() == 0
     kept = quality.keep(docs, quality.train(docs, labels, ~held), 0.7)
     assert kept.columns == docs.columns
+
+
+def test_splitter_of_token_counts_carries_no_vocabulary():
+    """Tasks get a short description and do not parse the tokenizer's file for it."""
+    spec, specials = token_counts._splitter_spec(BPE)
+    text = "Don't  stop 12 times, é!"
+    assert len(spec) < 20_000 and all(isinstance(s, str) for s in specials)
+    split = Tokenizer.from_str(spec).pre_tokenizer.pre_tokenize_str(text)
+    assert split == Tokenizer.from_file(BPE).pre_tokenizer.pre_tokenize_str(text)
