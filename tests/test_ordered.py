@@ -126,3 +126,12 @@ def test_fold_with_affine_steps(spark, cell_rows):
 def test_fold_of_nothing(spark):
     df = spark.createDataFrame([], "g string, i int, v long")
     assert fold_while(df, [], ["i"], F.col("v"), lambda acc: acc < 9).first().folded == 0
+
+
+def test_whole_table_is_cut_finer_than_a_group(spark, monkeypatch):
+    """A window without keys does not leave the table, and all that follows, to one task."""
+    monkeypatch.setattr(ordered, "TABLE_ROWS", 100)
+    frame = spark.range(1000).select("id", (F.col("id") * 7 % 1000).alias("n"))
+    found = ordered.previous_row(frame, [], ["n"], ["n"], "before")
+    assert {(r.n, r.before and r.before.n) for r in found.collect()} == {(n, n - 1 if n else None) for n in range(1000)}
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
