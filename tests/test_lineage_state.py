@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import golden
 from palimpsest.operators import branches as branch_ops, lineage_state, ordered
 from palimpsest.operators.branches import lineage
-from palimpsest.operators.history import with_ord
+from palimpsest.operators.history import extended_intervals, file_intervals, stored_intervals, with_ord
 from palimpsest.operators.intervals import spans_at
 from palimpsest.operators.tree_ids import tree_ids
 from palimpsest.plans.importing import ImportOptions, import_tables
@@ -240,3 +240,54 @@ def test_both_neighbours_in_one_pass(forest, hot_rows):
     if hot_rows > 1000:
         plan = both._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1
+
+
+SPAN = ("branch", "path", "revision", "is_dead", "ord", "next_ord", "opens")
+
+
+@pytest.mark.parametrize("hot_rows", [5, 1 << 20])
+def test_added_commits_link_only_their_files_again(spark, forest, hot_rows):
+    own, _, _ = forest
+    none = spark.createDataFrame(
+        [(None, None, [1, k], k == 2, dt.datetime(2020, 1, 1, 0, k)) for k in range(1, 5)], own.schema
+    )
+    rows = own.unionByName(none)
+    late = (F.col("path").isin("a", "z/z") | F.col("path").isNull()) & (F.element_at("revision", -1) % 3 == 0)
+    spans = stored_intervals(rows.filter(~F.coalesce(late, F.lit(False))), "timeline", hot_rows).select(*SPAN)
+    got = extended_intervals(spans, rows.filter(late), hot_rows)
+    assert rows.filter(late & F.col("path").isNull()).count() == 1
+    assert sorted(map(str, got.collect())) == sorted(map(str, file_intervals(rows, hot_rows).select(*SPAN).collect()))
+
+
+def test_stored_intervals_repeat_no_order_keys(spark, forest):
+    own, _, _ = forest
+    frame = stored_intervals(own, "spans")
+    written = spark.read.parquet(frame.inputFiles()[0].rpartition("/")[0])
+    assert not {"ord", "next_ord"} & set(written.columns)
+    assert sorted(map(str, frame.select(*SPAN).collect())) == sorted(map(str, file_intervals(own).select(*SPAN).collect()))
+
+
+def test_branch_intervals_from_spans_that_are_there(forest, monkeypatch):
+    """No second window over all commits, and the open ends meet the first commits in one pass."""
+    own, chain, _ = forest
+    plain = lineage_state.branch_intervals(own, chain).collect()
+    heads = lineage_state.branch_heads_state(own, chain).collect()
+    spans = lineage_state.own_spans(own)
+    monkeypatch.setattr(lineage_state, "own_spans", None)
+    found = lineage_state.branch_intervals(own, chain, spans=spans)
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftOuter") == 0
+    assert sorted(map(str, lineage_state.branch_heads_state(own, chain, spans=spans).collect())) == sorted(map(str, heads))
+
+
+def test_few_caps_are_not_binned(forest, monkeypatch):
+    """Caps of a handful of branches are compared at once, not looked up for each commit."""
+    own, chain, _ = forest
+    spans = lineage_state.own_spans(own)
+    rows = lambda: sorted(map(str, lineage_state.inherited(spans, chain).collect()))
+    direct = rows()
+    monkeypatch.setattr(lineage_state, "FEW", 1)
+    assert rows() == direct
+    monkeypatch.undo()
+    plan = lineage_state.inherited(spans, chain)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bounds" not in plan
